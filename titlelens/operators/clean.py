@@ -76,13 +76,16 @@ def fix_types(df: DataFrame) -> DataFrame:
 def dedupe(df: DataFrame, key: str = "id", order_by: Sequence[Column] | None = None) -> DataFrame:
     """One row per key.  Any row may stay, unless `order_by` says which comes first.
 
-    Both forms cut each task's input to one row per key before the shuffle, so a key that
-    holds a large share of all rows costs its reducer one row per map task.
+    The window with a limit of one row is cut to one row per key in each task before the shuffle,
+    so a key that holds a large share of all rows costs its reducer one row per task.
     """
-    if order_by is None:
+    if df.isStreaming:
+        if order_by is not None:
+            raise ValueError("a stream keeps the first row it sees; order_by is for batches")
         return df.dropDuplicates([key])
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*order_by))
-    return df.withColumn("__nth", first).filter("__nth = 1").drop("__nth")
+    order = order_by if order_by is not None else [F.col(key)]
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
 
 
 def keep_released(df: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:

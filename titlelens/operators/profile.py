@@ -7,7 +7,7 @@ known first, however many columns there are.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,27 +128,32 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
             .orderBy("column", "bin"))
 
 
-def _pearson(x: str, y: str) -> Column:
-    """Correlation over the rows that have both values; null if either is constant there."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    a = F.when(both, F.col(x).cast("double"))
-    b = F.when(both, F.col(y).cast("double"))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_x, column_y, correlation) for all ordered pairs, from one aggregation."""
+    """(column_x, column_y, correlation) for all ordered pairs, from one grouped aggregation.
+
+    Each pair uses the rows that have both values, and is null if either is constant there.  A
+    row is spread into one small (pair, x, y) row per pair: the grouping has few keys and stays
+    in generated code, which one aggregate per pair side by side would be too large for.
+    """
     columns = _present(df, columns, CORRELATED_COLUMNS)
-    pairs = list(combinations(range(len(columns)), 2))
-    measured = df.agg(*[_pearson(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs],
-                      *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(columns)])
-    cells = [(i, i, F.when(F.col(f"s_{i}") > 0, 1.0)) for i in range(len(columns))]
-    for i, j in pairs:
-        cells += [(i, j, F.col(f"r_{i}_{j}")), (j, i, F.col(f"r_{i}_{j}"))]
-    return measured.select(F.inline(F.array(*[
-        F.struct(F.lit(columns[i]).alias("column_x"), F.lit(columns[j]).alias("column_y"),
-                 value.alias("correlation"))
-        for i, j, value in sorted(cells, key=lambda cell: cell[:2])
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    cells = [cell for k, (i, j) in enumerate(pairs)
+             for cell in (F.lit(k), F.col(columns[i]).cast("double"),
+                          F.col(columns[j]).cast("double"))]
+    spread = df.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "x", "y"))
+    deviations = F.stddev_pop("x") * F.stddev_pop("y")
+    diagonal = F.col("pair").isin([k for k, (i, j) in enumerate(pairs) if i == j])
+    pearson = F.when(diagonal, F.when(deviations > 0, 1.0)).otherwise(
+        F.try_divide(F.covar_pop("x", "y"), deviations))
+    measured = (spread.dropna("any", subset=["x", "y"]).groupBy("pair")
+                .agg(pearson.alias("r")))
+    # One entry per pair of columns is collected.
+    found = measured.agg(F.map_from_entries(F.collect_list(F.struct("pair", "r"))).alias("by_pair"))
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(x).alias("column_x"), F.lit(y).alias("column_y"),
+                 F.try_element_at("by_pair", F.lit(pairs.index((min(i, j), max(i, j)))))
+                 .alias("correlation"))
+        for i, x in enumerate(columns) for j, y in enumerate(columns)
     ])))
 
 

@@ -229,6 +229,8 @@ FROM raw""",
 
     "landing_plan": _unlanded("p_partkey AS id"),
     "load_count": _unlanded("count(*) AS to_load"),
+    "landed_inventory": f"""{CATALOG} SELECT CAST(sum(copies) AS BIGINT) AS landed_records,
+  CAST(0 AS BIGINT) AS empty_files FROM titles WHERE status = 'Released'""",
     "roundtrip_json": _CLEAN,
     "roundtrip_parquet": _CLEAN,
     "roundtrip_csv": _CLEAN,

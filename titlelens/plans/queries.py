@@ -8,13 +8,14 @@ chosen so that no exact value lies halfway: money has 6 places, and so have its
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlelens.functions import metrics
 from titlelens.operators import chartdata, clean, profile, rank, rollup, search
-from titlelens.plans.catalog import clean_titles, raw_titles
+from titlelens.plans import catalog
 from titlelens.plans.scratch import scratch_path
 from titlelens.sources import landing, records, tables
 
@@ -24,6 +25,24 @@ TOTALS = {"total_budget_musd", "total_revenue_musd", "total_revenue"}
 LISTED = ["id", "title", "genres", "cast", "director", "release_year", "vote_average"]
 
 
+_planned: WeakKeyDictionary[SparkSession, dict[tuple, DataFrame]] = WeakKeyDictionary()
+
+
+def _planned_once(build: Query) -> Query:
+    """Build the lazy plan once per session and folder; its data is read anew by every query."""
+    def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        plans = _planned.setdefault(spark, {})
+        key = (build.__name__, sf_dir)
+        if key not in plans:
+            plans[key] = build(spark, sf_dir)
+        return plans[key]
+    return plan
+
+
+raw_titles = _planned_once(catalog.raw_titles)
+clean_titles = _planned_once(catalog.clean_titles)
+
+
 def rounded(df: DataFrame, places: int) -> DataFrame:
     return df.withColumns({
         f.name: F.round(f.name, 6 if f.name in TOTALS else places)
@@ -67,10 +86,14 @@ def _load_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names and sizes differ from run to run; what they add up to does not."""
     path, _ = _landed_released(spark, sf_dir)
-    # Names and times differ from run to run; the number of non-empty files with a time does not
-    # depend on them, and neither does the record count.
-    return landing.landed_files(spark, path)
+    held = (records.read_records(spark, path, multi_line=False)
+            .groupBy(F.col("_metadata.file_name").alias("file_name"))
+            .agg(F.count("*").alias("records")))
+    return landing.landed_files(spark, path).join(held, "file_name", "left").agg(
+        F.sum("records").alias("landed_records"),
+        F.count_if(F.col("records").isNotNull() & (F.col("size") <= 0)).alias("empty_files"))
 
 
 def _roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
