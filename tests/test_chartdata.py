@@ -1,0 +1,99 @@
+import numpy as np
+import pytest
+
+from titlelens.operators import chartdata as cd
+
+from conftest import column
+
+
+@pytest.fixture(scope="module")
+def titles(spark):
+    rng = np.random.default_rng(11)
+    genres = ["a", "b", "a|b", "c", "a|c", ""]
+    rows = []
+    for i in range(300):
+        budget = None if i % 13 == 0 else float(rng.integers(0, 40))
+        revenue = None if i % 17 == 0 else float(rng.gamma(1, 60))
+        rows.append((f"t{i}", genres[i % 6], budget, revenue, 1990 + i % 9,
+                     f"{1990 + i % 9}-02-03", float(i % 10), i % 25, float(rng.random()),
+                     "S" if i % 3 else None))
+    return spark.createDataFrame(
+        rows, "title string, genres string, budget_musd double, revenue_musd double, "
+              "release_year int, release_date string, vote_average double, vote_count int, "
+              "popularity double, collection_name string")
+
+
+def _usable(titles):
+    frame = titles.toPandas()
+    return frame[(frame.budget_musd > 0) & (frame.revenue_musd > 0)]
+
+
+def test_points_and_trend_line(titles):
+    usable = _usable(titles)
+    points = cd.budget_revenue_points(titles)
+    assert points.columns == ["title", "budget_musd", "revenue_musd", "release_year"]
+    assert sorted(column(points, "title")) == sorted(usable.title)
+    slope, intercept = np.polyfit(usable.budget_musd, usable.revenue_musd, 1)
+    line = cd.budget_revenue_line(titles).first()
+    assert (line.slope, line.intercept) == pytest.approx((slope, intercept))
+    assert line.points == len(usable)
+    assert line.break_even_extent == max(usable.budget_musd.max(), usable.revenue_musd.max())
+
+
+@pytest.mark.parametrize("n", [2, 10])
+def test_boxes_and_outliers(titles, n):
+    frame = titles.toPandas()
+    frame = frame[(frame.budget_musd > 0) & frame.revenue_musd.notna()]
+    frame["roi"] = (frame.revenue_musd - frame.budget_musd) / frame.budget_musd * 100
+    exploded = frame.assign(genre=frame.genres.str.split("|")).explode("genre")
+    sizes = exploded.genre.value_counts()
+    chosen = sorted(sizes.index, key=lambda g: (-sizes[g], g))[:n]
+
+    boxes = {r.genre: r for r in cd.roi_boxes(titles, n).collect()}
+    outliers = cd.roi_outliers(titles, n).toPandas()
+    assert list(boxes) == chosen
+    for genre in chosen:
+        roi, box = exploded[exploded.genre == genre].roi, boxes[genre]
+        q1, q2, q3 = np.percentile(roi, [25, 50, 75])
+        inside = roi[(roi >= q1 - 1.5 * (q3 - q1)) & (roi <= q3 + 1.5 * (q3 - q1))]
+        assert (box.q1, box.median, box.q3) == pytest.approx((q1, q2, q3))
+        assert (box.whisker_low, box.whisker_high) == (inside.min(), inside.max())
+        assert (box.points, box.outliers) == (len(roi), len(roi) - len(inside))
+        assert sorted(outliers[outliers.genre == genre].roi) == pytest.approx(
+            sorted(roi.drop(inside.index)))
+
+
+def test_popularity_bubbles(titles):
+    frame = titles.toPandas()
+    frame = frame[frame.vote_count >= 10]
+    sizes = (frame.revenue_musd / frame.revenue_musd.max() * 500).fillna(50)
+    got = cd.popularity_rating_points(titles).toPandas().set_index("title").bubble_size
+    assert got.to_dict() == pytest.approx(dict(zip(frame.title, sizes)))
+    assert cd.popularity_rating_points(titles, min_votes=1000).count() == 0
+
+
+def test_yearly(titles):
+    frame = titles.toPandas()
+    frame = frame[frame.revenue_musd.notna() & (frame.release_year >= 1992)
+                  & (frame.release_year <= 1995)]
+    rows = cd.yearly_box_office(titles, 1992, 1995).collect()
+    assert [r.release_year for r in rows] == [1992, 1993, 1994, 1995]
+    for row in rows:
+        year = frame[frame.release_year == row.release_year]
+        assert list(row)[1:] == pytest.approx([
+            len(year), year.revenue_musd.mean(), year.revenue_musd.sum(),
+            year.budget_musd.mean(), year.vote_average.mean()])
+    assert len(cd.yearly_box_office(titles, 0).collect()) == 9
+
+
+def test_franchise_bars(titles):
+    frame = titles.toPandas()
+    frame["roi"] = ((frame.revenue_musd - frame.budget_musd) / frame.budget_musd * 100).where(
+        frame.budget_musd > 0)
+    rows = cd.franchise_bars(titles).collect()
+    assert [r.movie_type for r in rows] == ["Standalone", "Franchise"]
+    for row in rows:
+        part = frame[frame.collection_name.isna() == (row.movie_type == "Standalone")]
+        assert list(row)[1:] == pytest.approx([
+            len(part), part.revenue_musd.mean(), part.budget_musd.mean(),
+            part.vote_average.mean(), part.popularity.mean(), part.roi.mean()])

@@ -1,0 +1,153 @@
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from titlelens.operators import profile as p
+from titlelens.operators.quantiles import quantiles
+
+
+@pytest.fixture(scope="module")
+def numbers():
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({
+        "budget_musd": rng.gamma(2, 30, 500).round(3), "revenue_musd": rng.normal(50, 20, 500),
+        "runtime": rng.integers(60, 200, 500).astype(float),
+        "vote_average": 6.5, "vote_count": rng.integers(0, 30, 500).astype(float),
+        "popularity": np.nan})
+    frame.loc[frame.index % 7 == 0, "budget_musd"] = np.nan
+    frame.loc[frame.index % 5 == 0, "runtime"] = np.nan
+    return frame
+
+
+@pytest.fixture(scope="module")
+def titles(spark, numbers):
+    rows = [tuple(None if math.isnan(v) else float(v) for v in row)
+            for row in numbers.itertuples(index=False)]
+    return spark.createDataFrame(rows, ", ".join(f"{c} double" for c in numbers.columns)).repartition(3)
+
+
+def test_overview(titles):
+    rows = p.overview(titles).collect()
+    assert [(r.ordinal, r["column"], r.type) for r in rows] == [
+        (i, c, "double") for i, c in enumerate(titles.columns, 1)]
+    assert {(r.row_count, r.col_count) for r in rows} == {(500, 6)}
+
+
+def test_null_profile(spark, titles, numbers):
+    rows = p.null_profile(titles).collect()
+    expected = numbers.isna().sum()
+    assert {r["column"]: r.null_count for r in rows} == expected.to_dict()
+    shares = [r.null_percentage for r in rows]
+    assert shares == sorted(shares, reverse=True) and rows[0]["column"] == "popularity"
+    assert {r["column"]: r.null_percentage for r in rows} == {
+        c: round(n / 500 * 100, 2) for c, n in expected.items()}
+    nan = spark.createDataFrame([(float("nan"),), (None,)], "`odd name` double")
+    assert p.null_profile(nan).first().null_count == 1
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_statistics(titles, numbers, exact):
+    rows = {r["column"]: r for r in p.statistics(titles, exact=exact).collect()}
+    assert set(rows) == set(numbers.columns)
+    assert tuple(rows["popularity"])[1:] == (0, *[None] * 7)
+    for name in ("budget_musd", "revenue_musd", "runtime", "vote_average", "vote_count"):
+        values, row = numbers[name].dropna(), rows[name]
+        method = "linear" if exact else "inverted_cdf"
+        wanted = [len(values), values.mean(), values.std(), values.min(),
+                  *np.percentile(values, [25, 50, 75], method=method), values.max()]
+        assert list(row)[1:] == pytest.approx(wanted, rel=1e-9, abs=1e-9)
+
+
+def test_summary(titles, numbers):
+    rows = {r.summary: r for r in p.summary(titles, ["runtime", "absent"]).collect()}
+    assert list(rows) == ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
+    assert float(rows["count"].runtime) == numbers.runtime.count()
+    assert float(rows["max"].runtime) == numbers.runtime.max()
+
+
+def test_histogram_equals_numpy(titles, numbers):
+    rows = p.histogram(titles).toPandas()
+    expected = {c: numbers[c].dropna() for c in numbers.columns if c != "popularity"}
+    expected["profit_musd"] = (numbers.revenue_musd - numbers.budget_musd).dropna()
+    assert set(rows["column"]) == set(expected)
+    for name, values in expected.items():
+        counts, edges = np.histogram(values, bins=30)
+        got = rows[rows["column"] == name].sort_values("bin")
+        assert got["count"].tolist() == counts.tolist()
+        assert got["bin_start"].tolist() == pytest.approx(edges[:-1])
+        assert got["bin_end"].tolist() == pytest.approx(edges[1:])
+
+
+def test_histogram_of_edge_values(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(0, 11)] * 3, "v double")
+    rows = p.histogram(df, ["v"], bins=10).collect()
+    assert [r["count"] for r in rows] == [3] * 9 + [6]
+
+
+def test_correlation(titles, numbers):
+    got = p.correlation_matrix(titles).toPandas().set_index("column")
+    wanted = numbers[got.columns].corr()
+    assert list(got.index) == list(got.columns)
+    np.testing.assert_allclose(got.astype(float).values, wanted.values, rtol=1e-9, atol=1e-12)
+    pairs = p.correlation_pairs(titles, ["runtime", "budget_musd"]).collect()
+    assert [(r.column_x, r.column_y) for r in pairs] == [
+        ("runtime", "runtime"), ("runtime", "budget_musd"), ("budget_musd", "runtime"),
+        ("budget_musd", "budget_musd")]
+
+
+def test_quality_report(titles, numbers):
+    row = p.quality_report(titles).first()
+    missing = int(numbers.isna().sum().sum())
+    assert (row.total_rows, row.total_columns, row.total_cells) == (500, 6, 3000)
+    assert (row.missing_cells, row.filled_cells) == (missing, 3000 - missing)
+    assert row.completeness_pct == pytest.approx((3000 - missing) / 30)
+    financial = int(((numbers.budget_musd > 0) & (numbers.revenue_musd > 0)).sum())
+    rated = int((numbers.vote_count >= 10).sum())
+    assert (row.valid_financial_rows, row.reliable_rating_rows) == (financial, rated)
+    assert row.reliable_rating_pct == pytest.approx(rated / 5)
+
+
+def test_empty_input(spark, titles):
+    nothing = titles.limit(0)
+    assert {r.null_percentage for r in p.null_profile(nothing).collect()} == {None}
+    assert p.quality_report(nothing).first().completeness_pct is None
+    assert p.histogram(nothing).count() == 0
+    assert {r["count"] for r in p.statistics(nothing).collect()} == {0}
+    assert {r.correlation for r in p.correlation_pairs(nothing).collect()} == {None}
+
+
+def test_full_profile_names_its_parts(titles):
+    df = titles.selectExpr("*", "'a|b' genres", "2001 release_year")
+    assert list(p.full_profile(df)) == ["overview", "null_profile", "summary", "statistics",
+                                        "histogram", "genre_counts"]
+    parts = p.full_profile(df, all_parts=True)
+    assert list(parts)[6:] == ["titles_per_year", "correlation", "quality_report"]
+    assert all(part.columns for part in parts.values())
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 6, 7, 10, 11, 97])
+def test_quantiles_of_small_groups(spark, size):
+    values = np.random.default_rng(size).integers(0, 8, size).astype(float)
+    df = spark.createDataFrame([("g", float(v)) for v in values], "k string, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    (row,) = quantiles(df, "v", probs, ["k"]).collect()
+    assert row.quantiles == pytest.approx(list(np.percentile(values, [p * 100 for p in probs])))
+
+
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_quantiles_of_skewed_groups(spark, accuracy):
+    """One group holds most rows, a third of them equal; a coarse sketch makes brackets matter."""
+    rng = np.random.default_rng(1)
+    groups = {"hot": np.concatenate([np.full(10_000, 3.5), rng.lognormal(1, 2, 20_000)]),
+              "even": rng.permutation(5_001).astype(float), "one": np.array([4.0]),
+              "odd": np.array([-math.inf, 1.0, 2.0, math.inf])}
+    rows = [(k, float(v)) for k, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    got = {r.k: r.quantiles for r in
+           quantiles(df, "v", [0.75, 0.25, 0.5], ["k"], accuracy=accuracy).collect()}
+    assert set(got) == set(groups)
+    for k in ("hot", "even", "one"):
+        assert got[k] == pytest.approx(list(np.percentile(groups[k], [75, 25, 50])), rel=1e-12)
+    assert got["odd"][2] == 1.5

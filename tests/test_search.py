@@ -1,0 +1,89 @@
+import pytest
+
+from titlelens.operators import search as s
+
+from conftest import column
+
+
+@pytest.fixture(scope="module")
+def titles(spark):
+    return spark.createDataFrame(
+        [(1, "A", "Action|Science Fiction", "Bruce Willis|Ann", "Q T", 2000, 7.0, 50, 100),
+         (2, "B", "Live Action", "ann", "q t", 2005, 8.0, 5, 90),
+         (3, "C", "Drama", None, None, None, None, None, None),
+         (4, "D", None, "Bob", "Other", 2010, 9.0, 70, None)],
+        "id long, title string, genres string, cast string, director string, release_year int, "
+        "vote_average double, vote_count long, runtime long")
+
+
+@pytest.mark.parametrize("genres,match_all,exact,ids", [
+    ("Action", True, False, [1, 2]),
+    ("Action", True, True, [1]),
+    (["Action", "Science Fiction"], True, False, [1]),
+    (["Drama", "Live"], False, False, [2, 3]),
+    (["Drama", "Live"], False, True, [3]),
+    ("action", True, False, []),
+    ([], True, False, [1, 2, 3, 4]),
+    ([], False, False, []),
+])
+def test_genres(titles, genres, match_all, exact, ids):
+    assert sorted(column(s.filter_genres(titles, genres, match_all, exact), "id")) == ids
+
+
+def test_people(titles):
+    assert sorted(column(s.filter_actor(titles, "ANN"), "id")) == [1, 2]
+    assert column(s.filter_actor(titles, "Ann", case_sensitive=True), "id") == [1]
+    assert sorted(column(s.filter_director(titles, "q t"), "id")) == [1, 2]
+    assert column(s.filter_director(titles, "q t", case_sensitive=True), "id") == [2]
+
+
+def test_missing_people_column_gives_no_rows(titles):
+    for drop, operator in (("cast", s.filter_actor), ("director", s.filter_director)):
+        out = operator(titles.drop(drop), "x")
+        assert out.count() == 0 and out.columns == titles.drop(drop).columns
+        assert "LocalTableScan <empty>" in out._jdf.queryExecution().toString()
+
+
+def test_years(titles):
+    assert len(column(s.filter_years(titles), "id")) == 4
+    assert sorted(column(s.filter_years(titles, 2005), "id")) == [2, 4]
+    assert sorted(column(s.filter_years(titles, None, 2005), "id")) == [1, 2]
+    assert sorted(column(s.filter_years(titles, 0, 3000), "id")) == [1, 2, 4]
+
+
+def test_search_combines_and_sorts(titles):
+    assert column(s.search(titles), "id") == [4, 2, 1, 3]
+    assert column(s.search(titles, ascending=True), "id") == [3, 1, 2, 4]
+    assert column(s.search(titles, n=2), "id") == [4, 2]
+    assert column(s.search(titles, actors=["bob", "willis"]), "id") == [4, 1]
+    assert column(s.search(titles, directors="Q T", min_rating=7.5), "id") == [2]
+    assert column(s.search(titles, genres="Action", actors="ann", min_votes=10), "id") == [1]
+    assert column(s.search(titles, actors=[]), "id") == []
+    assert len(column(s.search(titles, sort_by="unknown"), "id")) == 4
+
+
+def test_search_names_a_missing_column(titles):
+    with pytest.raises(ValueError, match="cast"):
+        s.search(titles.drop("cast"), actors="x")
+
+
+def test_presets(titles):
+    best = s.best_rated_with(titles)
+    assert column(best, "title") == ["A"]
+    assert best.columns == ["title", "release_year", "vote_average", "vote_count", "genres",
+                            "director"]
+    short = s.shortest_by_pair(titles, "ann", "q t")
+    assert column(short, "title") == ["B", "A"]
+    assert short.columns == ["title", "release_year", "runtime", "vote_average", "genres"]
+
+
+def test_filters_reach_the_scan(spark, titles, tmp_path):
+    titles.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = s.search(stored, genres="Action", min_rating=7.0, min_votes=10).select("title")
+    scan = [line for line in found._jdf.queryExecution().toString().splitlines()
+            if "FileScan" in line][-1]
+    for pushed in ("GreaterThanOrEqual(vote_average,7.0)", "GreaterThanOrEqual(vote_count,10)",
+                   "StringContains(genres,Action)"):
+        assert pushed in scan
+    assert "cast" not in scan.split("ReadSchema")[1]

@@ -1,29 +1,29 @@
 """Exact interpolated quantiles without holding any group's values in one place.
 
 The built-in `percentile` keeps a map of all distinct values of a group in one buffer.  Here a
-mergeable sketch first brackets each quantile; then one aggregation counts what lies below the
-bracket and the values inside it, and the rank is looked up there.  The sketch errs by at most
-1/accuracy of the rows, so the bracket holds the wanted rank and is a few thousandths of a percent
-to a tenth of a percent of the group, depending on `accuracy`.
+mergeable sketch first brackets each quantile.  A second pass counts the values between the
+brackets as one row per gap, and those inside by value; the wanted ranks are then looked up in
+the running counts.  The sketch errs by at most 1/accuracy of the rows, so a bracket holds the
+wanted rank for certain, and no more than about eight times that share of the group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BELOW, _INSIDE, _ABOVE = 0, 1, 2
-
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str],
               exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """One row per group with the array `quantiles`, in the order of `probs`.
 
-    `value` must be a double without nulls.  The groups must be few (a list of columns, the top
-    ten genres): one row for each is broadcast.  Interpolates linearly between neighbours; with
-    `exact=False` it returns the sketch's own elements.
+    `value` must be a double and, like the keys, without nulls.  The groups must be few (a list of
+    columns, the top ten genres): one row for each is broadcast.  Interpolates linearly between
+    neighbours; with `exact=False` it returns the sketch's own elements.
     """
     probs, by = list(probs), list(by)
     if not exact:
@@ -34,44 +34,40 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
     sketch = df.groupBy(*by).agg(F.count("*").alias("n"),
                                  F.percentile_approx(value, edges, accuracy).alias("edges"))
-    wanted = sketch.select(
-        *by,
-        F.array(*[
-            F.struct(F.lit(i).alias("prob"),
-                     ((F.col("n") - 1) * F.lit(p)).alias("at"),
-                     F.col("edges")[2 * i].alias("low"), F.col("edges")[2 * i + 1].alias("high"))
-            for i, p in enumerate(probs)
-        ]).alias("wanted"))
+    spans = range(len(probs))
+    brackets = sketch.select(*by, "n", *[
+        F.col("edges")[2 * i + end].alias(f"{side}{i}")
+        for i in spans for end, side in enumerate(("low", "high"))])
 
-    # Values outside the bracket collapse into one row per side, inside it into one per value.
-    v, low, high = F.col(value), F.col("w.low"), F.col("w.high")
-    zone = F.when(v < low, _BELOW).when(v > high, _ABOVE).otherwise(_INSIDE)
-    zoned = (df.join(F.broadcast(wanted), by)
-             .withColumn("w", F.explode("wanted"))
-             .select(*by, "w.prob", "w.at", v.alias("v"), zone.alias("zone"))
-             .withColumn("inside", F.when(F.col("zone") == _INSIDE, F.col("v"))))
-    tally = (zoned.groupBy(*by, "prob", "at", "zone", "inside")
-             .agg(F.count("*").alias("rows"), F.min("v").alias("least"), F.max("v").alias("most")))
+    v = F.col(value)
+    inside = reduce(or_, [(v >= F.col(f"low{i}")) & (v <= F.col(f"high{i}")) for i in spans])
+    # Which gap a value outside all brackets lies in: the number of brackets it is beyond.
+    gap = reduce(add, [(v > F.col(f"high{i}")).cast("int") for i in spans])
+    tally = (df.join(F.broadcast(brackets), by)
+             .groupBy(*by, "n", F.when(~inside, gap).alias("gap"), F.when(inside, v).alias("at"))
+             .agg(F.count("*").alias("rows"), F.min(v).alias("least"), F.max(v).alias("most")))
 
-    # 0-based ranks [start, stop) of each tally row within its group.
-    in_order = Window.partitionBy(*by, "prob").orderBy("zone", "inside")
-    stop = F.sum("rows").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    placed = (tally.withColumn("stop", stop).withColumn("start", F.col("stop") - F.col("rows")))
+    # Gaps and values follow each other without overlap; [start, stop) are 0-based ranks.
+    in_order = Window.partitionBy(*by).orderBy("least")
+    placed = (tally.withColumn("stop", F.sum("rows").over(in_order.rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("start", F.col("stop") - F.col("rows")))
 
-    def at_rank(rank):
-        # Outside the bracket only the neighbour next to it is known, and only it can be asked for.
-        known = (F.when(F.col("zone") == _INSIDE, F.col("inside"))
-                 .when((F.col("zone") == _BELOW) & (rank == F.col("stop") - 1), F.col("most"))
-                 .when((F.col("zone") == _ABOVE) & (rank == F.col("start")), F.col("least"))
+    def at_rank(rank: Column) -> Column:
+        # Of a gap only both ends are known, and no more can be asked for.
+        known = (F.when(F.col("gap").isNull(), F.col("at"))
+                 .when(rank == F.col("stop") - 1, F.col("most"))
+                 .when(rank == F.col("start"), F.col("least"))
                  .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")))
         return F.max(F.when((rank >= F.col("start")) & (rank < F.col("stop")), known))
 
-    floor, ceiling = F.floor("at"), F.ceil("at")
-    found = placed.groupBy(*by, "prob", "at").agg(at_rank(floor).alias("lower"),
-                                                  at_rank(ceiling).alias("upper"))
-    between = F.when(floor == ceiling, F.col("lower")).otherwise(
-        F.col("lower") * (ceiling - F.col("at")) + F.col("upper") * (F.col("at") - floor))
-    per_prob = found.select(*by, F.struct("prob", between.alias("value")).alias("q"))
-    # At most len(probs) entries are collected per group.
-    return (per_prob.groupBy(*by)
-            .agg(F.array_sort(F.collect_list("q"))["value"].alias("quantiles")))
+    def interpolated(i: int) -> Column:
+        position = (F.col("n") - 1) * probs[i]
+        return F.when(F.col(f"lower{i}") == F.col(f"upper{i}"), F.col(f"lower{i}")).otherwise(
+            F.col(f"lower{i}") * (F.ceil(position) - position)
+            + F.col(f"upper{i}") * (position - F.floor(position)))
+
+    neighbours = placed.groupBy(*by, "n").agg(*[
+        at_rank(rounding((F.col("n") - 1) * probs[i])).alias(f"{side}{i}")
+        for i in spans for side, rounding in (("lower", F.floor), ("upper", F.ceil))])
+    return neighbours.select(*by, F.array(*map(interpolated, spans)).alias("quantiles"))
