@@ -132,12 +132,12 @@ def test_quantiles_of_small_groups(spark, size):
     values = np.random.default_rng(size).integers(0, 8, size).astype(float)
     df = spark.createDataFrame([("g", float(v)) for v in values], "k string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    (row,) = quantiles(df, "v", probs, ["k"]).collect()
+    (row,) = quantiles(df, "v", probs, ["k"], 1).collect()
     assert row.quantiles == pytest.approx(list(np.percentile(values, [p * 100 for p in probs])))
 
 
-@pytest.mark.parametrize("accuracy", [50, 10_000])
-def test_quantiles_of_skewed_groups(spark, accuracy):
+@pytest.mark.parametrize("accuracy,max_groups", [(50, 4), (10_000, 4), (10_000, 10**6)])
+def test_quantiles_of_skewed_groups(spark, accuracy, max_groups):
     """One group holds most rows, a third of them equal; a coarse sketch makes brackets matter."""
     rng = np.random.default_rng(1)
     groups = {"hot": np.concatenate([np.full(10_000, 3.5), rng.lognormal(1, 2, 20_000)]),
@@ -146,7 +146,7 @@ def test_quantiles_of_skewed_groups(spark, accuracy):
     rows = [(k, float(v)) for k, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "k string, v double").repartition(6)
     got = {r.k: r.quantiles for r in
-           quantiles(df, "v", [0.75, 0.25, 0.5], ["k"], accuracy=accuracy).collect()}
+           quantiles(df, "v", [0.75, 0.25, 0.5], ["k"], max_groups, accuracy=accuracy).collect()}
     assert set(got) == set(groups)
     for k in ("hot", "even", "one"):
         assert got[k] == pytest.approx(list(np.percentile(groups[k], [75, 25, 50])), rel=1e-12)

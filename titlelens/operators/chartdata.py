@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from titlelens.functions.hints import broadcast_if_small
 from titlelens.functions.metrics import (release_year, title_kind, valid_financials,
                                          with_metrics)
 from titlelens.functions.tokens import explode_tokens
@@ -33,15 +34,14 @@ def roi_by_genre(df: DataFrame, n: int = 10, drop_empty: bool = False) -> DataFr
     points = explode_tokens(known, "genres", "genre", drop_empty).select("genre", "roi")
     counts = points.groupBy("genre").agg(F.count("*").alias("points"))
     top = counts.orderBy(F.desc("points"), "genre").limit(n)
-    # n rows are broadcast.
-    return points.join(F.broadcast(top), "genre", "left_semi")
+    return points.join(broadcast_if_small(top, n), "genre", "left_semi")
 
 
-def _roi_fences(points: DataFrame, exact: bool) -> DataFrame:
+def _roi_fences(points: DataFrame, n: int, exact: bool) -> DataFrame:
     """Quartiles per genre, and the limits 1.5 interquartile ranges outside them."""
     q = F.col("quantiles")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    return (quantiles(points, "roi", [0.25, 0.5, 0.75], ["genre"], exact)
+    return (quantiles(points, "roi", [0.25, 0.5, 0.75], ["genre"], n, exact)
             .select("genre", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
             .withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}))
 
@@ -50,8 +50,7 @@ def roi_boxes(df: DataFrame, n: int = 10, exact: bool = True,
               drop_empty: bool = False) -> DataFrame:
     """Box plot numbers per genre: quartiles, whisker ends and the count of outliers."""
     points = roi_by_genre(df, n, drop_empty)
-    # n rows are broadcast.
-    fenced = points.join(F.broadcast(_roi_fences(points, exact)), "genre")
+    fenced = points.join(broadcast_if_small(_roi_fences(points, n, exact), n), "genre")
     inside = F.col("roi").between(F.col("low_fence"), F.col("high_fence"))
     within = F.when(inside, F.col("roi"))
     boxes = fenced.groupBy("genre", "q1", "median", "q3").agg(
@@ -69,7 +68,7 @@ def roi_outliers(df: DataFrame, n: int = 10, exact: bool = True,
                  drop_empty: bool = False) -> DataFrame:
     """The single points drawn beyond the whiskers."""
     points = roi_by_genre(df, n, drop_empty)
-    fenced = points.join(F.broadcast(_roi_fences(points, exact)), "genre")
+    fenced = points.join(broadcast_if_small(_roi_fences(points, n, exact), n), "genre")
     return (fenced.filter(~F.col("roi").between(F.col("low_fence"), F.col("high_fence")))
             .select("genre", "roi"))
 

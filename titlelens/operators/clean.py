@@ -128,21 +128,24 @@ def removal_audit(df: DataFrame, order_by: Sequence[Column] | None = None) -> Da
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
+def _length(array: str) -> Column:
+    """Null for a null array, where size() gives -1 without ANSI mode."""
+    return F.when(F.col(array).isNotNull(), F.size(array))
+
+
 def add_features(df: DataFrame, billed: int = 5) -> DataFrame:
     """Billed cast, director, team sizes and release year; literal 'nan' texts become null."""
     added = {}
     if "credits" in df.columns:
-        directors = F.filter("credits.crew", lambda member: member["job"] == "Director")
+        # Array functions without lambdas: they stay in generated code, and only the names and
+        # jobs are read.  Position 0 (no director) makes an index of -1, which gives null.
+        director_at = F.array_position("credits.crew.job", "Director").cast("int") - 1
         added = {
             "cast": join_tokens(F.slice("credits.cast.name", 1, billed)),
-            "cast_size": F.size("credits.cast"),
-            "director": F.get(directors, 0)["name"],
-            "crew_size": F.size("credits.crew"),
+            "cast_size": _length("credits.cast.name"),
+            "director": F.get("credits.crew.name", director_at),
+            "crew_size": _length("credits.crew.name"),
         }
-        # Without ANSI mode size(null) is -1; here an unknown team has an unknown size.
-        for team in ("cast", "crew"):
-            added[f"{team}_size"] = F.when(F.col(f"credits.{team}").isNotNull(),
-                                           added[f"{team}_size"])
     if "release_date" in df.columns:
         added["release_year"] = release_year()
     for name in NAN_TEXT_COLUMNS:

@@ -74,10 +74,11 @@ def statistics(df: DataFrame, columns: Sequence[str] | None = None,
     moments = values.groupBy("column").agg(
         F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = quantiles(values, "value", [0.25, 0.5, 0.75], ["column"], exact)
+    quartiles = quantiles(values, "value", [0.25, 0.5, 0.75], ["column"], len(columns),
+                          exact)
     # One row per column on each side; a column without values keeps a row with count 0.
     names = F.explode(F.array(*[F.lit(c) for c in columns]))
-    listed = df.sparkSession.range(1).select(names.alias("column"))
+    listed = df.sparkSession.range(0, 1, 1, 1).select(names.alias("column"))
     q = F.col("quantiles")
     return (listed.join(F.broadcast(moments), "column", "left")
             .join(F.broadcast(quartiles), "column", "left")

@@ -16,13 +16,15 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from titlelens.functions.hints import broadcast_if_small
+
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str],
-              exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+              max_groups: int, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """One row per group with the array `quantiles`, in the order of `probs`.
 
-    `value` must be a double and, like the keys, without nulls.  The groups must be few (a list of
-    columns, the top ten genres): one row for each is broadcast.  Interpolates linearly between
+    `value` must be a double and, like the keys, without nulls.  `max_groups` bounds the number of
+    groups, and decides whether their brackets are broadcast.  Interpolates linearly between
     neighbours; with `exact=False` it returns the sketch's own elements.
     """
     probs, by = list(probs), list(by)
@@ -43,7 +45,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     inside = reduce(or_, [(v >= F.col(f"low{i}")) & (v <= F.col(f"high{i}")) for i in spans])
     # Which gap a value outside all brackets lies in: the number of brackets it is beyond.
     gap = reduce(add, [(v > F.col(f"high{i}")).cast("int") for i in spans])
-    tally = (df.join(F.broadcast(brackets), by)
+    tally = (df.join(broadcast_if_small(brackets, max_groups), by)
              .groupBy(*by, "n", F.when(~inside, gap).alias("gap"), F.when(inside, v).alias("at"))
              .agg(F.count("*").alias("rows"), F.min(v).alias("least"), F.max(v).alias("most")))
 
