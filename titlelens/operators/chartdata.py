@@ -28,35 +28,42 @@ def budget_revenue_line(df: DataFrame) -> DataFrame:
         F.greatest(F.max("budget_musd"), F.max("revenue_musd")).alias("break_even_extent"))
 
 
+def _roi_points(df: DataFrame, drop_empty: bool) -> DataFrame:
+    known = with_metrics(df, "roi").filter(F.col("roi").isNotNull())
+    points = explode_tokens(known.select("genres", "roi"), "genres", "genre", drop_empty)
+    return points.select("genre", "roi")
+
+
 def roi_by_genre(df: DataFrame, n: int = 10, drop_empty: bool = False) -> DataFrame:
     """(genre, roi) of the `n` genres with most known returns."""
-    known = with_metrics(df, "roi").filter(F.col("roi").isNotNull())
-    points = explode_tokens(known, "genres", "genre", drop_empty).select("genre", "roi")
+    points = _roi_points(df, drop_empty)
     counts = points.groupBy("genre").agg(F.count("*").alias("points"))
     top = counts.orderBy(F.desc("points"), "genre").limit(n)
     return points.join(broadcast_if_small(top, n), "genre", "left_semi")
 
 
-def _roi_fences(points: DataFrame, n: int, exact: bool) -> DataFrame:
-    """Quartiles per genre, and the limits 1.5 interquartile ranges outside them."""
-    q = F.col("quantiles")
+def _fenced_roi(df: DataFrame, n: int, exact: bool, drop_empty: bool) -> DataFrame:
+    """The points of the `n` largest genres beside their quartiles and 1.5 range fences.
+
+    Three passes: a sketch of all genres that also finds the largest, the exact quartiles of
+    those, and their points.  Joining the fences keeps just these genres, as `roi_by_genre` does.
+    """
+    points, q = _roi_points(df, drop_empty), F.col("quantiles")
+    quartiles = quantiles(points, "roi", [0.25, 0.5, 0.75], ["genre"], n, exact)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    return (quantiles(points, "roi", [0.25, 0.5, 0.75], ["genre"], n, exact)
-            .select("genre", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
-            .withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}))
+    fences = (quartiles.select("genre", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
+              .withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach}))
+    return (points.join(broadcast_if_small(fences, n), "genre")
+            .withColumn("inside", F.col("roi").between(F.col("low"), F.col("high"))))
 
 
 def roi_boxes(df: DataFrame, n: int = 10, exact: bool = True,
               drop_empty: bool = False) -> DataFrame:
     """Box plot numbers per genre: quartiles, whisker ends and the count of outliers."""
-    points = roi_by_genre(df, n, drop_empty)
-    fenced = points.join(broadcast_if_small(_roi_fences(points, n, exact), n), "genre")
-    inside = F.col("roi").between(F.col("low_fence"), F.col("high_fence"))
-    within = F.when(inside, F.col("roi"))
-    boxes = fenced.groupBy("genre", "q1", "median", "q3").agg(
-        F.count("*").alias("points"),
-        F.min(within).alias("least"), F.max(within).alias("most"),
-        F.count_if(~inside).alias("outliers"))
+    within = F.when(F.col("inside"), F.col("roi"))
+    boxes = (_fenced_roi(df, n, exact, drop_empty).groupBy("genre", "q1", "median", "q3")
+             .agg(F.count("*").alias("points"), F.min(within).alias("least"),
+                  F.max(within).alias("most"), F.count_if(~F.col("inside")).alias("outliers")))
     # A whisker never ends inside the box.
     return boxes.select(
         "genre", "points", F.least("least", "q1").alias("whisker_low"), "q1", "median", "q3",
@@ -67,9 +74,7 @@ def roi_boxes(df: DataFrame, n: int = 10, exact: bool = True,
 def roi_outliers(df: DataFrame, n: int = 10, exact: bool = True,
                  drop_empty: bool = False) -> DataFrame:
     """The single points drawn beyond the whiskers."""
-    points = roi_by_genre(df, n, drop_empty)
-    fenced = points.join(broadcast_if_small(_roi_fences(points, n, exact), n), "genre")
-    return (fenced.filter(~F.col("roi").between(F.col("low_fence"), F.col("high_fence")))
+    return (_fenced_roi(df, n, exact, drop_empty).filter(~F.col("inside"))
             .select("genre", "roi"))
 
 

@@ -70,18 +70,15 @@ def statistics(df: DataFrame, columns: Sequence[str] | None = None,
                exact: bool = True) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles, one row per numeric column."""
     columns = _present(df, columns, NUMERIC_COLUMNS)
-    values = _long_values(df, columns)
-    moments = values.groupBy("column").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = quantiles(values, "value", [0.25, 0.5, 0.75], ["column"], len(columns),
-                          exact)
-    # One row per column on each side; a column without values keeps a row with count 0.
+    moments = {"count": F.count("*"), "mean": F.avg("value"), "std": F.stddev("value"),
+               "min": F.min("value"), "max": F.max("value")}
+    measured = quantiles(_long_values(df, columns), "value", [0.25, 0.5, 0.75], ["column"],
+                         len(columns), exact, also=moments)
+    # One row per column; a column without values keeps a row with count 0.
     names = F.explode(F.array(*[F.lit(c) for c in columns]))
     listed = df.sparkSession.range(0, 1, 1, 1).select(names.alias("column"))
     q = F.col("quantiles")
-    return (listed.join(F.broadcast(moments), "column", "left")
-            .join(F.broadcast(quartiles), "column", "left")
+    return (listed.join(F.broadcast(measured), "column", "left")
             .select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min",
                     q[0].alias("p25"), q[1].alias("median"), q[2].alias("p75"), "max"))
 

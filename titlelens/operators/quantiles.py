@@ -9,7 +9,7 @@ wanted rank for certain, and no more than about eight times that share of the gr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, or_
 
@@ -20,24 +20,34 @@ from titlelens.functions.hints import broadcast_if_small
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str],
-              max_groups: int, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
-    """One row per group with the array `quantiles`, in the order of `probs`.
+              max_groups: int, exact: bool = True, accuracy: int = 10_000,
+              also: Mapping[str, Column] | None = None) -> DataFrame:
+    """Per group the array `quantiles`, in the order of `probs`, and the aggregates in `also`.
 
-    `value` must be a double and, like the keys, without nulls.  `max_groups` bounds the number of
-    groups, and decides whether their brackets are broadcast.  Interpolates linearly between
-    neighbours; with `exact=False` it returns the sketch's own elements.
+    Covers the `max_groups` largest groups (equal sizes in key order); whether their brackets are
+    broadcast depends on that number.  `value` must be a double and, like the keys, without nulls;
+    `also` may hold sums, means and the like that come as fixed-width numbers.  Interpolates
+    linearly between neighbours; with `exact=False` it returns the sketch's own elements.
     """
-    probs, by = list(probs), list(by)
+    probs, by, also = list(probs), list(by), dict(also or {})
+    carried = [aggregate.alias(name) for name, aggregate in also.items()]
+
+    def largest(groups: DataFrame) -> DataFrame:
+        return groups.orderBy(F.desc("n"), *by).limit(max_groups)
+
     if not exact:
-        return df.groupBy(*by).agg(F.percentile_approx(value, probs, accuracy).alias("quantiles"))
+        sketch = F.percentile_approx(value, probs, accuracy).alias("quantiles")
+        groups = df.groupBy(*by).agg(F.count("*").alias("n"), sketch, *carried)
+        return largest(groups).select(*by, "quantiles", *also)
 
     # Three sketch errors to each side, so that the bracket holds the rank for certain.
     margin = 3 / accuracy
     edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
-    sketch = df.groupBy(*by).agg(F.count("*").alias("n"),
-                                 F.percentile_approx(value, edges, accuracy).alias("edges"))
+    sketch = largest(df.groupBy(*by).agg(
+        F.count("*").alias("n"), F.percentile_approx(value, edges, accuracy).alias("edges"),
+        *carried))
     spans = range(len(probs))
-    brackets = sketch.select(*by, "n", *[
+    brackets = sketch.select(*by, "n", *also, *[
         F.col("edges")[2 * i + end].alias(f"{side}{i}")
         for i in spans for end, side in enumerate(("low", "high"))])
 
@@ -47,7 +57,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     gap = reduce(add, [(v > F.col(f"high{i}")).cast("int") for i in spans])
     tally = (df.join(broadcast_if_small(brackets, max_groups), by)
              .groupBy(*by, "n", F.when(~inside, gap).alias("gap"), F.when(inside, v).alias("at"))
-             .agg(F.count("*").alias("rows"), F.min(v).alias("least"), F.max(v).alias("most")))
+             .agg(F.count("*").alias("rows"), F.min(v).alias("least"), F.max(v).alias("most"),
+                  *[F.first(name).alias(name) for name in also]))
 
     # Gaps and values follow each other without overlap; [start, stop) are 0-based ranks.
     in_order = Window.partitionBy(*by).orderBy("least")
@@ -71,5 +82,6 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
 
     neighbours = placed.groupBy(*by, "n").agg(*[
         at_rank(rounding((F.col("n") - 1) * probs[i])).alias(f"{side}{i}")
-        for i in spans for side, rounding in (("lower", F.floor), ("upper", F.ceil))])
-    return neighbours.select(*by, F.array(*map(interpolated, spans)).alias("quantiles"))
+        for i in spans for side, rounding in (("lower", F.floor), ("upper", F.ceil))],
+        *[F.first(name).alias(name) for name in also])
+    return neighbours.select(*by, F.array(*map(interpolated, spans)).alias("quantiles"), *also)

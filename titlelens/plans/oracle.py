@@ -331,6 +331,7 @@ FROM by_genre WHERE release_year IS NOT NULL GROUP BY genre, release_year""",
   round(regr_intercept(revenue_musd, budget_musd), 6) AS intercept,
   round(greatest(max(budget_musd), max(revenue_musd)), 6) AS break_even_extent
 FROM clean WHERE budget_musd > 0 AND revenue_musd > 0""",
+    "chart_roi_points": f"{_BOXES} SELECT genre, roi FROM points",
     "chart_roi_box": f"""{_BOXES} SELECT genre, count(*) AS points,
   round(least(min(roi) FILTER (WHERE inside), any_value(q1)), 4) AS whisker_low,
   round(any_value(q1), 4) AS q1, round(any_value(median), 4) AS median,

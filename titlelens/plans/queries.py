@@ -215,6 +215,7 @@ QUERIES: dict[str, Query] = {
     # chart data
     "chart_revenue_budget": _on_clean(chartdata.budget_revenue_points),
     "chart_trend_line": _on_clean(chartdata.budget_revenue_line, 6),
+    "chart_roi_points": _on_clean(chartdata.roi_by_genre),
     "chart_roi_box": _on_clean(chartdata.roi_boxes, 4),
     "chart_roi_outliers": _on_clean(chartdata.roi_outliers),
     "chart_popularity": _on_clean(chartdata.popularity_rating_points),
