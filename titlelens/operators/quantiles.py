@@ -51,6 +51,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         F.col("edges")[2 * i + end].alias(f"{side}{i}")
         for i in spans for end, side in enumerate(("low", "high"))])
 
+    # The aggregates in `also` ride along: they are the same in all rows of a group.
     v = F.col(value)
     inside = reduce(or_, [(v >= F.col(f"low{i}")) & (v <= F.col(f"high{i}")) for i in spans])
     # Which gap a value outside all brackets lies in: the number of brackets it is beyond.
@@ -58,7 +59,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     tally = (df.join(broadcast_if_small(brackets, max_groups), by)
              .groupBy(*by, "n", F.when(~inside, gap).alias("gap"), F.when(inside, v).alias("at"))
              .agg(F.count("*").alias("rows"), F.min(v).alias("least"), F.max(v).alias("most"),
-                  *[F.first(name).alias(name) for name in also]))
+                  *[F.max(name).alias(name) for name in also]))
 
     # Gaps and values follow each other without overlap; [start, stop) are 0-based ranks.
     in_order = Window.partitionBy(*by).orderBy("least")
@@ -83,5 +84,5 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     neighbours = placed.groupBy(*by, "n").agg(*[
         at_rank(rounding((F.col("n") - 1) * probs[i])).alias(f"{side}{i}")
         for i in spans for side, rounding in (("lower", F.floor), ("upper", F.ceil))],
-        *[F.first(name).alias(name) for name in also])
+        *[F.max(name).alias(name) for name in also])
     return neighbours.select(*by, F.array(*map(interpolated, spans)).alias("quantiles"), *also)

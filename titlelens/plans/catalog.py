@@ -69,7 +69,7 @@ def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = titles.select(
         key.alias("id"),
         F.concat_ws(" #", "p_name", key.cast("string")).alias("title"),
-        F.date_format("first_date", "yyyy-MM-dd").alias("release_date"),
+        F.col("first_date").cast("date").cast("string").alias("release_date"),
         F.when(size == 50, "Rumored").otherwise("Released").alias("status"),
         F.lit("tt0").alias("imdb_id"),
         F.when(size <= 25, F.struct(size.cast("bigint").alias("id"),
