@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from titlelens.operators import profile as p
 from titlelens.operators.quantiles import quantiles
@@ -151,3 +152,15 @@ def test_quantiles_of_skewed_groups(spark, accuracy, max_groups):
     for k in ("hot", "even", "one"):
         assert got[k] == pytest.approx(list(np.percentile(groups[k], [75, 25, 50])), rel=1e-12)
     assert got["odd"][2] == 1.5
+
+
+def test_quantile_elements_and_groups_without_values(spark):
+    values = {"a": [3.0, None, 1.0, 2.0, 4.0], "b": [None, None], "c": [5.0]}
+    df = spark.createDataFrame([(k, v) for k in values for v in values[k]], "k string, v double")
+    for exact in (True, False):
+        rows = quantiles(df, "v", [0.5, 1.0], ["k"], 9, exact, element=True,
+                         also={"rows": F.count("*")}).collect()
+        got = {r.k: (r.quantiles, r.rows) for r in rows}
+        assert got["a"] == ([2.0, 4.0], 5) and got["c"] == ([5.0, 5.0], 1)
+        assert got["b"][1] == 2 and not any(got["b"][0] or [])
+    assert [r.k for r in quantiles(df, "v", [0.5], ["k"], 1).collect()] == ["a"]

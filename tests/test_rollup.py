@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from titlelens.operators import rollup as r
 
@@ -14,6 +15,17 @@ def test_compare_franchises(series_titles):
     assert franchise.median_roi == 100.0
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_compare_without_returns(series_titles, exact):
+    """A kind without any known return keeps its row, with a null median."""
+    free = series_titles.withColumn("budget_musd", F.when(F.col("title") == "S1", 0.0)
+                                    .otherwise(F.col("budget_musd")))
+    standalone, franchise = r.compare_franchises(free, exact).collect()
+    assert (standalone.movie_count, standalone.median_roi) == (1, None)
+    assert (franchise.movie_count, franchise.median_roi) == (2, 100.0)
+    assert standalone.mean_budget_musd == 0.0
+
+
 def test_top_franchises(series_titles):
     (row,) = r.top_franchises(series_titles).collect()
     assert (row.rank, row.movie_count, row.total_revenue_musd) == (1, 2, 250.0)

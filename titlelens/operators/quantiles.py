@@ -20,69 +20,76 @@ from titlelens.functions.hints import broadcast_if_small
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str],
-              max_groups: int, exact: bool = True, accuracy: int = 10_000,
-              also: Mapping[str, Column] | None = None) -> DataFrame:
+              max_groups: int, exact: bool = True, element: bool = False,
+              accuracy: int = 10_000, also: Mapping[str, Column] | None = None) -> DataFrame:
     """Per group the array `quantiles`, in the order of `probs`, and the aggregates in `also`.
 
     Covers the `max_groups` largest groups (equal sizes in key order); whether their brackets are
-    broadcast depends on that number.  `value` must be a double and, like the keys, without nulls;
-    `also` may hold sums, means and the like that come as fixed-width numbers.  Interpolates
-    linearly between neighbours; with `exact=False` it returns the sketch's own elements.
+    broadcast depends on that number.  `value` must be a double; its nulls count only in `also`,
+    which may hold sums, means and the like that come as fixed-width numbers.  The keys must not
+    be null.  Interpolates linearly between neighbours, or takes the lower `element`; with
+    `exact=False` it returns the sketch's own elements.
     """
     probs, by, also = list(probs), list(by), dict(also or {})
     carried = [aggregate.alias(name) for name, aggregate in also.items()]
 
     def largest(groups: DataFrame) -> DataFrame:
-        return groups.orderBy(F.desc("n"), *by).limit(max_groups)
+        return groups.orderBy(F.desc("_n"), *by).limit(max_groups)
 
     if not exact:
         sketch = F.percentile_approx(value, probs, accuracy).alias("quantiles")
-        groups = df.groupBy(*by).agg(F.count("*").alias("n"), sketch, *carried)
+        groups = df.groupBy(*by).agg(F.count(value).alias("_n"), sketch, *carried)
         return largest(groups).select(*by, "quantiles", *also)
 
     # Three sketch errors to each side, so that the bracket holds the rank for certain.
     margin = 3 / accuracy
     edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
     sketch = largest(df.groupBy(*by).agg(
-        F.count("*").alias("n"), F.percentile_approx(value, edges, accuracy).alias("edges"),
+        F.count(value).alias("_n"), F.percentile_approx(value, edges, accuracy).alias("_edges"),
         *carried))
     spans = range(len(probs))
-    brackets = sketch.select(*by, "n", *also, *[
-        F.col("edges")[2 * i + end].alias(f"{side}{i}")
+    brackets = sketch.select(*by, "_n", *also, *[
+        F.col("_edges")[2 * i + end].alias(f"_{side}{i}")
         for i in spans for end, side in enumerate(("low", "high"))])
 
     # The aggregates in `also` ride along: they are the same in all rows of a group.
     v = F.col(value)
-    inside = reduce(or_, [(v >= F.col(f"low{i}")) & (v <= F.col(f"high{i}")) for i in spans])
+    inside = reduce(or_, [(v >= F.col(f"_low{i}")) & (v <= F.col(f"_high{i}")) for i in spans])
     # Which gap a value outside all brackets lies in: the number of brackets it is beyond.
-    gap = reduce(add, [(v > F.col(f"high{i}")).cast("int") for i in spans])
-    tally = (df.join(broadcast_if_small(brackets, max_groups), by)
-             .groupBy(*by, "n", F.when(~inside, gap).alias("gap"), F.when(inside, v).alias("at"))
-             .agg(F.count("*").alias("rows"), F.min(v).alias("least"), F.max(v).alias("most"),
+    gap = reduce(add, [(v > F.col(f"_high{i}")).cast("int") for i in spans])
+    tally = (df.select(*by, value).join(broadcast_if_small(brackets, max_groups), by)
+             .groupBy(*by, "_n", F.when(~inside, gap).alias("_gap"), F.when(inside, v).alias("_at"))
+             .agg(F.count(v).alias("_rows"), F.min(v).alias("_least"), F.max(v).alias("_most"),
                   *[F.max(name).alias(name) for name in also]))
 
-    # Gaps and values follow each other without overlap; [start, stop) are 0-based ranks.
-    in_order = Window.partitionBy(*by).orderBy("least")
-    placed = (tally.withColumn("stop", F.sum("rows").over(in_order.rowsBetween(
+    # Gaps and values follow each other without overlap; [start, stop) are 0-based ranks.  Null
+    # values share one entry without rows, so it has no rank but keeps its group.
+    in_order = Window.partitionBy(*by).orderBy("_least")
+    placed = (tally.withColumn("_stop", F.sum("_rows").over(in_order.rowsBetween(
         Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("start", F.col("stop") - F.col("rows")))
+        .withColumn("_start", F.col("_stop") - F.col("_rows")))
 
     def at_rank(rank: Column) -> Column:
         # Of a gap only both ends are known, and no more can be asked for.
-        known = (F.when(F.col("gap").isNull(), F.col("at"))
-                 .when(rank == F.col("stop") - 1, F.col("most"))
-                 .when(rank == F.col("start"), F.col("least"))
+        known = (F.when(F.col("_gap").isNull(), F.col("_at"))
+                 .when(rank == F.col("_stop") - 1, F.col("_most"))
+                 .when(rank == F.col("_start"), F.col("_least"))
                  .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")))
-        return F.max(F.when((rank >= F.col("start")) & (rank < F.col("stop")), known))
+        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_stop")), known))
 
-    def interpolated(i: int) -> Column:
-        position = (F.col("n") - 1) * probs[i]
-        return F.when(F.col(f"lower{i}") == F.col(f"upper{i}"), F.col(f"lower{i}")).otherwise(
-            F.col(f"lower{i}") * (F.ceil(position) - position)
-            + F.col(f"upper{i}") * (position - F.floor(position)))
+    def position(i: int) -> Column:
+        if element:
+            return F.greatest(F.ceil(F.col("_n") * probs[i]), F.lit(1)) - 1
+        return (F.col("_n") - 1) * probs[i]
 
-    neighbours = placed.groupBy(*by, "n").agg(*[
-        at_rank(rounding((F.col("n") - 1) * probs[i])).alias(f"{side}{i}")
-        for i in spans for side, rounding in (("lower", F.floor), ("upper", F.ceil))],
+    def between_neighbours(i: int) -> Column:
+        lower, upper, at = F.col(f"_lower{i}"), F.col(f"_upper{i}"), position(i)
+        return F.when(lower == upper, lower).otherwise(
+            lower * (F.ceil(at) - at) + upper * (at - F.floor(at)))
+
+    neighbours = placed.groupBy(*by, "_n").agg(
+        *[at_rank(rounding(position(i))).alias(f"_{side}{i}")
+          for i in spans for side, rounding in (("lower", F.floor), ("upper", F.ceil))],
         *[F.max(name).alias(name) for name in also])
-    return neighbours.select(*by, F.array(*map(interpolated, spans)).alias("quantiles"), *also)
+    return neighbours.select(
+        *by, F.array(*map(between_neighbours, spans)).alias("quantiles"), *also)
