@@ -83,7 +83,26 @@ JOIN open o ON s.source IS NOT DISTINCT FROM o.source
 JOIN cut c ON s.source IS NOT DISTINCT FROM c.source
 """
 
+TOP_K = """
+WITH sound AS (
+    SELECT row_number() OVER () AS number, vec_id,
+           list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+    SELECT q.number, q.vec_id AS query_id, c.vec_id, c.number AS other,
+           list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM sound q JOIN sound c ON q.number <> c.number AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER best::INTEGER AS rank, vec_id, score
+FROM scored
+WINDOW best AS (PARTITION BY number ORDER BY score DESC, vec_id, other)
+QUALIFY row_number() OVER best <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op4_decontaminate": DECONTAMINATE,
+    "op5_exact_topk": TOP_K,
     "op8_mix_sources": MIX,
 }
