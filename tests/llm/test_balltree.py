@@ -1,0 +1,80 @@
+"""Exact top-k against all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+
+from titlelens.llm import balltree
+
+DDL = "vec_id long, embedding array<float>, number int, shard string, v int"
+
+
+def plain(rows, k, every):
+    sound = [(i, v, n) for n, (i, v) in enumerate(rows)
+             if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    whole = {n: [int(np.floor(1024 * float(np.float32(x)))) for x in v] for _, v, n in sound}
+    out = []
+    for i, v, n in sound:
+        if i is None or i % every:
+            continue
+        found = sorted(((-sum(a * b for a, b in zip(whole[n], whole[m])), j is None, j or 0)
+                        for j, u, m in sound if m != n and len(u) == len(v)))[:k]
+        out += [(i, r + 1, None if none else j, -s) for r, (s, none, j) in enumerate(found)]
+    return sorted(out, key=str)
+
+
+def _rows(seed, n=300, dim=6):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(dim)]) for i in range(n)]
+    same = rows[5][1]
+    rows += [(n + i, same) for i in range(30)]
+    rows += [(10, same), (10, same), (20, None), (30, [1.0] * (dim - 1) + [None]), (None, same),
+             (40, [float("nan")] * dim), (50, [float("inf")] * dim), (60, [1.0, 2.0]), (70, []),
+             (61, [0.5, 0.5]), (80, [0.0] * dim)]
+    return rows
+
+
+@pytest.mark.parametrize("seed,shard,block", [(1, 4096, 512), (2, 40, 7)])
+def test_equals_all_pairs(spark, seed, shard, block, monkeypatch):
+    monkeypatch.setattr(balltree, "SHARD_ROWS", shard)
+    monkeypatch.setattr(balltree, "BLOCK_ROWS", block)
+    monkeypatch.setattr(balltree, "LEAF_ROWS", 8)
+    rows = _rows(seed)
+    table = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], DDL)
+    got = balltree.top_k(table, k=5, every=10).collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows, 5, 10)
+
+
+def test_few_rows_and_none(spark):
+    table = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-1.0])],
+                                  "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, balltree.top_k(table).collect()))
+    assert got == [(0, 1, 1, 2 * 1024 ** 2), (0, 2, 2, -(1024 ** 2))]
+    assert balltree.top_k(table.limit(0)).count() == 0
+    assert balltree.top_k(table.filter("vec_id > 0")).count() == 0
+
+
+def test_large_components_stay_exact(spark):
+    table = spark.createDataFrame([(0, [2.0 ** 20 + 1, 1.0]), (1, [2.0 ** 20 + 3, 1.0]),
+                                   (2, [2.0 ** 20 + 3, 2.0])],
+                                  "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in balltree.top_k(table).orderBy("rank").collect()]
+    a, b = (2 ** 20 + 1) * 1024, (2 ** 20 + 3) * 1024
+    assert got == [(2, a * b + 2 * 1024 ** 2), (1, a * b + 1024 ** 2)]
+
+
+def test_search_prunes(monkeypatch):
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(20, 8)) * 500
+    rows = np.floor(np.repeat(centres, 100, axis=0) + rng.normal(size=(2000, 8))).astype(np.int64)
+    tree = balltree.Tree(rows)
+    looked = []
+    real = balltree._scores
+    monkeypatch.setattr(balltree, "_scores", lambda r, q: looked.append(len(r)) or real(r, q))
+    numbers = tree.order.copy()
+    query = rows[0]
+    got = balltree.search(tree, numbers, numbers, query, 0, 5, None)
+    want = sorted(((int(-(rows[i] @ query)), i) for i in range(1, 2000)))[:5]
+    assert sorted((-s, i) for s, i, _ in got) == want
+    assert sum(looked) < 600

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from titlelens.llm.licenses import BASE, OWN
+
 LOWERED = ("translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 WORDS = ("regexp_extract_all(" + LOWERED.format("coalesce(text, '')")
          + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -101,7 +103,59 @@ WINDOW best AS (PARTITION BY number ORDER BY score DESC, vec_id, other)
 QUALIFY row_number() OVER best <= 10
 """
 
+LICENSES = f"""
+WITH phrases(label, exact, phrase) AS (VALUES {", ".join(
+    f"('{label}', {exact}, '{phrase}')"
+    for exact, phrases in (("true", BASE), ("false", OWN)) for label, phrase in phrases)}),
+places AS (
+    SELECT label, exact, len(ws) AS length, i - 1 AS place, ws[i] || ' ' || ws[i + 1] AS gram
+    FROM (SELECT label, exact, ws, unnest(range(1, len(ws))) AS i
+          FROM (SELECT *, string_split(phrase, ' ') AS ws FROM phrases))),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+votes AS (
+    SELECT r, label, exact, length, pos, place, pos - place AS diagonal
+    FROM (SELECT r, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS gram
+          FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM docs)) JOIN places USING (gram)),
+diagonals AS (
+    SELECT r, label, exact, length, diagonal, list(DISTINCT place) AS voted,
+           min(pos) AS first, max(pos) AS last
+    FROM votes GROUP BY ALL),
+marked AS (
+    SELECT *, CASE WHEN diagonal - lag(diagonal) OVER line > 2 THEN 1 ELSE 0 END AS new
+    FROM diagonals
+    WINDOW line AS (PARTITION BY r, label, exact ORDER BY diagonal)),
+spans AS (
+    SELECT r, label, exact, length, span,
+           coalesce(list(diagonal) FILTER (len(voted) = length - 1), []) AS starts,
+           len(list_distinct(flatten(list(voted)))) AS voted,
+           max(last) + 2 - min(first) AS width
+    FROM (SELECT *, sum(new) OVER (PARTITION BY r, label, exact ORDER BY diagonal) AS span
+          FROM marked)
+    GROUP BY r, label, exact, length, span),
+judged AS (
+    SELECT *, CASE WHEN len(starts) > 0 THEN 1.0::DOUBLE
+                   WHEN width <= length + 4 THEN voted::DOUBLE / (length - 1)
+                   ELSE 0.0::DOUBLE END AS cover
+    FROM spans),
+per_doc AS (
+    SELECT r, sum(len(starts)) FILTER (exact) AS n_base,
+           min(list_min(starts)) FILTER (exact) AS first_word,
+           max(list_max(starts)) FILTER (exact) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact AND len(starts) > 0)
+               AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label)
+               FILTER (CASE WHEN exact THEN len(starts) > 0 ELSE cover >= 0.75 END) AS labels,
+           max(cover) AS score
+    FROM judged GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+       first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM docs LEFT JOIN per_doc USING (r)
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_license_scan": LICENSES,
     "op4_decontaminate": DECONTAMINATE,
     "op5_exact_topk": TOP_K,
     "op8_mix_sources": MIX,
