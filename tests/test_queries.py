@@ -7,16 +7,21 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from titlelens.plans.catalog import clean_titles
+from titlelens.operators import profile
+from titlelens.operators.clean import clean
+from titlelens.plans.catalog import clean_titles, raw_titles
+from titlelens.plans.oracle import ORACLE
+from titlelens.plans.queries import QUERIES
+from titlelens.sources.records import read_records
 
 DATA = os.environ.get("TITLELENS_DATA", "/root/testdata/sf0.001")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+# Those of the library proper; the ones of the llm subpackage have tests of their own.
 
 
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in ("part", "supplier", "orders", "lineitem"):
+    for table in ("part", "supplier", "orders", "lineitem", "nation", "region"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     return con
 
@@ -84,5 +89,33 @@ def test_cleaning_adds_no_shuffle_of_its_own(spark):
         plan = _plan(clean_titles(spark, DATA).select("title", "revenue_musd"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Parts and item sums meet on the part; the deduplication keeps that partitioning.
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    # Parts and item sums meet on the part; ids, some of them null, are dealt out once.
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3
+
+
+def test_no_shuffle_carries_the_credits(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = _plan(clean(read_records(spark, str(tmp_path))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = plan[:plan.rindex("Exchange hashpartitioning")]
+    assert "credits" not in above and "credits" in plan
+
+
+def test_audit_counts_in_a_hash(spark):
+    assert "SortAggregate" not in _plan(QUERIES["clean_audit"](spark, DATA))
+
+
+def test_cast_holds_every_supplier(spark):
+    pairs = spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_partkey", "l_suppkey").distinct()
+    held = raw_titles(spark, DATA).filter("status = 'Released' or id % 10 != 0").dropDuplicates(["id"])
+    seen = held.filter("credits.cast is not null").selectExpr("id", "size(credits.cast) n")
+    wanted = pairs.groupBy("l_partkey").count()
+    off = seen.join(wanted, seen["id"] == wanted["l_partkey"]).filter("n != count")
+    assert off.isEmpty() and not seen.isEmpty()
+
+
+def test_correlation_spreads_no_rows(spark):
+    plain = spark.range(9).selectExpr("id runtime", "id * id popularity")
+    assert "Generate" not in _plan(profile.correlation_matrix(plain))

@@ -68,7 +68,7 @@ def test_search_names_a_missing_column(titles):
 
 
 def test_presets(titles):
-    best = s.best_rated_with(titles)
+    best = s.best_rated_with(titles, ["Science Fiction", "Action"], "Bruce Willis")
     assert column(best, "title") == ["A"]
     assert best.columns == ["title", "release_year", "vote_average", "vote_count", "genres",
                             "director"]

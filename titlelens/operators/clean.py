@@ -73,17 +73,34 @@ def fix_types(df: DataFrame) -> DataFrame:
     return df.withColumns(fixed)
 
 
+def row_order(df: DataFrame, whole: bool = True) -> list[Column]:
+    """The default order of the rows of an id: released before other states, titled before
+    untitled, then by status, title and a hash of the whole row.  It depends on the rows alone,
+    so every run and every pass keeps the same one.
+
+    The hash reads every column.  Where rows that agree in status and title are known to be
+    alike, `whole=False` leaves it out, and unused columns are not read.
+    """
+    known = [F.asc(c) for c in ("status", "title") if c in df.columns]
+    tie = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()] if whole else []
+    return [survival_code(df).asc(), *known, *tie]
+
+
+def survival_code(df: DataFrame) -> Column:
+    """0 to 3, first two bits of that order: not released, untitled."""
+    released = F.col("status") == "Released" if "status" in df.columns else F.lit(True)
+    titled = F.col("title").isNotNull() if "title" in df.columns else F.lit(True)
+    return (F.when(F.coalesce(released, F.lit(False)), 0).otherwise(2)
+            + F.when(titled, 0).otherwise(1))
+
+
 def dedupe(df: DataFrame, key: str = "id", order_by: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key.  Any row may stay, unless `order_by` says which comes first.
+    """One row per key: the first by `order_by`, or by `row_order`.
 
     The window with a limit of one row is cut to one row per key in each task before the shuffle,
     so a key that holds a large share of all rows costs its reducer one row per task.
     """
-    if df.isStreaming:
-        if order_by is not None:
-            raise ValueError("a stream keeps the first row it sees; order_by is for batches")
-        return df.dropDuplicates([key])
-    order = order_by if order_by is not None else [F.col(key)]
+    order = order_by if order_by is not None else row_order(df)
     nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
 
@@ -103,28 +120,24 @@ def keep_released(df: DataFrame, order_by: Sequence[Column] | None = None) -> Da
 def removal_audit(df: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
     """What `keep_released` removes, rule by rule, in one row.
 
-    Without an order the copies are counted in the grouping that removes them, in one pass.
-    With one, the rows are counted in a second, column-pruned pass.
+    By default one grouping counts the copies and finds what matters of the surviving row, as two
+    numbers.  With an own order, the rows are counted in a second, column-pruned pass.
     """
-    complete = F.col("id").isNotNull() & F.col("titled")
-    released = F.col("status") == "Released" if "status" in df.columns else F.lit(True)
-    rows = df.withColumns({"titled": F.col("title").isNotNull(),
-                           "released": F.coalesce(released, F.lit(False))})
+    rows = df.withColumn("code", survival_code(df))
     if order_by is None:
-        unique = (rows.groupBy("id")
-                  .agg(F.count("*").alias("copies"),
-                       F.first(F.struct("titled", "released")).alias("row"))
-                  .select("id", "copies", "row.*"))
+        unique = rows.groupBy("id").agg(F.count("*").alias("copies"), F.min("code").alias("code"))
         before = F.coalesce(F.sum("copies"), F.lit(0))
     else:
         unique = dedupe(rows, "id", order_by)
         before = df.agg(F.count("*")).scalar()
+    complete = F.col("id").isNotNull() & (F.col("code") % 2 == 0)
+    released = F.col("code") < 2
     return unique.agg(
         before.alias("rows_before"),
         (before - F.count("*")).alias("duplicates_removed"),
         F.count_if(~complete).alias("incomplete_removed"),
-        F.count_if(complete & ~F.col("released")).alias("unreleased_removed"),
-        F.count_if(complete & F.col("released")).alias("rows_after"),
+        F.count_if(complete & ~released).alias("unreleased_removed"),
+        F.count_if(complete & released).alias("rows_after"),
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
@@ -133,25 +146,33 @@ def _length(array: str) -> Column:
     return F.when(F.col(array).isNotNull(), F.size(array))
 
 
+def add_people(df: DataFrame, billed: int = 5) -> DataFrame:
+    """Billed cast, director and team sizes from the credits."""
+    if "credits" not in df.columns:
+        return df
+    # Array functions without lambdas: they stay in generated code, and only the names and jobs
+    # are read.  Position 0 (no director) makes an index of -1, which gives null.
+    director_at = F.array_position("credits.crew.job", "Director").cast("int") - 1
+    return df.withColumns({
+        "cast": join_tokens(F.slice("credits.cast.name", 1, billed)),
+        "cast_size": _length("credits.cast.name"),
+        "director": F.get("credits.crew.name", director_at),
+        "crew_size": _length("credits.crew.name"),
+    })
+
+
+def blank_nan_texts(df: DataFrame) -> DataFrame:
+    """The literal text 'nan' becomes null."""
+    blank = {c: F.nullif(F.col(c), F.lit("nan")) for c in NAN_TEXT_COLUMNS if c in df.columns}
+    return df.withColumns(blank) if blank else df
+
+
 def add_features(df: DataFrame, billed: int = 5) -> DataFrame:
-    """Billed cast, director, team sizes and release year; literal 'nan' texts become null."""
-    added = {}
-    if "credits" in df.columns:
-        # Array functions without lambdas: they stay in generated code, and only the names and
-        # jobs are read.  Position 0 (no director) makes an index of -1, which gives null.
-        director_at = F.array_position("credits.crew.job", "Director").cast("int") - 1
-        added = {
-            "cast": join_tokens(F.slice("credits.cast.name", 1, billed)),
-            "cast_size": _length("credits.cast.name"),
-            "director": F.get("credits.crew.name", director_at),
-            "crew_size": _length("credits.crew.name"),
-        }
+    """The people columns and the release year; literal 'nan' texts become null."""
+    wider = add_people(df, billed)
     if "release_date" in df.columns:
-        added["release_year"] = release_year()
-    for name in NAN_TEXT_COLUMNS:
-        if name in df.columns:
-            added[name] = F.nullif(F.col(name), F.lit("nan"))
-    return df.withColumns(added) if added else df
+        wider = wider.withColumn("release_year", release_year())
+    return blank_nan_texts(wider)
 
 
 def sort_tokens(df: DataFrame, column: str = "genres") -> DataFrame:
@@ -164,10 +185,12 @@ def canonical_columns(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
-    """The full chain.  Works on batch and on streaming frames (there without `order_by`)."""
+    """The full chain.  Nested columns are read before the shuffle and left behind there."""
     return (df.transform(drop_unused)
             .transform(flatten_names)
             .transform(fix_types)
+            .transform(add_people)
+            .drop("credits", "belongs_to_collection", "budget", "revenue")
             .transform(keep_released, order_by)
             .transform(add_features)
             .transform(sort_tokens)

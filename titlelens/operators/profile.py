@@ -7,11 +7,13 @@ known first, however many columns there are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from titlelens.functions.hints import broadcast_if_small
 from titlelens.functions.metrics import reliable_rating, valid_financials, with_metrics
 from titlelens.operators.quantiles import quantiles
 from titlelens.operators.rollup import titles_per_year, token_counts
@@ -19,6 +21,7 @@ from titlelens.operators.rollup import titles_per_year, token_counts
 # The columns profiled by default.
 NUMERIC_COLUMNS = ["budget_musd", "revenue_musd", "runtime", "vote_average", "vote_count",
                    "popularity", "cast_size", "crew_size"]
+PAIRS_AT_ONCE = 5
 CORRELATED_COLUMNS = ["budget_musd", "revenue_musd", "runtime", "vote_average", "vote_count",
                       "popularity"]
 
@@ -61,39 +64,63 @@ def null_profile(df: DataFrame) -> DataFrame:
             .orderBy(F.desc("null_percentage"), "column"))
 
 
-def summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Spark's summary table (as text, with approximate quartiles) of the numeric columns."""
-    return df.select(*_present(df, columns, NUMERIC_COLUMNS)).summary()
+def summary(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles as rows of text, a column per metric.
 
-
-def statistics(df: DataFrame, columns: Sequence[str] | None = None,
-               exact: bool = True) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles, one row per numeric column."""
+    The layout of Spark's own summary, whose quartiles are elements.  They are exact at any size;
+    with `exact=False` they come from Spark's sketch.
+    """
     columns = _present(df, columns, NUMERIC_COLUMNS)
+    if not exact:
+        return df.select(*columns).summary()
+    q = F.col("quantiles")
+    cells = {"count": F.col("count"), "mean": F.col("mean"), "stddev": F.col("std"),
+             "min": F.col("min"), "25%": q[0], "50%": q[1], "75%": q[2], "max": F.col("max")}
+    measured = _measured(df, columns, element=True)
+    long = measured.select("column", F.posexplode(F.array(*[
+        cell.cast("string") for cell in cells.values()])).alias("place", "text"))
+    # One row per metric and line.
+    wide = long.groupBy("place").agg(*[
+        F.max(F.when(F.col("column") == c, F.col("text"))).alias(c) for c in columns])
+    names = F.array(*map(F.lit, cells))
+    return wide.orderBy("place").select(F.get(names, F.col("place")).alias("summary"), *columns)
+
+
+def _measured(df: DataFrame, columns: Sequence[str], exact: bool = True,
+              element: bool = False) -> DataFrame:
+    """Moments and quartiles, one row per column, one with count 0 where there are no values."""
     moments = {"count": F.count("*"), "mean": F.avg("value"), "std": F.stddev("value"),
                "min": F.min("value"), "max": F.max("value")}
     measured = quantiles(_long_values(df, columns), "value", [0.25, 0.5, 0.75], ["column"],
-                         len(columns), exact, also=moments)
-    # One row per column; a column without values keeps a row with count 0.
+                         len(columns), exact, element, also=moments)
     names = F.explode(F.array(*[F.lit(c) for c in columns]))
     listed = df.sparkSession.range(0, 1, 1, 1).select(names.alias("column"))
+    return listed.join(F.broadcast(measured), "column", "left").withColumn(
+        "count", F.coalesce("count", F.lit(0)))
+
+
+def statistics(df: DataFrame, columns: Sequence[str] | None = None,
+               exact: bool = True) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles, one row per numeric column."""
+    measured = _measured(df, _present(df, columns, NUMERIC_COLUMNS), exact)
     q = F.col("quantiles")
-    return (listed.join(F.broadcast(measured), "column", "left")
-            .select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min",
-                    q[0].alias("p25"), q[1].alias("median"), q[2].alias("p75"), "max"))
+    return measured.select("column", "count", "mean", "std", "min", q[0].alias("p25"),
+                           q[1].alias("median"), q[2].alias("p75"), "max")
 
 
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30) -> DataFrame:
     """Equal-width bins between each column's extremes, empty bins included.
 
     Bins are closed on the left, and the last one on both sides.  A column with a single value
-    gets a range of width one around it.  Without `columns`: the default ones and the profit.
+    gets a range of width one around it.  The profit is always added.  NaN and infinite values
+    are left out: they have no place in a range.
     """
     rows = with_metrics(df, "profit_musd")
     chosen = _present(rows, columns, NUMERIC_COLUMNS)
     if "profit_musd" in rows.columns and "profit_musd" not in chosen:
         chosen.append("profit_musd")
-    values = _long_values(rows, chosen).filter(~F.isnan("value"))
+    values = _long_values(rows, chosen).filter(
+        ~F.isnan("value") & (F.abs("value") < float("inf")))
 
     extremes = values.groupBy("column").agg(F.min("value").alias("least"),
                                             F.max("value").alias("most"))
@@ -113,13 +140,13 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
                .when((F.col("guess") < bins - 1) & (v >= edge(F.col("guess") + 1)),
                      F.col("guess") + 1)
                .otherwise(F.col("guess")))
-    # Both broadcasts hold one row per column, or one per column and bin.
+    # One row per column is broadcast.
     counts = (values.join(F.broadcast(ranges), "column")
               .withColumn("guess", guess)
               .groupBy("column", (settled + 1).cast("int").alias("bin"))
               .agg(F.count("*").alias("filled")))
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
-    return (grid.join(F.broadcast(counts), ["column", "bin"], "left")
+    return (grid.join(broadcast_if_small(counts, bins * len(chosen)), ["column", "bin"], "left")
             .select("column", "bin", edge(F.col("bin") - 1).alias("bin_start"),
                     edge(F.col("bin")).alias("bin_end"),
                     F.coalesce("filled", F.lit(0)).alias("count"))
@@ -127,32 +154,38 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_x, column_y, correlation) for all ordered pairs, from one grouped aggregation.
+    """(column_x, column_y, correlation) for all ordered pairs.
 
-    Each pair uses the rows that have both values, and is null if either is constant there.  A
-    row is spread into one small (pair, x, y) row per pair: the grouping has few keys and stays
-    in generated code, which one aggregate per pair side by side would be too large for.
+    Each pair uses the rows that have both values, and is null if either is constant there.  Five
+    pairs at a time are aggregated side by side in one row of plain numbers, so no row is spread
+    and the code stays small enough to be compiled.
     """
     columns = _present(df, columns, CORRELATED_COLUMNS)
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    cells = [cell for k, (i, j) in enumerate(pairs)
-             for cell in (F.lit(k), F.col(columns[i]).cast("double"),
-                          F.col(columns[j]).cast("double"))]
-    spread = df.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "x", "y"))
-    deviations = F.stddev_pop("x") * F.stddev_pop("y")
-    diagonal = F.col("pair").isin([k for k, (i, j) in enumerate(pairs) if i == j])
-    pearson = F.when(diagonal, F.when(deviations > 0, 1.0)).otherwise(
-        F.try_divide(F.covar_pop("x", "y"), deviations))
-    measured = (spread.dropna("any", subset=["x", "y"]).groupBy("pair")
-                .agg(pearson.alias("r")))
-    # One entry per pair of columns is collected.
-    found = measured.agg(F.map_from_entries(F.collect_list(F.struct("pair", "r"))).alias("by_pair"))
-    return found.select(F.inline(F.array(*[
-        F.struct(F.lit(x).alias("column_x"), F.lit(y).alias("column_y"),
-                 F.try_element_at("by_pair", F.lit(pairs.index((min(i, j), max(i, j)))))
-                 .alias("correlation"))
-        for i, x in enumerate(columns) for j, y in enumerate(columns)
-    ])))
+
+    def pearson(i: int, j: int) -> Column:
+        x, y = F.col(columns[i]), F.col(columns[j])
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        deviations = F.stddev_pop(x) * F.stddev_pop(y)
+        if i == j:
+            return F.when(F.stddev_pop(x) > 0, 1.0)
+        return F.try_divide(F.covar_pop(x, y), deviations)
+
+    def measured(some: list[tuple[int, int]]) -> DataFrame:
+        return doubles.agg(*[pearson(i, j).cast("double").alias(f"{i},{j}") for i, j in some]).unpivot(
+            [], [f"{i},{j}" for i, j in some], "pair", "correlation")
+
+    parts = [measured(pairs[at:at + PAIRS_AT_ONCE]) for at in range(0, len(pairs), PAIRS_AT_ONCE)]
+    found = reduce(DataFrame.union, parts)
+    names = F.array(*map(F.lit, columns))
+    place = lambda k: F.get(names, F.split_part("pair", F.lit(","), F.lit(k)).cast("int"))
+    one = found.select(place(1).alias("column_x"), place(2).alias("column_y"), "correlation")
+    other = one.filter("column_x != column_y").select(
+        F.col("column_y").alias("column_x"), F.col("column_x").alias("column_y"), "correlation")
+    order = [F.array_position(names, F.col(c)) for c in ("column_x", "column_y")]
+    return one.union(other).orderBy(*order)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -1,10 +1,11 @@
 """Exact interpolated quantiles without holding any group's values in one place.
 
 The built-in `percentile` keeps a map of all distinct values of a group in one buffer.  Here a
-mergeable sketch first brackets each quantile.  A second pass counts the values between the
-brackets as one row per gap, and those inside by value; the wanted ranks are then looked up in
-the running counts.  The sketch errs by at most 1/accuracy of the rows, so a bracket holds the
-wanted rank for certain, and no more than about eight times that share of the group.
+mergeable sketch first puts an edge to both sides of each quantile.  A second pass counts the
+values in narrow bins between the edges, and the running counts tell which bin holds a wanted
+rank.  A third pass tallies the values of those few bins; they are binned once more, and only
+the values of one bin of a bin are put in order.  Ordered sets are bins (at most `BINS` for each
+edge of a group), or some hundred-thousandth of the group's values near a quantile.
 """
 
 from __future__ import annotations
@@ -18,78 +19,112 @@ from pyspark.sql import functions as F
 
 from titlelens.functions.hints import broadcast_if_small
 
+BINS = 256
+
+
+def _bin(v: Column, low: Column, high: Column) -> Column:
+    """The equal-width bin of a value between two others; never falls as the value rises."""
+    place = F.floor(F.try_divide(v - low, high - low) * BINS)
+    return F.coalesce(F.greatest(F.least(place, F.lit(BINS - 1)), F.lit(0)), F.lit(0))
+
+
+def _ranked(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """With [_start, _stop), the 0-based ranks of each row's `_rows` values within its group."""
+    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (rows.withColumn("_stop", F.sum("_rows").over(upto))
+            .withColumn("_start", F.col("_stop") - F.col("_rows")))
+
+
+def _holding(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """The row of each target that holds its rank, and the rank within that row."""
+    held = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_stop"))
+    return _ranked(rows, [*by, "_target"], order).filter(held).withColumn(
+        "_rank", F.col("_rank") - F.col("_start"))
+
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str],
-              max_groups: int, exact: bool = True, element: bool = False,
+              max_groups: int | None = None, exact: bool = True, element: bool = False,
               accuracy: int = 10_000, also: Mapping[str, Column] | None = None) -> DataFrame:
     """Per group the array `quantiles`, in the order of `probs`, and the aggregates in `also`.
 
-    Covers the `max_groups` largest groups (equal sizes in key order); whether their brackets are
-    broadcast depends on that number.  `value` must be a double; its nulls count only in `also`,
-    which may hold sums, means and the like that come as fixed-width numbers.  The keys must not
-    be null.  Interpolates linearly between neighbours, or takes the lower `element`; with
-    `exact=False` it returns the sketch's own elements.
+    Covers all groups, or the `max_groups` largest (equal sizes in key order); only then are the
+    groups' edges broadcast, if few enough.  `value` must be a double; its nulls count only in
+    `also`, which may hold sums, means and the like that come as fixed-width numbers.  The keys
+    must not be null.  Interpolates linearly between neighbours, or takes the lower `element`;
+    with `exact=False` it returns the sketch's own elements.
     """
     probs, by, also = list(probs), list(by), dict(also or {})
     carried = [aggregate.alias(name) for name, aggregate in also.items()]
 
     def largest(groups: DataFrame) -> DataFrame:
+        if max_groups is None:
+            return groups
         return groups.orderBy(F.desc("_n"), *by).limit(max_groups)
 
+    def small(groups: DataFrame, times: int = 1) -> DataFrame:
+        return groups if max_groups is None else broadcast_if_small(groups, max_groups * times)
+
     if not exact:
         sketch = F.percentile_approx(value, probs, accuracy).alias("quantiles")
         groups = df.groupBy(*by).agg(F.count(value).alias("_n"), sketch, *carried)
         return largest(groups).select(*by, "quantiles", *also)
 
-    # Three sketch errors to each side, so that the bracket holds the rank for certain.
-    margin = 3 / accuracy
-    edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
-    sketch = largest(df.groupBy(*by).agg(
-        F.count(value).alias("_n"), F.percentile_approx(value, edges, accuracy).alias("_edges"),
+    margin = 3 / accuracy  # three sketch errors to each side
+    wanted = sorted({min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)})
+    groups = largest(df.groupBy(*by).agg(
+        F.count(value).alias("_n"), F.percentile_approx(value, wanted, accuracy).alias("_edges"),
         *carried))
-    spans = range(len(probs))
-    brackets = sketch.select(*by, "_n", *also, *[
-        F.col("_edges")[2 * i + end].alias(f"_{side}{i}")
-        for i in spans for end, side in enumerate(("low", "high"))])
-
-    # The aggregates in `also` ride along: they are the same in all rows of a group.
-    v = F.col(value)
-    inside = reduce(or_, [(v >= F.col(f"_low{i}")) & (v <= F.col(f"_high{i}")) for i in spans])
-    # Which gap a value outside all brackets lies in: the number of brackets it is beyond.
-    gap = reduce(add, [(v > F.col(f"_high{i}")).cast("int") for i in spans])
-    tally = (df.select(*by, value).join(broadcast_if_small(brackets, max_groups), by)
-             .groupBy(*by, "_n", F.when(~inside, gap).alias("_gap"), F.when(inside, v).alias("_at"))
-             .agg(F.count(v).alias("_rows"), F.min(v).alias("_least"), F.max(v).alias("_most"),
-                  *[F.max(name).alias(name) for name in also]))
-
-    # Gaps and values follow each other without overlap; [start, stop) are 0-based ranks.  Null
-    # values share one entry without rows, so it has no rank but keeps its group.
-    in_order = Window.partitionBy(*by).orderBy("_least")
-    placed = (tally.withColumn("_stop", F.sum("_rows").over(in_order.rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_start", F.col("_stop") - F.col("_rows")))
-
-    def at_rank(rank: Column) -> Column:
-        # Of a gap only both ends are known, and no more can be asked for.
-        known = (F.when(F.col("_gap").isNull(), F.col("_at"))
-                 .when(rank == F.col("_stop") - 1, F.col("_most"))
-                 .when(rank == F.col("_start"), F.col("_least"))
-                 .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")))
-        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_stop")), known))
+    edges = groups.select(*by, "_n", "_edges")
 
     def position(i: int) -> Column:
         if element:
             return F.greatest(F.ceil(F.col("_n") * probs[i]), F.lit(1)) - 1
         return (F.col("_n") - 1) * probs[i]
 
+    # Two targets per quantile: the neighbours to both sides of its position.
+    ranks = F.array(*[rounding(position(i)).cast("bigint") for i in range(len(probs))
+                      for rounding in (F.floor, F.ceil)])
+    targets = range(2 * len(probs))
+    v = F.col(value)
+    values = df.select(*by, value).filter(v.isNotNull())
+
+    beyond = reduce(add, [(v >= F.col("_edges")[j]).cast("int") for j in range(len(wanted))])
+    inner = _bin(v, F.get("_edges", F.col("_part") - 1), F.get("_edges", F.col("_part")))
+    bins = (values.join(small(edges), by).withColumn("_part", beyond)
+            .groupBy(*by, "_n", (F.col("_part") * BINS + inner).alias("_bin"))
+            .agg(F.count("*").alias("_rows"), F.min(v).alias("_low"), F.max(v).alias("_high")))
+    placed = _ranked(bins, by, "_bin").select(
+        *by, "_start", "_stop", "_low", "_high", F.posexplode(ranks).alias("_target", "_rank"))
+    first = placed.filter((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_stop"))
+                          ).select(*by, "_target", "_low", "_high",
+                                   (F.col("_rank") - F.col("_start")).alias("_rank"))
+
+    # The values of the bins found, counted; a bin of one value needs no look inside.
+    spans = first.groupBy(*by).agg(*[
+        F.max(F.when(F.col("_target") == t, F.col(side))).alias(f"{side}{t}")
+        for t in targets for side in ("_low", "_high")])
+    inside = reduce(or_, [F.coalesce(v.between(F.col(f"_low{t}"), F.col(f"_high{t}")), F.lit(False))
+                          for t in targets])
+    tally = (values.join(small(spans), by).filter(inside).groupBy(*by, v.alias("_v"))
+             .agg(F.count("*").alias("_rows")))
+
+    def within(spans: DataFrame) -> DataFrame:
+        return tally.join(small(spans, len(targets)), by).filter(
+            F.col("_v").between(F.col("_low"), F.col("_high")))
+
+    again = (within(first).groupBy(*by, "_target", "_rank", _bin(
+        F.col("_v"), F.col("_low"), F.col("_high")).alias("_bin"))
+        .agg(F.sum("_rows").alias("_rows"), F.min("_v").alias("_low"), F.max("_v").alias("_high")))
+    second = _holding(again, by, "_bin").select(*by, "_target", "_rank", "_low", "_high")
+    found = _holding(within(second), by, "_v").groupBy(*by).agg(*[
+        F.max(F.when(F.col("_target") == t, F.col("_v"))).alias(f"_v{t}") for t in targets])
+
     def between_neighbours(i: int) -> Column:
-        lower, upper, at = F.col(f"_lower{i}"), F.col(f"_upper{i}"), position(i)
+        lower, upper, at = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"), position(i)
         return F.when(lower == upper, lower).otherwise(
             lower * (F.ceil(at) - at) + upper * (at - F.floor(at)))
 
-    neighbours = placed.groupBy(*by, "_n").agg(
-        *[at_rank(rounding(position(i))).alias(f"_{side}{i}")
-          for i in spans for side, rounding in (("lower", F.floor), ("upper", F.ceil))],
-        *[F.max(name).alias(name) for name in also])
-    return neighbours.select(
-        *by, F.array(*map(between_neighbours, spans)).alias("quantiles"), *also)
+    # A group without values keeps its row.
+    return groups.drop("_edges").join(small(found), by, "left").select(
+        *by, F.array(*map(between_neighbours, range(len(probs)))).alias("quantiles"), *also)

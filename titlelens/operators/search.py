@@ -88,17 +88,20 @@ def _shown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
-def best_rated_with(df: DataFrame, genres: Words = ("Science Fiction", "Action"),
-                    actor: str = "Bruce Willis") -> DataFrame:
+# The columns that the two presets show.
+RATING_COLUMNS = ["title", "release_year", "vote_average", "vote_count", "genres", "director",
+                  "revenue_musd"]
+RUNTIME_COLUMNS = ["title", "release_year", "runtime", "vote_average", "genres", "revenue_musd",
+                   "budget_musd"]
+
+
+def best_rated_with(df: DataFrame, genres: Words, actor: str) -> DataFrame:
     """Titles of all the genres with the actor, best rated first."""
     found = search(df, genres=genres, actors=actor)
-    return _shown(found, ["title", "release_year", "vote_average", "vote_count", "genres",
-                          "director", "revenue_musd"])
+    return _shown(found, RATING_COLUMNS)
 
 
-def shortest_by_pair(df: DataFrame, actor: str = "Uma Thurman",
-                     director: str = "Quentin Tarantino") -> DataFrame:
+def shortest_by_pair(df: DataFrame, actor: str, director: str) -> DataFrame:
     """Titles the actor made with the director, shortest first."""
     found = search(df, actors=actor, directors=director, sort_by="runtime", ascending=True)
-    return _shown(found, ["title", "release_year", "runtime", "vote_average", "genres",
-                          "revenue_musd", "budget_musd"])
+    return _shown(found, RUNTIME_COLUMNS)

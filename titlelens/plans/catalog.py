@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlelens.operators.clean import clean
+from titlelens.operators.clean import clean, row_order
+
+
+NAMES = "array<struct<name:string>>"
 
 
 def _rounded(value: Column) -> Column:
@@ -28,14 +31,12 @@ def _sales(items: DataFrame) -> DataFrame:
         F.min("l_orderkey").alias("first_order"))
 
 
-def _teams(items: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """The supplier billed on each order line (1 to 7): the lowest key the part has there."""
-    billed = (items.filter(F.col("l_linenumber").between(1, 7))
-              .groupBy(F.col("l_partkey").alias("team_part"), "l_linenumber")
-              .agg(F.min("l_suppkey").alias("s_suppkey")))
-    named = billed.join(suppliers.select("s_suppkey", "s_name"), "s_suppkey")
-    # At most seven entries are collected per part.
-    member = F.struct("l_linenumber", "s_suppkey", "s_name")
+def _people(items: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Every supplier of a part, once, by key.  A list is as long as a part has suppliers."""
+    pairs = items.select(F.col("l_partkey").alias("team_part"), "l_suppkey").distinct()
+    named = pairs.join(suppliers.select("s_suppkey", "s_name"),
+                       F.col("l_suppkey") == F.col("s_suppkey"))
+    member = F.struct("s_suppkey", "s_name")
     return named.groupBy("team_part").agg(F.array_sort(F.collect_list(member)).alias("team"))
 
 
@@ -44,55 +45,91 @@ def _named(words: Column) -> Column:
 
 
 def _crew_member(person: Column) -> Column:
-    job = F.when(person["s_suppkey"] % 2 == 0, "Director").otherwise("Writer")
+    job = F.when(person["s_suppkey"] % 7 == 0, "Director").otherwise("Writer")
     return F.struct(job.alias("job"), person["s_name"].alias("name"))
 
 
 def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested raw records, one or two per part that was ever ordered."""
+    """Nested raw records, one or two per part, with dirty values that each rule has to mend.
+
+    Numbers and dates that may be dirty are text, as in a landed file.
+    """
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     items = table("lineitem")
     first_dates = (table("orders").groupBy(F.col("o_orderkey").alias("first_order"))
                    .agg(F.min("o_orderdate").alias("first_date")))
-    titles = (table("part").join(_sales(items), F.col("p_partkey") == F.col("part"))
+    nations = table("nation").join(
+        table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").groupBy(
+        F.col("n_nationkey").cast("bigint").alias("made_in")).agg(F.min("n_name").alias("n_name"),
+                                                   F.min("r_name").alias("r_name"))
+    titles = (table("part").join(_sales(items), F.col("p_partkey") == F.col("part"), "left")
               .join(first_dates, "first_order", "left")
-              .join(_teams(items, table("supplier")), F.col("part") == F.col("team_part"), "left"))
+              .join(_people(items, table("supplier")), F.col("p_partkey") == F.col("team_part"),
+                    "left")
+              .join(nations, F.col("p_partkey") % 25 == F.col("made_in"), "left"))
 
     size, brand, key = F.col("p_size"), F.col("p_brand"), F.col("p_partkey")
 
+    def every(n: int, dirty, value: Column) -> Column:
+        return F.when(key % n == 0, dirty).otherwise(value)
+
     def blank_every(n: int, value: Column) -> Column:
         return F.when(size % n == 0, 0).otherwise(value)
 
     retail_cents = _rounded(F.col("p_retailprice") * 100)
-    records = titles.select(
-        key.alias("id"),
-        F.concat_ws(" #", "p_name", key.cast("string")).alias("title"),
-        F.col("first_date").cast("date").cast("string").alias("release_date"),
-        F.when(size == 50, "Rumored").otherwise("Released").alias("status"),
+    runtime = blank_every(11, size.cast("bigint") * 3).cast("string")
+    title = every(89, None, every(53, "nan", F.concat_ws(" #", "p_name", key.cast("string"))))
+    credits = F.struct(
+        F.transform("team", lambda p: F.struct(p["s_name"].alias("name"))).alias("cast"),
+        F.transform("team", _crew_member).alias("crew"))
+    genres = _named(F.concat(F.split("p_name", " "), F.array("p_type")))
+    none = F.array().cast(NAMES)
+    markers = F.array(*map(F.lit, ["No Overview", "n/a", "No Data", "nan"]))
+    # Copies: every tenth title is there twice.  Every twentieth copy was withdrawn, every
+    # thirtieth has another title, and every seventieth title was released only as a copy.
+    copy = F.col("copy")
+    status = F.when(size == 50, "Rumored").otherwise("Released")
+    status = (F.when((copy == 1) & (key % 20 == 0), "Rumored")
+              .when((copy == 0) & (key % 70 == 0), "Planned")
+              .otherwise(every(83, None, status)))
+    records = titles.withColumn("copy", F.explode(F.sequence(
+        F.lit(0), F.when(key % 10 == 0, 1).otherwise(0))))
+    return records.select(
+        every(97, None, key).alias("id"),
+        F.when((copy == 1) & (key % 30 == 0), F.concat(title, F.lit(" (copy)"))).otherwise(title)
+        .alias("title"),
+        every(41, "", every(43, "soon", F.col("first_date").cast("date").cast("string")))
+        .alias("release_date"),
+        status.alias("status"),
         F.lit("tt0").alias("imdb_id"),
-        F.when(size <= 25, F.struct(size.cast("bigint").alias("id"),
-                                    F.concat(brand, F.lit(" Collection")).alias("name"))
-               ).alias("belongs_to_collection"),
-        _named(F.concat(F.split("p_name", " "), F.array("p_type"))).alias("genres"),
+        F.when(size <= 25, F.struct(
+            size.cast("bigint").alias("id"),
+            F.when(size == 20, "nan").otherwise(F.concat(brand, F.lit(" Collection")))
+            .alias("name"))).alias("belongs_to_collection"),
+        every(37, none, every(59, None, genres)).alias("genres"),
+        _named(F.array("n_name")).alias("production_countries"),
+        _named(F.array(brand, F.concat(F.lit("Studio "), "p_type"))).alias("production_companies"),
+        _named(F.array("r_name", F.lit("LATIN"))).alias("spoken_languages"),
+        F.lower(F.substring("r_name", 1, 2)).alias("original_language"),
         F.struct(_named(F.array("p_brand", "p_type")).alias("keywords")).alias("keywords"),
-        F.struct(F.transform("team", lambda p: F.struct(p["s_name"].alias("name"))).alias("cast"),
-                 F.transform(F.slice("team", 1, 3), _crew_member).alias("crew")).alias("credits"),
+        every(61, None, credits).alias("credits"),
         blank_every(10, F.col("net_cents")).alias("revenue"),
         blank_every(7, F.col("quantity") * retail_cents * (1 + size % 4)).alias("budget"),
-        blank_every(11, size.cast("bigint") * 3).alias("runtime"),
-        F.when(size % 9 == 0, "No Overview").otherwise(F.col("p_name")).alias("overview"),
-        F.when(size % 8 == 0, "nan").otherwise(brand).alias("tagline"),
+        F.when(size % 13 == 0, F.concat(runtime, F.lit(".0")))
+        .when(size % 12 == 0, "unknown").otherwise(runtime).alias("runtime"),
+        F.when(size % 9 == 0, F.get(markers, (size / 9).cast("int") % 4))
+        .otherwise(F.col("p_name")).alias("overview"),
+        F.when(size % 8 == 0, "nan").when(size % 15 == 0, "n/a").otherwise(brand)
+        .alias("tagline"),
         F.col("items").alias("vote_count"),
         (F.col("discount_points") / F.col("items")).alias("vote_average"),
         F.col("quantity").cast("double").alias("popularity"),
     )
-    # Every tenth title is there twice.
-    copies = F.when(F.col("id") % 10 == 0, 2).otherwise(1)
-    return (records.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-            .drop("copy"))
 
 
 def clean_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(raw_titles(spark, sf_dir))
+    """The cleaned catalog.  Copies planted above differ in status and title at most."""
+    raw = raw_titles(spark, sf_dir)
+    return clean(raw, row_order(raw, whole=False))

@@ -11,49 +11,69 @@ WITH sales AS (
          count(*) AS items,
          min(l_orderkey) AS first_order
   FROM lineitem GROUP BY l_partkey),
-billed AS (
-  SELECT l_partkey AS part, l_linenumber, min(l_suppkey) AS supp
-  FROM lineitem GROUP BY l_partkey, l_linenumber),
 team AS (
   SELECT part, s_suppkey, s_name,
-         row_number() OVER (PARTITION BY part ORDER BY l_linenumber) AS pos
-  FROM billed JOIN supplier ON s_suppkey = supp),
+         row_number() OVER (PARTITION BY part ORDER BY s_suppkey) AS pos
+  FROM (SELECT DISTINCT l_partkey AS part, l_suppkey FROM lineitem)
+  JOIN supplier ON s_suppkey = l_suppkey),
 people AS (
   SELECT part,
          string_agg(s_name, '|' ORDER BY pos) FILTER (WHERE pos <= 5) AS "cast",
-         CAST(count(*) AS INTEGER) AS cast_size,
-         arg_min(s_name, pos) FILTER (WHERE pos <= 3 AND s_suppkey % 2 = 0) AS director,
-         CAST(least(count(*), 3) AS INTEGER) AS crew_size
+         CAST(count(*) AS INTEGER) AS team_size,
+         arg_min(s_name, pos) FILTER (WHERE s_suppkey % 7 = 0) AS director
   FROM team GROUP BY part),
-titles AS (
-  SELECT p_partkey AS id,
-         p_name || ' #' || p_partkey AS title,
-         CASE WHEN p_size % 8 <> 0 THEN p_brand END AS tagline,
-         CAST(o_orderdate AS DATE) AS release_date,
-         list_append(string_split(p_name, ' '), p_type) AS words,
-         CASE WHEN p_size <= 25 THEN p_brand || ' Collection' END AS collection_name,
+parts AS (
+  SELECT *, 3 * p_size AS minutes,
+         CASE WHEN p_partkey % 41 <> 0 AND p_partkey % 43 <> 0 THEN CAST(o_orderdate AS DATE) END AS released_on
+  FROM part LEFT JOIN sales ON sales.part = p_partkey
+  LEFT JOIN orders ON o_orderkey = first_order
+  LEFT JOIN people ON people.part = p_partkey AND p_partkey % 61 <> 0
+  LEFT JOIN nation ON n_nationkey = p_partkey % 25
+  LEFT JOIN region ON r_regionkey = n_regionkey),
+raw AS (
+  SELECT CASE WHEN p_partkey % 97 <> 0 THEN p_partkey END AS id,
+         CASE WHEN p_partkey % 89 = 0 THEN NULL
+              ELSE CASE WHEN p_partkey % 53 = 0 THEN 'nan' ELSE p_name || ' #' || p_partkey END
+                   || CASE WHEN nth = 1 AND p_partkey % 30 = 0 THEN ' (copy)' ELSE '' END
+         END AS title,
+         CASE WHEN p_size % 8 <> 0 AND p_size % 15 <> 0 THEN p_brand END AS tagline,
+         released_on AS release_date,
+         CASE WHEN p_partkey % 37 = 0 THEN [] WHEN p_partkey % 59 = 0 THEN NULL
+              ELSE list_append(string_split(p_name, ' '), p_type) END AS words,
+         CASE WHEN p_size = 20 THEN 'nan' WHEN p_size <= 25 THEN p_brand || ' Collection' END AS collection_text,
+         lower(left(r_name, 2)) AS original_language,
          CASE WHEN p_size % 7 <> 0 THEN quantity * CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) * (1 + p_size % 4) END AS budget,
          CASE WHEN p_size % 10 <> 0 THEN net_cents END AS revenue,
+         p_brand || '|Studio ' || p_type AS production_companies,
+         coalesce(n_name, '') AS production_countries,
          items AS vote_count,
          CAST(discount_points AS DOUBLE) / items AS vote_average,
          CAST(quantity AS DOUBLE) AS popularity,
-         CASE WHEN p_size % 11 <> 0 THEN CAST(3 * p_size AS BIGINT) END AS runtime,
+         CASE WHEN p_size % 11 <> 0 AND (p_size % 12 <> 0 OR p_size % 13 = 0) THEN CAST(minutes AS BIGINT) END AS runtime,
          CASE WHEN p_size % 9 <> 0 THEN p_name END AS overview,
-         "cast", cast_size, director, crew_size,
-         CAST(year(o_orderdate) AS INTEGER) AS release_year,
+         coalesce(r_name || '|', '') || 'LATIN' AS spoken_languages,
+         "cast", team_size AS cast_size, director, team_size AS crew_size,
+         CAST(year(released_on) AS INTEGER) AS release_year,
          p_brand || '|' || p_type AS keywords,
-         CASE WHEN p_size = 50 THEN 'Rumored' ELSE 'Released' END AS status,
-         CASE WHEN p_partkey % 10 = 0 THEN 2 ELSE 1 END AS copies
-  FROM part JOIN sales ON sales.part = p_partkey
-  LEFT JOIN orders ON o_orderkey = first_order
-  LEFT JOIN people ON people.part = p_partkey),
-raw AS (SELECT * FROM titles, range(2) AS copy(nth) WHERE nth < copies),
+         CASE WHEN nth = 1 AND p_partkey % 20 = 0 THEN 'Rumored'
+              WHEN nth = 0 AND p_partkey % 70 = 0 THEN 'Planned'
+              WHEN p_partkey % 83 = 0 THEN NULL
+              WHEN p_size = 50 THEN 'Rumored' ELSE 'Released' END AS status
+  FROM parts, range(2) AS copy(nth) WHERE nth = 0 OR p_partkey % 10 = 0),
+titles AS (
+  SELECT * FROM raw
+  QUALIFY row_number() OVER (PARTITION BY id
+    ORDER BY status IS DISTINCT FROM 'Released', title IS NULL, status NULLS FIRST, title NULLS FIRST) = 1),
 clean AS (
-  SELECT id, title, tagline, release_date, array_to_string(list_sort(words), '|') AS genres,
-         collection_name, CAST(budget AS DOUBLE) / 1000000 AS budget_musd,
-         CAST(revenue AS DOUBLE) / 1000000 AS revenue_musd, vote_count, vote_average, popularity,
-         runtime, overview, "cast", cast_size, director, crew_size, release_year, keywords
-  FROM titles WHERE status = 'Released'),
+  SELECT id, nullif(title, 'nan') AS title, tagline, release_date,
+         array_to_string(list_sort(words), '|') AS genres,
+         nullif(collection_text, 'nan') AS collection_name, original_language,
+         CAST(budget AS DOUBLE) / 1000000 AS budget_musd,
+         CAST(revenue AS DOUBLE) / 1000000 AS revenue_musd, production_companies,
+         production_countries, vote_count, vote_average, popularity,
+         runtime, overview, spoken_languages, "cast", cast_size, director, crew_size,
+         release_year, keywords
+  FROM titles WHERE status = 'Released' AND id IS NOT NULL AND title IS NOT NULL),
 money AS (
   SELECT *, revenue_musd - budget_musd AS profit_musd,
          CASE WHEN budget_musd > 0 THEN (revenue_musd - budget_musd) / budget_musd * 100 END AS roi
@@ -71,11 +91,12 @@ _NUMERIC = ["budget_musd", "revenue_musd", "runtime", "vote_average", "vote_coun
 _CORRELATED = _NUMERIC[:6]
 _CLEAN_TYPES = {
     "id": "bigint", "title": "string", "tagline": "string", "release_date": "date",
-    "genres": "string", "collection_name": "string", "budget_musd": "double",
-    "revenue_musd": "double", "vote_count": "bigint", "vote_average": "double",
-    "popularity": "double", "runtime": "bigint", "overview": "string", "cast": "string",
-    "cast_size": "int", "director": "string", "crew_size": "int", "release_year": "int",
-    "keywords": "string"}
+    "genres": "string", "collection_name": "string", "original_language": "string",
+    "budget_musd": "double", "revenue_musd": "double", "production_companies": "string",
+    "production_countries": "string", "vote_count": "bigint", "vote_average": "double",
+    "popularity": "double", "runtime": "bigint", "overview": "string",
+    "spoken_languages": "string", "cast": "string", "cast_size": "int", "director": "string",
+    "crew_size": "int", "release_year": "int", "keywords": "string"}
 _MONEY = ["release_year", "budget_musd", "revenue_musd"]
 _VOTES = ["release_year", "vote_average", "vote_count"]
 
@@ -205,35 +226,38 @@ FROM clean WHERE release_year IS NOT NULL AND revenue_musd IS NOT NULL AND {wher
 
 def _unlanded(shown: str) -> str:
     return f"""{CATALOG} SELECT {shown} FROM part
-WHERE p_partkey NOT IN (SELECT id FROM titles WHERE status = 'Released')"""
+WHERE p_partkey NOT IN (SELECT id FROM raw WHERE status = 'Released' AND id IS NOT NULL)"""
 
 
 ORACLE: dict[str, str] = {
     "clean_catalog": _CLEAN,
-    "clean_audit": f"""{CATALOG} SELECT CAST(sum(copies) AS BIGINT) AS rows_before,
-  CAST(sum(copies - 1) AS BIGINT) AS duplicates_removed, CAST(0 AS BIGINT) AS incomplete_removed,
-  count(*) FILTER (WHERE status <> 'Released') AS unreleased_removed,
-  count(*) FILTER (WHERE status = 'Released') AS rows_after,
-  CAST(sum(copies) - count(*) FILTER (WHERE status = 'Released') AS BIGINT) AS rows_removed
+    "clean_audit": f"""{CATALOG} SELECT (SELECT count(*) FROM raw) AS rows_before,
+  (SELECT count(*) FROM raw) - count(*) AS duplicates_removed,
+  count(*) FILTER (WHERE id IS NULL OR title IS NULL) AS incomplete_removed,
+  count(*) FILTER (WHERE id IS NOT NULL AND title IS NOT NULL
+                   AND status IS DISTINCT FROM 'Released') AS unreleased_removed,
+  (SELECT count(*) FROM clean) AS rows_after,
+  (SELECT count(*) FROM raw) - (SELECT count(*) FROM clean) AS rows_removed
 FROM titles""",
     "flatten_names": f"""{CATALOG} SELECT id, array_to_string(words, '|') AS genres,
-  collection_name, keywords FROM raw""",
+  collection_text AS collection_name, production_companies, production_countries,
+  spoken_languages, keywords FROM raw""",
     "fix_types": f"""{CATALOG} SELECT id, release_date, budget, revenue, runtime,
   CAST(budget AS DOUBLE) / 1000000 AS budget_musd,
   CAST(revenue AS DOUBLE) / 1000000 AS revenue_musd, overview, tagline FROM raw""",
     "dedupe_ids": f"{CATALOG} SELECT id, title, status FROM titles",
     "people_features": f"""{CATALOG} SELECT id, "cast", cast_size, director, crew_size,
-  release_year, tagline FROM raw""",
+  release_year, tagline, nullif(title, 'nan') AS title FROM raw""",
     "sort_tokens": f"""{CATALOG} SELECT id, array_to_string(list_sort(words), '|') AS genres
 FROM raw""",
 
     "landing_plan": _unlanded("p_partkey AS id"),
     "load_count": _unlanded("count(*) AS to_load"),
-    "landed_inventory": f"""{CATALOG} SELECT CAST(sum(copies) AS BIGINT) AS landed_records,
-  CAST(0 AS BIGINT) AS empty_files FROM titles WHERE status = 'Released'""",
+    "landed_inventory": f"""{CATALOG} SELECT count(*) AS landed_records,
+  CAST(0 AS BIGINT) AS empty_files FROM raw WHERE status = 'Released'""",
     "roundtrip_json": _CLEAN,
     "roundtrip_parquet": _CLEAN,
-    "roundtrip_csv": _CLEAN,
+    "roundtrip_csv": f"{CATALOG} SELECT * REPLACE (nullif(genres, '') AS genres) FROM clean",
 
     "rank_top_revenue": _rank("revenue_musd", _MONEY),
     "rank_bottom_revenue": _rank("revenue_musd", _MONEY, ascending=True),

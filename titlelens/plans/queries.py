@@ -8,7 +8,6 @@ chosen so that no exact value lies halfway: money has 6 places, and so have its
 from __future__ import annotations
 
 from collections.abc import Callable
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,22 +24,8 @@ TOTALS = {"total_budget_musd", "total_revenue_musd", "total_revenue"}
 LISTED = ["id", "title", "genres", "cast", "director", "release_year", "vote_average"]
 
 
-_planned: WeakKeyDictionary[SparkSession, dict[tuple, DataFrame]] = WeakKeyDictionary()
-
-
-def _planned_once(build: Query) -> Query:
-    """Build the lazy plan once per session and folder; its data is read anew by every query."""
-    def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-        plans = _planned.setdefault(spark, {})
-        key = (build.__name__, sf_dir)
-        if key not in plans:
-            plans[key] = build(spark, sf_dir)
-        return plans[key]
-    return plan
-
-
-raw_titles = _planned_once(catalog.raw_titles)
-clean_titles = _planned_once(catalog.clean_titles)
+raw_titles = catalog.raw_titles
+clean_titles = catalog.clean_titles
 
 
 def rounded(df: DataFrame, places: int) -> DataFrame:
@@ -99,10 +84,7 @@ def _landed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw")
     raw_titles(spark, sf_dir).write.json(path)
-    stored = clean.clean(records.read_records(spark, path, multi_line=False))
-    # Columns that no record has are null throughout; the check compares the others.
-    return stored.drop("original_language", "production_companies", "production_countries",
-                       "spoken_languages")
+    return clean.clean(records.read_records(spark, path, multi_line=False))
 
 
 def _roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,16 +112,18 @@ QUERIES: dict[str, Query] = {
     "clean_catalog": _on_clean(lambda df: df),
     "clean_audit": _on_raw(lambda raw: clean.removal_audit(_flat(raw))),
     "flatten_names": _on_raw(
-        lambda raw: _flat(raw).select("id", "genres", "collection_name", "keywords")),
+        lambda raw: _flat(raw).select(
+            "id", "genres", "collection_name", "production_companies", "production_countries",
+            "spoken_languages", "keywords")),
     "fix_types": _on_raw(
         lambda raw: clean.fix_types(_flat(raw)).select(
             "id", "release_date", "budget", "revenue", "runtime", "budget_musd", "revenue_musd",
             "overview", "tagline")),
     "dedupe_ids": _on_raw(
-        lambda raw: clean.dedupe(raw.select("id", "title", "status"), order_by=[F.asc("title")])),
+        lambda raw: clean.dedupe(raw.select("id", "title", "status"))),
     "people_features": _on_raw(
         lambda raw: clean.add_features(clean.fix_types(raw)).select(
-            "id", "cast", "cast_size", "director", "crew_size", "release_year", "tagline")),
+            "id", "cast", "cast_size", "director", "crew_size", "release_year", "tagline", "title")),
     "sort_tokens": _on_raw(lambda raw: clean.sort_tokens(_flat(raw)).select("id", "genres")),
     # sources and sinks
     "landing_plan": _landing_plan,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -14,11 +14,19 @@ def clean_new_files(spark: SparkSession, raw_path: str, out_path: str, checkpoin
                     schema: T.StructType = RAW_SCHEMA, multi_line: bool = True) -> StreamingQuery:
     """Clean the files landed since the last run, append them as Parquet, and stop.
 
-    The checkpoint remembers the files done and the ids seen, so no title is written twice.
-    The first row seen of an id is the one that counts.
+    The checkpoint remembers the files done.  Each batch is cleaned like a table of its own and
+    leaves out the titles that are stored already, so no id is kept as state, a batch that is run
+    again adds nothing, and a title that was not released yet may come with a later file.
     """
     landed = (spark.readStream.schema(schema).option("multiLine", multi_line)
               .option("pathGlobFilter", "*.json").json(raw_path))
-    return (clean(landed).writeStream.format("parquet").outputMode("append")
+
+    def append(batch: DataFrame, _: int) -> None:
+        titles = clean(batch)
+        titles.limit(0).write.mode("ignore").parquet(out_path)  # so that there is a table to read
+        stored = spark.read.schema(titles.schema).parquet(out_path).select("id")
+        titles.join(stored, "id", "left_anti").write.mode("append").parquet(out_path)
+
+    return (landed.writeStream.foreachBatch(append)
             .option("checkpointLocation", checkpoint_path)
-            .trigger(availableNow=True).start(out_path))
+            .trigger(availableNow=True).start())
