@@ -68,8 +68,9 @@ def encode(ids: np.ndarray, table: Table) -> dict:
     """A block: payload, checkpoints and checksum."""
     n = len(ids)
     lanes = int(min(MAX_LANES, max(1, n // 32)))
-    place = np.searchsorted(table.symbols, ids) if n else np.zeros(0, np.int64)
-    freqs, starts = table.freqs[place], table.starts[place]
+    place = np.zeros(int(table.symbols[-1]) + 1 if n else 0, np.int64)
+    place[table.symbols if n else []] = np.arange(len(table.symbols) if n else 0)
+    freqs, starts = table.freqs[place[ids]], table.starts[place[ids]]
     bits, room = np.uint64(table.bits), np.uint64(63 - table.bits)
     states = np.full(lanes, LOWEST, np.uint64)
     words, written, marks = [], 0, []

@@ -1,7 +1,7 @@
 """Token ids of whole texts, by the tokenizers library, for byte-level BPE vocabularies.
 
 Such a vocabulary cuts a text into words before it merges bytes, and a word's ids do not depend
-on its neighbours.  So the library encodes each distinct word once per worker and the ids of a
+on its neighbours.  So the library encodes each new word once, many together, and the ids of a
 text are put together from a bounded memo: equal to encoding the whole text, several times as
 fast.  The memo relies on two cuts that the word pattern always makes where no two white-space
 characters meet: in front of a space, and on both sides of a line break.  Any other text, and any
@@ -16,8 +16,42 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-MAX_MEMO = 400_000
-_DOUBLE_SPACE = re.compile(r"\s\s")
+MAX_MEMO = 300_000
+LEARNT_AT_ONCE = 4096
+# Stands in front of a word without a space before it; texts that hold it are encoded whole.
+_START = "\x00"
+_SPACE = re.compile(r"\s")
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
+# Every white-space character but the space and the line break.
+_OTHER = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"]
+_OTHER_ASCII = [c for c in _OTHER if c.isascii()]
+
+
+def _is_odd(text: str) -> bool:
+    """Whether white space may meet white space, or the mark is in the text."""
+    return (any(p in text for p in _PAIRS) or _START in text
+            or any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER)))
+
+
+class _Memo(dict):
+    """Ids of words.  The words asked for lately are kept when it is full."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> bytes | None:
+        known = self.older.get(word)
+        if known is None:
+            self.new.append(word)
+        self[word] = known  # none until it is learnt
+        return known
+
+    def rotate(self) -> None:
+        if len(self) > MAX_MEMO:
+            self.older = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -26,47 +60,65 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         before = told.get("pre_tokenizer") or {}
+        added = [t["content"] for t in told.get("added_tokens", [])]
         self.by_word = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
                         and not before.get("add_prefix_space") and not told.get("normalizer")
-                        and not any(" " in t["content"] or "\n" in t["content"]
-                                    or t["lstrip"] or t["rstrip"] or t["single_word"]
+                        and not any(_SPACE.search(t) for t in added)
+                        and not any(t["lstrip"] or t["rstrip"] or t["single_word"]
                                     for t in told.get("added_tokens", [])))
-        self.starting: dict[str, bytes] = {"": b""}
-        self.spaced: dict[str, bytes] = {}
+        # Words around which other words may be cut differently.
+        self.alone = re.compile("|".join([r"\s", *map(re.escape, added)]))
+        self.memo = _Memo()
+        self.line_break = self._whole(["\n"])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
-    def _learn(self, memo: dict[str, bytes], chunks: set[str], prefix: str) -> None:
-        new = [c for c in chunks if c not in memo]
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            memo.update(zip(part, self._whole([prefix + c for c in part])))
+    def _learn(self) -> None:
+        """Encode the new words, on lines of one text; the breaks between them are one id each."""
+        memo, words = self.memo, self.memo.new
+        memo.new = []
+        shown = [w[1:] if w.startswith(_START) else w if w == "\n" else " " + w for w in words]
+        joined, alone = list(zip(words, shown)), []
+        if "\n" in words or "" in words or _START in words or self.alone.search("".join(words)):
+            plain = [len(t) > 1 and not self.alone.search(t[1:]) for t in shown]
+            alone = [x for x, p in zip(joined, plain) if not p]
+            joined = [x for x, p in zip(joined, plain) if p]
+        for at in range(0, len(joined), LEARNT_AT_ONCE):
+            part = joined[at:at + LEARNT_AT_ONCE]
+            raw = self._whole(["\n".join([t for _, t in part])])[0]
+            ids = np.frombuffer(raw, "<u4")
+            breaks = np.flatnonzero(ids == np.frombuffer(self.line_break, "<u4")[0])
+            if len(self.line_break) != 4 or len(breaks) != len(part) - 1:
+                alone += part
+                continue
+            cuts = (breaks * 4).tolist()
+            for (word, _), a, b in zip(part, [-4, *cuts], [*cuts, len(raw)]):
+                memo[word] = raw[a + 4:b]
+        for at in range(0, len(alone), LEARNT_AT_ONCE):
+            part = alone[at:at + LEARNT_AT_ONCE]
+            memo.update(zip([w for w, _ in part], self._whole([t for _, t in part])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_word:
             return self._whole(texts)
-        if len(self.starting) + len(self.spaced) > MAX_MEMO:
-            self.starting, self.spaced = {"": b""}, {}
-        plain = [not _DOUBLE_SPACE.search(t) for t in texts]
-        lines = [[line.split(" ") for line in t.split("\n")] if p else []
-                 for t, p in zip(texts, plain)]
-        first, rest = set(), set()
-        for text in lines:
-            for line in text:
-                first.add(line[0])
-                rest.update(line[1:])
-        self._learn(self.starting, first, "")
-        self._learn(self.spaced, rest, " ")
-        if not hasattr(self, "line_break"):
-            self.line_break = self._whole(["\n"])[0]
-        odd = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
-        starting, spaced = self.starting, self.spaced
-        return [self.line_break.join([
-            starting[line[0]] + b"".join([spaced[w] for w in line[1:]]) for line in text])
-            if p else next(odd) for text, p in zip(lines, plain)]
+        memo = self.memo
+        memo.rotate()
+        odd = [_is_odd(t) for t in texts]
+        words = [[] if o else (_START + t.replace("\n", f" \n {_START}")).split(" ")
+                 for t, o in zip(texts, odd)]
+        found = [[memo[w] for w in line] for line in words]
+        if memo.new:
+            self._learn()
+        whole = iter(self._whole([t for t, o in zip(texts, odd) if o]))
+        out = []
+        for line, ids, o in zip(words, found, odd):
+            if None in ids:
+                ids = [memo[w] if i is None else i for w, i in zip(line, ids)]
+            out.append(next(whole) if o else b"".join(ids))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
