@@ -1,7 +1,7 @@
 """Toxicity by a chain of linear classifiers.
 
 Categories are predicted one after the other.  Each has a logistic model on which telling tokens
-(words, their beginnings, runs of punctuation) a text has, and on the probabilities of the
+(words, beginnings that one word or several have, runs of punctuation) a text has, and on the probabilities of the
 categories before it.  While fitting, those come from models that have not seen the row
 (out-of-fold), so that a later model learns how far the earlier ones can be trusted.
 
@@ -16,6 +16,7 @@ toxic; each row of a repeated document is scored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +35,21 @@ REJECT = 0.5
 # In the order of the chain: 0/1 expressions over the labels.
 CATEGORIES = {"junk": "1 - quality", "toxic": "toxic", "toxic_junk": "toxic * (1 - quality)"}
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+")
-_STARTS = (4, 5, 6)
+_STARTS = (4, 5, 6, 7, 8)
+
+
+def _starts_of(words: set[str], n: int, known: set[str] | None = None) -> set[str]:
+    """`^` and the first n letters of longer words; `^^` and those that two words begin with."""
+    starts = [w[:n] for w in words if len(w) > n]
+    counts = Counter(starts if known is None else [s for s in starts if s in known])
+    return {"^" + s for s in counts} | {"^^" + s for s, k in counts.items() if k > 1}
 
 
 def text_tokens(text: str | None) -> set[str]:
     words = set(_TOKEN.findall((text or "").lower()))
-    found = {w[:64] for w in words}
+    found = {w[:64] for w in words if w[0] != "^"}
     for n in _STARTS:
-        found.update(["^" + w[:n] for w in words if len(w) > n])
+        found |= _starts_of(words, n)
     return found
 
 
@@ -86,7 +94,7 @@ def _probability(x: np.ndarray) -> np.ndarray:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
-    """Weights, the last for the constant; by Newton's method."""
+    """Weights, the last for the constant; by Newton's method, with steps that never go uphill."""
     rate = (y.sum() + 0.5) / (len(y) + 1)
     w = np.zeros(x.shape[1] + 1)
     w[-1] = np.log(rate / (1 - rate))
@@ -95,13 +103,28 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> np.n
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     ridge = np.full(len(w), penalty)
     ridge[-1] = 1e-6
-    for _ in range(12):
+
+    def loss(weights: np.ndarray) -> float:
+        z = x @ weights
+        return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * (ridge * weights) @ weights)
+
+    now = loss(w)
+    for _ in range(25):
         p = _probability(x @ w)
         scale = np.maximum(p * (1 - p), 1e-5)
-        step = np.linalg.solve((x * scale[:, None].astype(x.dtype)).T @ x + np.diag(ridge),
-                               x.T @ (p - y) + ridge * w)
-        w -= step
-        if np.abs(step).max() < 1e-4:
+        step = np.linalg.solve(((x * scale[:, None].astype(x.dtype)).T @ x).astype(float)
+                               + np.diag(ridge), x.T @ (p - y) + ridge * w)
+        # Rows that can be told apart invite steps that are too long.
+        for _ in range(20):
+            after = loss(w - step)
+            if after <= now:
+                break
+            step = step / 2
+        else:
+            break
+        done = now - after < 1e-4 * max(1.0, after)
+        w, now = w - step, after
+        if done:
             break
     return w
 
@@ -116,18 +139,18 @@ class Chain:
             for token, w in zip(tokens, weights):
                 self.places.setdefault(token, []).append((i, float(w)))
         self.whole = {t for t in self.places if not t.startswith("^")}
-        self.starts = [(n, {t for t in self.places if t[0] == "^" and len(t) == n + 1})
-                       for n in _STARTS]
+        self.starts = [(n, {t.lstrip("^") for t in self.places
+                            if t[0] == "^" and len(t.lstrip("^")) == n}) for n in _STARTS]
 
     def scores(self, text: str | None) -> list[float]:
         words = set(_TOKEN.findall((text or "").lower()))
         found = {w[:64] for w in words} & self.whole
         for n, known in self.starts:
             if known:
-                found |= {"^" + w[:n] for w in words if len(w) > n} & known
+                found |= _starts_of(words, n, known)
         sums = [0.0] * len(self.models)
         for token in sorted(found):
-            for i, w in self.places[token]:
+            for i, w in self.places.get(token, ()):
                 sums[i] += w
         done: list[float] = []
         for (_, tokens, weights), total in zip(self.models, sums):
