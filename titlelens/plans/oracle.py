@@ -214,6 +214,7 @@ fenced AS (
 
 _LISTED = ["id", "title", "genres", "cast", "director", "release_year", "vote_average"]
 _CLEAN = f"{CATALOG} SELECT * FROM clean"
+_CSV = f"{CATALOG} SELECT * REPLACE (nullif(genres, '') AS genres) FROM clean"
 _BARS = """round(avg(revenue_musd), 4) AS mean_revenue, round(avg(budget_musd), 4) AS mean_budget,
   round(avg(vote_average), 4) AS mean_rating"""
 
@@ -257,7 +258,8 @@ FROM raw""",
   CAST(0 AS BIGINT) AS empty_files FROM raw WHERE status = 'Released'""",
     "roundtrip_json": _CLEAN,
     "roundtrip_parquet": _CLEAN,
-    "roundtrip_csv": f"{CATALOG} SELECT * REPLACE (nullif(genres, '') AS genres) FROM clean",
+    "roundtrip_csv": _CSV,
+    "roundtrip_one_csv": _CSV,
 
     "rank_top_revenue": _rank("revenue_musd", _MONEY),
     "rank_bottom_revenue": _rank("revenue_musd", _MONEY, ascending=True),
@@ -274,6 +276,8 @@ FROM raw""",
     "rank_top_roi_big_budget": _rank("roi", _MONEY, where="budget_musd >= 100", n=25),
     "rank_bottom_rated_many_votes": _rank("vote_average", _VOTES, ascending=True,
                                           where="vote_count >= 30"),
+    "rank_unknown_metric": """SELECT CAST(NULL AS INTEGER) AS rank, CAST(NULL AS VARCHAR) AS title
+WHERE false""",
     "best_value": _rank("budget_per_point", ["budget_musd", "vote_average", "vote_count"],
                         ascending=True, where="vote_count >= 10",
                         source="(SELECT *, CASE WHEN vote_average > 0 THEN budget_musd / "
@@ -287,6 +291,7 @@ FROM raw""",
     "filter_genres_exact": _filtered("list_contains(string_split(genres, '|'), 'old')", _LISTED),
     "filter_actor": _filtered("""contains(lower("cast"), 'supplier#00000001')""", _LISTED),
     "filter_director": _filtered("contains(director, 'Supplier#00000000')", _LISTED),
+    "filter_missing_column": _filtered("false", ["id", "title"]),
     "filter_years": _filtered("release_year BETWEEN 1996 AND 1998", _LISTED),
     "filter_valid_financials": _filtered("budget_musd > 0 AND revenue_musd > 0",
                                          ["id", "budget_musd", "revenue_musd"]),
@@ -347,6 +352,13 @@ FROM by_genre WHERE release_year IS NOT NULL GROUP BY genre, release_year""",
     "histogram": _histogram(),
     "correlation": _correlation(),
     "quality_report": _QUALITY,
+    "full_profile": f"""{CATALOG} SELECT part, part_rows FROM (VALUES
+  ('overview', {len(_CLEAN_TYPES)}::BIGINT), ('null_profile', {len(_CLEAN_TYPES)}), ('summary', 8),
+  ('statistics', {len(_NUMERIC)}), ('histogram', {30 * (len(_NUMERIC) + 1)}),
+  ('correlation', {len(_CORRELATED)}), ('quality_report', 1)) AS fixed(part, part_rows)
+UNION ALL SELECT 'genre_counts', least(15, count(DISTINCT genre)) FROM by_genre
+UNION ALL SELECT 'titles_per_year', least(20, count(*))
+FROM (SELECT DISTINCT release_year FROM clean)""",
 
     "chart_revenue_budget": _filtered("budget_musd > 0 AND revenue_musd > 0",
                                       ["title", "budget_musd", "revenue_musd", "release_year"]),

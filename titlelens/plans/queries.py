@@ -8,6 +8,7 @@ chosen so that no exact value lies halfway: money has 6 places, and so have its
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,20 @@ def _roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_csv(spark, path, titles.schema)
 
 
+def _roundtrip_one_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "one-csv")
+    titles = clean_titles(spark, sf_dir)
+    tables.write_csv(titles, path, single_file=True)
+    return tables.read_csv(spark, path, titles.schema)
+
+
+def _profile_sizes(df: DataFrame) -> DataFrame:
+    """How many rows each part of the full profile has."""
+    sizes = [part.agg(F.count("*").alias("part_rows")).select(F.lit(name).alias("part"), "part_rows")
+             for name, part in profile.full_profile(df, all_parts=True).items()]
+    return reduce(DataFrame.union, sizes)
+
+
 def _summary_as_numbers(df: DataFrame) -> DataFrame:
     text = profile.summary(df)
     return text.select("summary", *[F.col(c).try_cast("double").alias(c)
@@ -132,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "roundtrip_json": _roundtrip_json,
     "roundtrip_parquet": _roundtrip_parquet,
     "roundtrip_csv": _roundtrip_csv,
+    "roundtrip_one_csv": _roundtrip_one_csv,
     # rankings
     **{f"rank_{name}": _on_clean(lambda df, name=name: rank.ranking(df, name))
        for name in rank.RANKINGS},
@@ -140,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "rank_bottom_rated_many_votes": _on_clean(
         lambda df: rank.rank_by(df, "vote_average", ascending=True,
                                 where=F.col("vote_count") >= 30)),
+    "rank_unknown_metric": _on_clean(lambda df: rank.rank_by(df, "nothing")),
     "best_value": _on_clean(rank.best_value),
     "top_standalone_revenue": _on_clean(rank.top_standalone_revenue),
     # filters and search
@@ -154,6 +171,8 @@ QUERIES: dict[str, Query] = {
     "filter_director": _on_clean(
         lambda df: search.filter_director(df, "Supplier#00000000",
                                           case_sensitive=True).select(*LISTED)),
+    "filter_missing_column": _on_clean(
+        lambda df: search.filter_actor(df.select("id", "title"), "x")),
     "filter_years": _on_clean(lambda df: search.filter_years(df, 1996, 1998).select(*LISTED)),
     "filter_valid_financials": _on_clean(
         lambda df: df.filter(metrics.valid_financials()).select("id", "budget_musd", "revenue_musd")),
@@ -196,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "histogram": _on_clean(profile.histogram),
     "correlation": _on_clean(profile.correlation_matrix, 6),
     "quality_report": _on_clean(profile.quality_report, 4),
+    "full_profile": _on_clean(_profile_sizes),
     # chart data
     "chart_revenue_budget": _on_clean(chartdata.budget_revenue_points),
     "chart_trend_line": _on_clean(chartdata.budget_revenue_line, 6),
