@@ -16,6 +16,9 @@ empty tables give no rows or no hits.  Further columns of either table are not l
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,15 +113,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
             F.col("doc_id").alias("__doc_id")).distinct()
         return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["__doc_id"]), "left_anti")
 
-    array = words(docs["text"])
-
-    def known(n: int) -> Column:
+    def known(array: Column, n: int) -> Column:
         hashes, texts = bench.hashes(n), bench.texts[n]
         starts = F.when(F.size(array) >= n, F.sequence(F.lit(0), F.size(array) - n))
         return F.coalesce(F.exists(starts, lambda i: gram_hash(array, i, n).isin(hashes)
                                    & gram_text(array, i, n).isin(texts)), F.lit(False))
 
-    clean = F.lit(True)
-    for n in bench.lengths:
-        clean = clean & ~known(n)
-    return docs.filter(clean)
+    # The words are the argument of a function, so that they are made once for each text, where
+    # the filter would otherwise make them anew for every place.
+    dirty = F.exists(F.array(words(docs["text"])),
+                     lambda array: reduce(or_, [known(array, n) for n in bench.lengths]))
+    return docs.filter(~dirty)
