@@ -82,9 +82,9 @@ by_genre AS (SELECT *, unnest(string_split(genres, '|')) AS genre FROM money)
 """
 
 _MEASURES = """count(*) AS movie_count,
-  round(sum(budget_musd), 6) AS total_budget_musd, round(avg(budget_musd), 4) AS mean_budget_musd,
-  round(sum(revenue_musd), 6) AS total_revenue_musd, round(avg(revenue_musd), 4) AS mean_revenue_musd,
-  round(avg(vote_average), 4) AS mean_rating, round(avg(vote_count), 4) AS mean_vote_count"""
+  round(sum(budget_musd), 6) AS total_budget_musd, round(avg(budget_musd) + 1e-9, 4) AS mean_budget_musd,
+  round(sum(revenue_musd), 6) AS total_revenue_musd, round(avg(revenue_musd) + 1e-9, 4) AS mean_revenue_musd,
+  round(avg(vote_average) + 1e-9, 4) AS mean_rating, round(avg(vote_count) + 1e-9, 4) AS mean_vote_count"""
 
 _NUMERIC = ["budget_musd", "revenue_musd", "runtime", "vote_average", "vote_count", "popularity",
             "cast_size", "crew_size"]
@@ -196,9 +196,9 @@ _QUALITY = f"""{CATALOG}, q AS (
 SELECT n AS total_rows, CAST({len(_CLEAN_TYPES)} AS INTEGER) AS total_columns,
        n * {len(_CLEAN_TYPES)} AS total_cells, filled AS filled_cells,
        n * {len(_CLEAN_TYPES)} - filled AS missing_cells,
-       round(filled / (n * {len(_CLEAN_TYPES)}) * 100, 4) AS completeness_pct,
-       financial AS valid_financial_rows, round(financial / n * 100, 4) AS valid_financial_pct,
-       rated AS reliable_rating_rows, round(rated / n * 100, 4) AS reliable_rating_pct
+       round(filled / (n * {len(_CLEAN_TYPES)}) * 100 + 1e-9, 4) AS completeness_pct,
+       financial AS valid_financial_rows, round(financial / n * 100 + 1e-9, 4) AS valid_financial_pct,
+       rated AS reliable_rating_rows, round(rated / n * 100 + 1e-9, 4) AS reliable_rating_pct
 FROM q"""
 
 _BOXES = f"""{CATALOG}, points AS (
@@ -215,8 +215,8 @@ fenced AS (
 _LISTED = ["id", "title", "genres", "cast", "director", "release_year", "vote_average"]
 _CLEAN = f"{CATALOG} SELECT * FROM clean"
 _CSV = f"{CATALOG} SELECT * REPLACE (nullif(genres, '') AS genres) FROM clean"
-_BARS = """round(avg(revenue_musd), 4) AS mean_revenue, round(avg(budget_musd), 4) AS mean_budget,
-  round(avg(vote_average), 4) AS mean_rating"""
+_BARS = """round(avg(revenue_musd) + 1e-9, 4) AS mean_revenue, round(avg(budget_musd) + 1e-9, 4) AS mean_budget,
+  round(avg(vote_average) + 1e-9, 4) AS mean_rating"""
 
 
 def _yearly(where: str) -> str:
@@ -320,9 +320,9 @@ WHERE false""",
     "row_count": f"{CATALOG} SELECT count(*) AS row_count FROM clean",
     "compare_franchise": f"""{CATALOG} SELECT
   CASE WHEN collection_name IS NULL THEN 'Standalone' ELSE 'Franchise' END AS is_franchise,
-  count(*) AS movie_count, round(avg(revenue_musd), 4) AS mean_revenue_musd,
-  round(quantile_disc(roi, 0.5), 4) AS median_roi, round(avg(budget_musd), 4) AS mean_budget_musd,
-  round(avg(popularity), 4) AS mean_popularity, round(avg(vote_average), 4) AS mean_rating
+  count(*) AS movie_count, round(avg(revenue_musd) + 1e-9, 4) AS mean_revenue_musd,
+  round(quantile_disc(roi, 0.5) + 1e-9, 4) AS median_roi, round(avg(budget_musd) + 1e-9, 4) AS mean_budget_musd,
+  round(avg(popularity) + 1e-9, 4) AS mean_popularity, round(avg(vote_average) + 1e-9, 4) AS mean_rating
 FROM money GROUP BY 1""",
     "top_franchises_revenue": _top_groups("collection_name", 10, "total_revenue_musd"),
     "top_franchises_rating": _top_groups("collection_name", 5, "mean_rating"),
@@ -369,10 +369,10 @@ FROM (SELECT DISTINCT release_year FROM clean)""",
 FROM clean WHERE budget_musd > 0 AND revenue_musd > 0""",
     "chart_roi_points": f"{_BOXES} SELECT genre, roi FROM points",
     "chart_roi_box": f"""{_BOXES} SELECT genre, count(*) AS points,
-  round(least(min(roi) FILTER (WHERE inside), any_value(q1)), 4) AS whisker_low,
-  round(any_value(q1), 4) AS q1, round(any_value(median), 4) AS median,
-  round(any_value(q3), 4) AS q3,
-  round(greatest(max(roi) FILTER (WHERE inside), any_value(q3)), 4) AS whisker_high,
+  round(least(min(roi) FILTER (WHERE inside), any_value(q1)) + 1e-9, 4) AS whisker_low,
+  round(any_value(q1) + 1e-9, 4) AS q1, round(any_value(median) + 1e-9, 4) AS median,
+  round(any_value(q3) + 1e-9, 4) AS q3,
+  round(greatest(max(roi) FILTER (WHERE inside), any_value(q3)) + 1e-9, 4) AS whisker_high,
   count(*) FILTER (WHERE NOT inside) AS outliers FROM fenced GROUP BY genre""",
     "chart_roi_outliers": f"{_BOXES} SELECT genre, roi FROM fenced WHERE NOT inside",
     "chart_popularity": f"""{CATALOG} SELECT title, popularity, vote_average, vote_count,
@@ -382,6 +382,6 @@ FROM clean WHERE popularity IS NOT NULL AND vote_average IS NOT NULL AND vote_co
     "chart_yearly_range": _yearly("release_year BETWEEN 1997 AND 1999"),
     "chart_franchise": f"""{CATALOG} SELECT
   CASE WHEN collection_name IS NULL THEN 'Standalone' ELSE 'Franchise' END AS movie_type,
-  count(*) AS count, {_BARS}, round(avg(popularity), 4) AS mean_popularity,
-  round(avg(roi), 4) AS mean_roi FROM money GROUP BY 1""",
+  count(*) AS count, {_BARS}, round(avg(popularity) + 1e-9, 4) AS mean_popularity,
+  round(avg(roi) + 1e-9, 4) AS mean_roi FROM money GROUP BY 1""",
 }

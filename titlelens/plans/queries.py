@@ -1,8 +1,8 @@
 """The query registry: every operator over the whole catalog of the given tables.
 
 Values of single titles are compared as they are.  Sums and means of doubles depend on the order
-of the rows in their last digits, so both sides of the SQL check round those.  The places are
-chosen so that no exact value lies halfway: money has 6 places, and so have its totals.
+of the rows in their last digits, so both sides of the SQL check round those.  Money has 6
+places, and so have its totals; a mean that lies halfway is nudged up on both sides.
 """
 
 from __future__ import annotations
@@ -30,8 +30,10 @@ clean_titles = catalog.clean_titles
 
 
 def rounded(df: DataFrame, places: int) -> DataFrame:
+    """Round the doubles.  Of four places, a value halfway is nudged up on both sides first."""
+    nudge = 1e-9 if places == 4 else 0.0
     return df.withColumns({
-        f.name: F.round(f.name, 6 if f.name in TOTALS else places)
+        f.name: F.round(f.name, 6) if f.name in TOTALS else F.round(F.col(f.name) + nudge, places)
         for f in df.schema if f.dataType.typeName() == "double"
     })
 
