@@ -77,6 +77,20 @@ def test_equals_all_pairs(spark, seed):
     assert len(rows) == len(with_words) + bare
 
 
+@pytest.mark.parametrize("docs,want", [
+    ([(None, "a b c d e f"), (None, "g h i j k l")], 2),  # unlike, null ids
+    ([(7, "a b c d e f"), (7, "g h i j k l")], 2),  # unlike, one id
+    ([(None, "a b c d e f"), (None, "a b c d e f")], 1),  # equal rows
+    ([(None, "a b"), (None, "A  b"), (7, "a b"), (7, "c"), (None, "c"), (None, None), (None, None)],
+     4),
+])
+def test_one_row_of_each_group_whatever_the_ids(spark, docs, want):
+    kept = ngram_join.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(kept) == want
+    worded = {" ".join(t.lower().split()) for _, t in docs if t}
+    assert {" ".join(r["text"].lower().split()) for r in kept if r["text"]} == worded
+
+
 def test_frequent_elements_and_slices(spark, small):
     """With limits so low that nearly all is frequent and blocks are cut in many slices."""
     docs = corpus(7)

@@ -296,8 +296,11 @@ def links(docs: DataFrame, scan: Scan, percent: int = PERCENT) -> DataFrame:
     return found.union(more)
 
 
-def similar(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id for each row of `docs`."""
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_key, n, group, component for each row of `docs`.
+
+    group: the class that stands for all similar ones, whatever ids their texts have.
+    """
     scan = Scan(docs)
     label = components(links(docs, scan, percent))
     classes = (scan.docs.filter("n > 0").groupBy("cls")
@@ -306,24 +309,32 @@ def similar(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                .filter("copies > 1 or label is not null")
                .withColumn("label", F.coalesce("label", "cls")))
     least = classes.groupBy("label").agg(F.min("least").alias("component"))
-    named = classes.join(least, "label").select("cls", "component")
-    return (scan.docs.join(named, "cls", "left")
-            .select("doc_id", "text_key", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.coalesce("component", "doc_id"))
-                    .otherwise(F.col("doc_id")).alias("component_id")))
+    named = classes.join(least, "label").select("cls", "label", "component")
+    return scan.docs.join(named, "cls", "left").select(
+        "doc_id", "text_key", "n", F.coalesce("label", "cls").alias("group"), "component")
+
+
+def similar(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id for each row of `docs`."""
+    return _grouped(docs, percent).select(
+        "doc_id", "text_key", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.coalesce("component", "doc_id"))
+        .otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """`docs` with one row of each component: the least id's.  Texts without words all stay."""
-    rows = similar(docs, percent)
-    bare = rows.filter("n_shingles = 0").select("doc_id", "text_key").distinct()
-    kept = (rows.filter("n_shingles > 0").groupBy("component_id")
+    """`docs` with one row of each group of similar texts: the least id's.  Texts without words
+    all stay.  Unlike texts all stay too, be their ids null or shared."""
+    rows = _grouped(docs, percent)
+    bare = rows.filter("n = 0").select("doc_id", "text_key").distinct()
+    kept = (rows.filter("n > 0").groupBy("group")
             .agg(F.min(F.struct("doc_id", "text_key")).alias("d")).select("d.*"))
     kept = stored(kept.withColumn("one", F.lit(True)).union(
         bare.withColumn("one", F.lit(False))), "kept")
-    again = (rows.groupBy("doc_id", "text_key").count().filter("count > 1")
-             .join(kept.filter("one"), ["doc_id", "text_key"]))
     few = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "one")
+    again = rows.groupBy("doc_id", "text_key").count().filter("count > 1").join(
+        few.filter("one"), F.col("doc_id").eqNullSafe(F.col("__id"))
+        & (F.col("text_key") == F.col("__key")))
     few = F.broadcast(few) if kept.count() <= MAX_SENT else few
     same = docs["doc_id"].eqNullSafe(few["__id"]) & (F.xxhash64(docs["text"]) == few["__key"])
     left = docs.join(few, same).select(*[docs[c] for c in docs.columns], few["one"].alias("__one"))
