@@ -71,6 +71,15 @@ def test_equals_plain_python(spark, seed, max_set, monkeypatch):
         assert sorted(got, key=str) == sorted(clean, key=str)
 
 
+@pytest.mark.parametrize("max_set", [0, 20_000])
+def test_clean_texts_stay_whatever_their_ids(spark, max_set, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_SET", max_set)
+    clean = [(None, "clean one"), (1, "clean two"), (None, None), (1, ""), (2, "x"), (2, "x")]
+    docs = [*clean, (None, "a bad item here"), (1, "Bad item!"), (1, "Bad item!")]
+    kept = decontaminate.drop_contaminated(*_frames(spark, docs, [(1, "bad item")])).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(clean, key=str)
+
+
 def test_very_long_text_and_empty_tables(spark):
     docs, items = [(1, "lorem " * 50_000 + "one two three four five six seven eight nine ten")], [
         (7, "One two three four five six seven eight nine ten")]

@@ -65,9 +65,8 @@ def _hits(array: Column, bench: BenchmarkWindows) -> Column:
         "array<struct<pos:int,n:int,gram:string>>")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated; one row per row of `docs`."""
-    bench = BenchmarkWindows(benchmark, window)
+def _per_text(docs: DataFrame, bench: BenchmarkWindows) -> DataFrame:
+    """doc_id, text_key, n_words, n_hit, rows, items for each distinct id and text of `docs`."""
     rows = (docs.select("doc_id", F.xxhash64("text").alias("text_key"),
                         words(F.col("text")).alias("w"))
             .select("doc_id", "text_key", F.size("w").cast("bigint").alias("n_words"),
@@ -87,13 +86,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     reach = F.greatest(F.coalesce(F.max(F.col("pos") + F.col("n")).over(before), F.lit(0)),
                        F.col("pos"))
     fresh = F.greatest(F.col("pos") + F.col("n") - reach, F.lit(0))
-    per_text = (found.withColumn("fresh", F.when(F.col("pos") < 0, 0).otherwise(fresh))
-                .groupBy("doc_id", "text_key")
-                .agg(F.max("n_words").alias("n_words"),
-                     F.sum("fresh").cast("bigint").alias("n_hit"),
-                     F.count_if(F.col("pos") < 0).cast("int").alias("rows"),
-                     F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")))
-    return per_text.select(
+    return (found.withColumn("fresh", F.when(F.col("pos") < 0, 0).otherwise(fresh))
+            .groupBy("doc_id", "text_key")
+            .agg(F.max("n_words").alias("n_words"),
+                 F.sum("fresh").cast("bigint").alias("n_hit"),
+                 F.count_if(F.col("pos") < 0).cast("int").alias("rows"),
+                 F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated; one row per row of `docs`."""
+    return _per_text(docs, BenchmarkWindows(benchmark, window)).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
@@ -109,9 +112,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     if not bench.lengths:
         return docs
     if bench.texts is None:
-        dirty = contamination(docs, benchmark, window).filter("contaminated").select(
-            F.col("doc_id").alias("__doc_id")).distinct()
-        return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["__doc_id"]), "left_anti")
+        dirty = _per_text(docs, bench).filter("n_hit > 0").select(
+            F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"))
+        return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["__doc_id"])
+                         & (F.xxhash64(docs["text"]) == dirty["__text_key"]), "left_anti")
 
     def known(array: Column, n: int) -> Column:
         hashes, texts = bench.hashes(n), bench.texts[n]
