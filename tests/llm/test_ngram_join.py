@@ -99,6 +99,28 @@ def test_frequent_elements_and_slices(spark, small):
     assert sorted(map(tuple, got), key=str) == plain_components(docs)
 
 
+def test_no_task_holds_a_whole_block(spark, monkeypatch):
+    """A block of texts that share a frequent passage and are mostly not similar."""
+    monkeypatch.setattr(ngram_join, "SLICE", 10)
+    monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 30)
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(84))
+    docs = [(i, f"{passage} " + " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(24)))
+            for i in range(100)]
+    docs += [(200 + i, f"{t} more") for i, t in docs[:7]]
+    most, joined = [], ngram_join._joined
+
+    def watched(sets, percent):
+        most.append(sets.groupBy("block", "slice").count().agg({"count": "max"}).first()[0])
+        return joined(sets, percent)
+
+    monkeypatch.setattr(ngram_join, "_joined", watched)
+    got = ngram_join.similar(spark.createDataFrame(docs, "doc_id long, text string")).select(
+        "doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == plain_components(docs)
+    assert len(most) == 2 and most[1] <= 50
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.similar(frame).count() == 0

@@ -9,11 +9,12 @@
    classes that share such an element are put together without making pairs.
 4. What goes on falls into blocks without links between them.  The sets of a block are joined in
    a prefix tree (see `trie`).  A block of many sets is dealt to slices: all slices hold the
-   block's least set, so most sets are connected in the first round; the others then go to every
-   slice in a second round.
+   block's least set, so most sets are connected in the first round.  In the second, pairs of
+   slices meet of which one holds sets outside the block's largest component, and whose sizes
+   are near enough.
 
 No pair is dropped: frequent elements only change the order, and bounds are exact.  Elements are
-64-bit hashes.  Memory in a task is bounded by a slice of sets, a batch of text, or the
+64-bit hashes.  Memory in a task is bounded by two slices of sets, a batch of text, or the
 frequent shingles (at most `MAX_FREQUENT` hashes, the only thing sent to all tasks).
 
 Edge cases: null and wordless texts have an empty set, link with nothing and are a component of
@@ -23,6 +24,7 @@ chosen as a component's id unless it has no other; empty tables give no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -257,7 +259,7 @@ def _sets(docs: DataFrame, members: DataFrame, count: int) -> DataFrame:
     return (texts.join(few, F.col("key").eqNullSafe(F.col("doc_id"))
                        & (F.col("key2") == F.col("text_key")))
             .select("block", "slice", "cls", "label", "text")
-            .mapInArrow(run, "block long, slice int, cls long, label long, grams binary"))
+            .mapInArrow(run, "block long, slice long, cls long, label long, grams binary"))
 
 
 def _joined(sets: DataFrame, percent: int) -> DataFrame:
@@ -265,21 +267,52 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(_block_links(percent), "a long, b long"))
 
 
+def _second_round(named: DataFrame, percent: int) -> DataFrame:
+    """`named` with a slice for each meeting a set takes part in.
+
+    The sets of a block are put in pieces of about `SLICE` by size band, and apart by whether
+    they are in the block's largest component, which needs no more links inside.  Similar sets
+    are of the same band or of neighbouring ones.
+    """
+    main = (named.groupBy("block", "label").count().groupBy("block")
+            .agg(F.max(F.struct("count", "label"))["label"].alias("main")))
+    width = math.log(100 / percent) * 1.001 if percent < 100 else 1.0
+    rows = named.join(main, "block").withColumn("main", F.col("label") == F.col("main")).withColumn(
+        "band", F.floor(F.log("n") / width).cast("int"))
+    parts = rows.groupBy("block", "main", "band").agg(
+        F.ceil(F.count("*") / SLICE).cast("int").alias("parts"))
+    rows = rows.join(parts, ["block", "main", "band"]).withColumn(
+        "piece", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    spread = parts.select("block", "main", "band", F.explode(
+        F.sequence(F.lit(0), F.col("parts") - 1)).alias("piece"))
+    pieces = stored(spread.select("block", F.struct("main", "band", "piece").alias("a")), "pieces")
+    near = pieces.select("block", F.col("a").alias("b"), F.explode(F.array(
+        *[F.col("a.band") + i for i in (-1, 0, 1)])).alias("band"))
+    pairs = (pieces.withColumn("band", F.col("a.band")).join(near, ["block", "band"])
+             .filter("a <= b and not (a.main and b.main)"))
+    met = pairs.select("block", F.xxhash64("a", "b").alias("slice"), F.explode(
+        F.array_distinct(F.array("a", "b"))).alias("p")).select("block", "slice", "p.*")
+    return rows.join(met, ["block", "main", "band", "piece"]).select(
+        "block", "slice", "cls", "label", "doc_id", "text_key")
+
+
 def links(docs: DataFrame, scan: Scan, percent: int = PERCENT) -> DataFrame:
     """(a, b): links between classes, enough to connect all that are similar."""
     blocks = stored(components(_candidates(docs, scan, percent)).select(
         F.col("node").alias("cls"), F.col("label").alias("block")), "blocks")
     sizes = blocks.groupBy("block").agg(F.count("*").alias("k"))
-    one = scan.docs.groupBy("cls").agg(F.min(F.struct("doc_id", "text_key")).alias("d"))
+    one = scan.docs.groupBy("cls").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("d"), F.max("n").alias("n"))
     members = (blocks.join(one, "cls").join(sizes, "block")
-               .select("block", "cls", "d.doc_id", "d.text_key",
+               .select("block", "cls", "d.doc_id", "d.text_key", "n",
                        F.ceil(F.col("k") / SLICE).cast("int").alias("slices")))
     own = F.pmod(F.xxhash64("cls"), F.col("slices")).cast("int")
     everywhere = F.sequence(F.lit(0), F.col("slices") - 1)
     members = stored(members.withColumn("own", own), "members")
     dealt = members.withColumn("slice", F.explode(
         F.when(F.col("cls") == F.col("block"), everywhere).otherwise(F.array("own")))).select(
-        "block", "slice", "cls", F.col("cls").alias("label"), "doc_id", "text_key")
+        "block", F.col("slice").cast("long").alias("slice"), "cls",
+        F.col("cls").alias("label"), "doc_id", "text_key")
     found = stored(_joined(_sets(docs, dealt, members.count()), percent), "trie-links")
     large = members.filter("slices > 1")
     if large.isEmpty():
@@ -287,11 +320,7 @@ def links(docs: DataFrame, scan: Scan, percent: int = PERCENT) -> DataFrame:
     label = components(found.join(large.select(F.col("cls").alias("a")), "a").select("a", "b"))
     named = stored(large.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls")), "named")
-    main = (named.groupBy("block", "label").count().groupBy("block")
-            .agg(F.max(F.struct("count", "label"))["label"].alias("main")))
-    again = named.join(main, "block").withColumn("slice", F.explode(
-        F.when(F.col("label") == F.col("main"), F.array("own")).otherwise(everywhere))).select(
-        "block", "slice", "cls", "label", "doc_id", "text_key")
+    again = stored(_second_round(named, percent), "again")
     more = stored(_joined(_sets(docs, again, again.count()), percent), "trie-links")
     return found.union(more)
 
