@@ -1,0 +1,101 @@
+"""Token counts against the library on whole texts, with pieces small enough to be spliced."""
+
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from titlelens.llm import tokencounts
+from titlelens.llm.tokencounts import count_tokens
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+def plain(text):
+    return len(LIBRARY.encode(text or ""))
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def _texts():
+    rng = random.Random(5)
+    words = ["the", "ing", "über", "naïve", "hello", "x", "1234", "foo_bar", "日本", "🙂", "\x00"]
+    prose = " ".join(rng.choice(words) for _ in range(900))
+    return [prose, "a" * 3000, "ab" * 1500, "日本語テキスト" * 300, "🙂" * 700, " " * 2500,
+            "\n".join(["line  of text"] * 200), "▁" * 900 + prose,
+            "".join(chr(rng.randrange(32, 0x2FF)) for _ in range(3000)), "<s> </s> <unk>" * 100,
+            "".join(rng.choice("abcdefgh") for _ in range(4000))]
+
+
+def test_equals_the_library(spark):
+    texts = [None, "", " ", "a", "short text", *_texts()]
+    got = {r["doc_id"]: r for r in count_tokens(_frame(spark, list(enumerate(texts))), MODEL,
+                                                chunk=200, overlap=40).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        assert got[i]["n_tokens"] == plain(text), i
+        assert got[i]["n_bytes"] == len((text or "").encode())
+        assert got[i]["over_limit"] == (plain(text) > 4096)
+
+
+def _pairs(text, first, last, left):
+    offsets = tokencounts._offsets_of(MODEL)
+    import numpy as np
+    return offsets.pairs(np.array(LIBRARY.encode(text), np.int64), first, last, left)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aabeinrst  ,.\n0日🙂é"), min_size=60, max_size=200),
+       st.integers(20, 40))
+def test_any_common_pair_is_a_splice(text, step):
+    """Not the middle pair alone: all that two neighbours have in common give the whole count."""
+    chunk = step + 20
+    left, right = text[:chunk], text[step:]
+    tail, off = _pairs(left, step, chunk, True)
+    head, before = _pairs(right, 0, 20, False)
+    for key in set(tail.tolist()) & set(head.tolist()):
+        n = (plain(left) - int(off[tail.tolist().index(key)]) + plain(right)
+             - int(before[head.tolist().index(key)]))
+        assert n == plain(text)
+
+
+def test_chunks_that_never_agree_are_widened(spark, monkeypatch):
+    rounds = []
+    true = tokencounts._chunks
+    monkeypatch.setattr(tokencounts, "_chunks",
+                        lambda t, c, o: rounds.append((c, o)) or true(t, c, o))
+    texts = ["a" * 2000 + "b", "a few words in a row " * 100]
+    got = count_tokens(_frame(spark, list(enumerate(texts))), MODEL, chunk=61, overlap=10)
+    assert sorted(r["n_tokens"] for r in got.collect()) == sorted(map(plain, texts))
+    assert rounds[:2] == [(61, 10), (244, 40)]
+
+
+def test_repeated_rows_nulls_and_extra_columns(spark):
+    long = "some words, and more of them. " * 50
+    rows = [(None, long), (None, long), (7, long), (7, None), (7, "a")]
+    df = _frame(spark, rows).selectExpr("doc_id", "text", "1 n_tokens", "2 text_key", "3 place",
+                                        "4 n_bytes")
+    got = count_tokens(df, MODEL, chunk=100, overlap=20, limit=3)
+    assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    found = sorted((r["doc_id"] or -1, r["n_tokens"], r["over_limit"]) for r in got.collect())
+    assert found == sorted((i or -1, plain(t), plain(t) > 3) for i, t in rows)
+    assert count_tokens(_frame(spark, []), MODEL).collect() == []
+
+
+def test_a_piece_of_the_right_kind_is_asked_for(spark):
+    assert tokencounts.can_splice(MODEL)
+    with pytest.raises(ValueError):
+        count_tokens(_frame(spark, []), MODEL, chunk=10, overlap=5)
+
+
+def test_a_model_without_proof_encodes_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(tokencounts, "can_splice", lambda path: False)
+    long = "words " * 300
+    got = count_tokens(_frame(spark, [(1, long)]), MODEL, chunk=100, overlap=20)
+    assert [r["n_tokens"] for r in got.collect()] == [plain(long)]

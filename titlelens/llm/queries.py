@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelens.llm import (balltree, decontaminate, htmltext, licenses, mixing, ngram_join, quality,
-                           tokenbinary, toxicity, urlrules)
+from titlelens.llm import (balltree, conversations, decontaminate, htmltext, licenses, mixing,
+                           ngram_join, quality, spelling, tokenbinary, tokencounts, toxicity,
+                           urlrules)
 from titlelens.plans.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,11 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     tokenbinary.write_tokens(_table(spark, sf_dir, "documents"), path, byte_bpe())
@@ -65,6 +71,19 @@ def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
 
+def _conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(_table(spark, sf_dir, "conversations"))
+    return conversations.repair_report(rows, "present")
+
+
+def _spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.spoilt_words(_table(spark, sf_dir, "documents")))
+
+
+def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(_table(spark, sf_dir, "documents"), piece_bpe())
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_binary": _token_binary,
     "op2_license_scan": _license_scan,
@@ -76,4 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": _mix,
     "op9_quality_crf": _quality_crf,
     "op10_html_text": _html_text,
+    "op11_conversation_repair": _conversation_repair,
+    "op12_spelling_variants": _spelling_variants,
+    "op13_token_counts": _token_counts,
 }
