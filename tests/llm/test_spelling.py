@@ -100,7 +100,7 @@ def test_equals_all_pairs(spark):
 def test_many_rounds_and_parts_change_nothing(spark, monkeypatch):
     docs = _corpus(9)
     monkeypatch.setattr(spelling, "SHARD_WORDS", 20)
-    monkeypatch.setattr(spelling, "ROUND_BYTES", 600)
+    monkeypatch.setattr(spelling, "ROUND_BYTES", 300)
     seen = []
     true = spelling._filters
     monkeypatch.setattr(spelling, "_filters", lambda v, s: seen.append(s) or true(v, s))

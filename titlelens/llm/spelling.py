@@ -6,7 +6,7 @@ replacements by greater code points: the other edits are these seen from the oth
 is probed in the filter of the words of its length (`bloom`); only what passes is made as text
 and joined with the vocabulary, which removes the false positives.
 
-Filters are built by Spark, a shard of at most `SHARD_WORDS` words of one length in one task, and
+Filters are built by Spark, a shard of about `SHARD_WORDS` words of one length in one task, and
 broadcast: at most `ROUND_BYTES` at once.  A larger vocabulary takes more rounds, each with the
 shards of some lengths or, of a single length, with some of its parts; in every round only words
 of lengths that can have edits there probe.  So the broadcast is bounded, and nothing is left out.
