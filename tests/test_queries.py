@@ -14,7 +14,7 @@ from titlelens.plans.oracle import ORACLE
 from titlelens.plans.queries import QUERIES
 from titlelens.sources.records import read_records
 
-DATA = os.environ.get("TITLELENS_DATA", "/root/testdata/sf0.001")
+DATA = os.environ.get("TITLELENS_DATA", "/root/testdata/sf0.01")
 # Those of the library proper; the ones of the llm subpackage have tests of their own.
 
 
@@ -48,6 +48,7 @@ def test_equals_sql(spark, duck, name):
         zip(wanted.columns, map(str, wanted.types)))
     places = [wanted.columns.index(c) for c in columns]
     got = [tuple(r) for r in df.select(*[f"`{c}`" for c in columns]).collect()]
+    assert got, "a query without rows compares nothing"
     assert _sorted(got) == _sorted([tuple(r[i] for i in places) for r in wanted.fetchall()])
 
 
@@ -116,6 +117,13 @@ def test_cast_holds_every_supplier(spark):
     assert off.isEmpty() and not seen.isEmpty()
 
 
-def test_correlation_spreads_no_rows(spark):
-    plain = spark.range(9).selectExpr("id runtime", "id * id popularity")
-    assert "Generate" not in _plan(profile.correlation_matrix(plain))
+def test_correlation_is_one_scan(spark):
+    plan = _plan(profile.correlation_matrix(spark.read.parquet(f"{DATA}/lineitem.parquet"),
+                                            ["l_quantity", "l_tax", "l_discount"]))
+    assert plan.count("FileScan") == 1
+    assert _plan(QUERIES["correlation"](spark, DATA)).count("lineitem.parquet") == 1
+
+
+def test_full_profile_reads_the_catalog_once(spark):
+    plan = _plan(QUERIES["full_profile"](spark, DATA))
+    assert "lineitem.parquet" not in plan and "FileScan" in plan

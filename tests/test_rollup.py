@@ -9,26 +9,26 @@ from conftest import column
 def test_compare_franchises(series_titles):
     standalone, franchise = r.compare_franchises(series_titles).collect()
     assert (franchise.is_franchise, standalone.is_franchise) == ("Franchise", "Standalone")
-    assert (franchise.movie_count, standalone.movie_count) == (2, 1)
-    assert (franchise.mean_revenue_musd, standalone.mean_revenue_musd) == (125.0, 40.0)
+    assert (franchise.movie_count, standalone.movie_count) == (3, 2)
+    assert (franchise.mean_revenue_musd, standalone.mean_revenue_musd) == (85.0, 51.5)
     # An element of the data (the lower median), not a value between two.
-    assert franchise.median_roi == 100.0
+    assert (franchise.median_roi, standalone.median_roi) == (100.0, 50.0)
 
 
 @pytest.mark.parametrize("exact", [True, False])
 def test_compare_without_returns(series_titles, exact):
     """A kind without any known return keeps its row, with a null median."""
-    free = series_titles.withColumn("budget_musd", F.when(F.col("title") == "S1", 0.0)
+    free = series_titles.withColumn("budget_musd", F.when(F.col("collection_name").isNull(), 0.0)
                                     .otherwise(F.col("budget_musd")))
     standalone, franchise = r.compare_franchises(free, exact).collect()
-    assert (standalone.movie_count, standalone.median_roi) == (1, None)
-    assert (franchise.movie_count, franchise.median_roi) == (2, 100.0)
+    assert (standalone.movie_count, standalone.median_roi) == (2, None)
+    assert (franchise.movie_count, franchise.median_roi) == (3, 100.0)
     assert standalone.mean_budget_musd == 0.0
 
 
 def test_top_franchises(series_titles):
     (row,) = r.top_franchises(series_titles).collect()
-    assert (row.rank, row.movie_count, row.total_revenue_musd) == (1, 2, 250.0)
+    assert (row.rank, row.movie_count, row.total_revenue_musd) == (1, 3, 255.0)
     assert r.top_franchises(series_titles).columns == [
         "rank", "collection_name", "movie_count", "total_budget_musd", "mean_budget_musd",
         "total_revenue_musd", "mean_revenue_musd", "mean_rating", "mean_vote_count"]
@@ -37,17 +37,19 @@ def test_top_franchises(series_titles):
 def test_top_directors(series_titles):
     rows = r.top_directors(series_titles).collect()
     assert [(x.director, x.movie_count, x.total_revenue_musd) for x in rows] == [
-        ("Director X", 2, 250.0), ("Director Y", 1, 40.0)]
-    assert column(r.top_directors(series_titles, min_titles=2), "director") == ["Director X"]
+        ("Ines Roy", 2, 200.0), ("Omar Lund", 2, 88.0)]
+    one_more = series_titles.union(series_titles.filter("title = 'Ember'"))
+    assert column(r.top_directors(one_more, min_titles=3), "director") == ["Omar Lund"]
     assert column(r.top_directors(series_titles, n=1, sort_by="mean_rating"), "director") == [
-        "Director X"]
+        "Ines Roy"]
 
 
 @pytest.mark.parametrize("sort_by", r.GROUP_MEASURES)
 def test_equal_groups_are_ranked_by_key(series_titles, sort_by):
-    twice = series_titles.union(series_titles.replace("Director X", "Director A", "director"))
-    rows = r.top_directors(twice.filter("director <> 'Director Y'"), sort_by=sort_by).collect()
-    assert [(x.rank, x.director) for x in rows] == [(1, "Director A"), (2, "Director X")]
+    twice = series_titles.union(series_titles.replace("Ines Roy", "Ada Berg", "director"))
+    some = twice.filter("director in ('Ines Roy', 'Ada Berg')")
+    rows = r.top_directors(some, sort_by=sort_by).collect()
+    assert [(x.rank, x.director) for x in rows] == [(1, "Ada Berg"), (2, "Ines Roy")]
 
 
 def _listed(spark):

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from titlelens.operators.clean import clean
+from titlelens.operators.merge import merged_titles
 from titlelens.plans.pipeline import run_pipeline
 from titlelens.plans.scratch import scratch_path
 from titlelens.sources import landing, tables
-from titlelens.sources.records import read_records
+from titlelens.sources.records import RAW_SCHEMA, read_records
 from titlelens.streaming.landing import clean_new_files
 
 from conftest import column
@@ -87,7 +88,7 @@ def test_pipeline_saves_both_forms(spark, tmp_path):
     assert run_pipeline(spark, path, str(tmp_path / "out")).count() == 2
 
 
-def test_new_files_are_cleaned_once(spark, tmp_path):
+def test_new_files_are_merged(spark, tmp_path):
     raw, out, marks = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "marks")
     land(raw, MOVIE)
 
@@ -95,13 +96,15 @@ def test_new_files_are_cleaned_once(spark, tmp_path):
         query = clean_new_files(spark, str(raw), out, marks)
         query.awaitTermination(120)
         assert query.exception() is None
-        return sorted(column(spark.read.parquet(out), "id"))
+        titles = merged_titles(spark, out, RAW_SCHEMA)
+        assert sorted(titles.collect()) == sorted(clean(read_records(spark, str(raw))).collect())
+        return sorted(column(titles, "id"))
 
     assert run() == [2]
     assert run() == [2]
     land(raw, {**MOVIE, "id": 5}, {**MOVIE, "id": 6, "status": "Rumored"})
     assert run() == [2, 5]
-    # Stored titles are not added again; one that is released now comes in.
+    # A title that is released now comes in, and of two released rows the first in order stays.
     late = land(tmp_path / "late", {**MOVIE, "id": 6}, {**MOVIE, "title": "again"})
     for i, file in enumerate(sorted(os.listdir(late))):
         shutil.copy(os.path.join(late, file), os.path.join(raw, f"late{i}.json"))

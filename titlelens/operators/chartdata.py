@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlelens.functions.hints import broadcast_if_small
@@ -11,6 +11,7 @@ from titlelens.functions.metrics import (release_year, title_kind, valid_financi
 from titlelens.functions.tokens import explode_tokens
 from titlelens.operators.quantiles import quantiles
 from titlelens.operators.search import filter_years
+from titlelens.plans.scratch import stored
 
 
 def budget_revenue_points(df: DataFrame) -> DataFrame:
@@ -45,10 +46,11 @@ def roi_by_genre(df: DataFrame, n: int = 10, drop_empty: bool = False) -> DataFr
 def _fenced_roi(df: DataFrame, n: int, exact: bool, drop_empty: bool) -> DataFrame:
     """The points of the `n` largest genres beside their quartiles and 1.5 range fences.
 
-    Three passes: a sketch of all genres that also finds the largest, the exact quartiles of
-    those, and their points.  Joining the fences keeps just these genres, as `roi_by_genre` does.
+    The points are written once and passed over for a sketch of all genres that also finds the
+    largest, for the exact quartiles of those, and for their points.  Joining the fences keeps
+    just these genres, as `roi_by_genre` does.
     """
-    points, q = _roi_points(df, drop_empty), F.col("quantiles")
+    points, q = stored(_roi_points(df, drop_empty), "returns"), F.col("quantiles")
     quartiles = quantiles(points, "roi", [0.25, 0.5, 0.75], ["genre"], n, exact)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fences = (quartiles.select("genre", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
@@ -115,3 +117,45 @@ def franchise_bars(df: DataFrame) -> DataFrame:
                  F.avg("popularity").alias("mean_popularity"),
                  F.avg("roi").alias("mean_roi"))
             .orderBy(F.desc("movie_type")))
+
+
+def density_grid(df: DataFrame, x: str, y: str, cells: int = 40, single: int = 3) -> DataFrame:
+    """Two-dimensional counts for a scatter of more points than can be drawn.
+
+    One row per filled cell of a grid of `cells` x `cells` between the extremes, with the number
+    of points and their centre; a cell of at most `single` points lists them, in order and with
+    how often each is there, so that outliers stay exact.  All passes are aggregates with a
+    map-side part, and lists are as short as `single`.  Points with a null, NaN or infinite coordinate
+    have no place; a constant coordinate falls into the first cell.
+    """
+    def finite(c: str) -> Column:
+        return ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
+
+    points = stored(df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+                    .filter(finite("x") & finite("y")), "points")
+    box = points.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)])
+
+    def cell(c: str) -> Column:
+        low, high = F.col(f"min_{c}"), F.col(f"max_{c}")
+        place = F.floor(F.try_divide(F.col(c) - low, high - low) * cells)
+        return F.coalesce(F.least(place, F.lit(cells - 1)), F.lit(0)).cast("int")
+
+    # One row is broadcast.
+    placed = (points.withColumn("one", F.lit(1)).join(F.broadcast(box.withColumn("one", F.lit(1))),
+                                                      "one")
+              .select(cell("x").alias("cell_x"), cell("y").alias("cell_y"), "x", "y"))
+    # Equal points first become one row with a count.
+    tallied = placed.groupBy("cell_x", "cell_y", "x", "y").agg(F.count("*").alias("n"))
+    filled = tallied.groupBy("cell_x", "cell_y").agg(
+        F.sum("n").alias("points"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean_x"),
+        (F.sum(F.col("y") * F.col("n")) / F.sum("n")).alias("mean_y"))
+    sparse = filled.filter(F.col("points") <= single).select("cell_x", "cell_y")
+    listed = (tallied.join(broadcast_if_small(sparse, cells * cells), ["cell_x", "cell_y"])
+              .groupBy("cell_x", "cell_y").agg(F.array_sort(F.collect_list(
+                  F.struct("x", "y", "n"))).alias("kept")))
+    text = F.array_join(F.transform("kept", lambda p: F.concat_ws(
+        " ", *[p[c].cast("decimal(38,6)").cast("string") for c in "xy"],
+        p["n"].cast("string"))), "; ")
+    return (filled.join(broadcast_if_small(listed, cells * cells), ["cell_x", "cell_y"], "left")
+            .select("cell_x", "cell_y", "points", "mean_x", "mean_y", text.alias("exact"))
+            .orderBy("cell_x", "cell_y"))

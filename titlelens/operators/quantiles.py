@@ -5,7 +5,8 @@ mergeable sketch first puts an edge to both sides of each quantile.  A second pa
 values in narrow bins between the edges, and the running counts tell which bin holds a wanted
 rank.  A third pass tallies the values of those few bins; they are binned once more, and only
 the values of one bin of a bin are put in order.  Ordered sets are bins (at most `BINS` for each
-edge of a group), or some hundred-thousandth of the group's values near a quantile.
+edge of a group), or some hundred-thousandth of the group's values near a quantile.  The passes
+read the given frame each time, so a frame that is costly to compute should be stored before.
 """
 
 from __future__ import annotations

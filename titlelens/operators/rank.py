@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlelens.functions.metrics import with_metrics
+from titlelens.plans.scratch import stored
 
 # The columns shown beside each metric.
 CONTEXT_COLUMNS = {
@@ -32,6 +33,36 @@ def take_ranked(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
+def rank_all(df: DataFrame, metric: str, ascending: bool = False, where: Column | None = None,
+             tie: Sequence[str] | None = None) -> DataFrame:
+    """Every row with a known metric, with its `rank` among all of them, equal ones by `tie`.
+
+    A window over all rows would sort them in one task.  Here the rows are dealt to tasks by
+    ranges of the order and sorted there, and written with the number each has in its task.  The
+    counts of the tasks before, one number a task, make it the rank.  The table is written, so
+    that numbers and counts come from the same ranges even if an executor is lost between.
+    """
+    rows = with_metrics(df, "release_year", metric)
+    if where is not None:
+        rows = rows.filter(where)
+    direction = F.asc if ascending else F.desc
+    order = [direction(metric), *[F.asc(c) for c in tie_columns(df, tie)]]
+    placed = (rows.filter(F.col(metric).isNotNull()).repartitionByRange(*order)
+              .sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id()))
+    placed = stored(placed, "ranked")
+    # The number of the task is in the upper bits.
+    task, place = F.shiftright("__place", 33), F.col("__place").bitwiseAND((1 << 33) - 1)
+    counts = placed.groupBy(task.alias("task")).agg(F.count("*").alias("n")).collect()
+    before, start = [], 0
+    for task_id, n in sorted(map(tuple, counts)):
+        before.append((task_id, start))
+        start += n
+    starts = df.sparkSession.createDataFrame(before, "__task long, __before long")
+    return (placed.withColumn("__task", task).join(F.broadcast(starts), "__task")
+            .withColumn("rank", F.col("__before") + place + 1)
+            .drop("__task", "__before", "__place"))
+
+
 def tie_columns(df: DataFrame, tie: Sequence[str] | None = None) -> list[str]:
     """Columns that settle equal metrics: those asked for, else the id and title if present."""
     return list(tie) if tie is not None else [c for c in ("id", "title") if c in df.columns]

@@ -3,50 +3,110 @@
 The raw form is nested, with planted blanks, placeholders, unreleased titles and duplicates, so
 that every cleaning rule has work to do.  Each piece hangs on the title by a left join on a key
 that is unique on the other side, so Catalyst drops a piece whose columns a query does not use.
+
+It is one SQL text: a frame of several hundred Column calls takes longer to put together than
+most queries over it take to run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from titlelens.operators.clean import clean, row_order
 
-
-NAMES = "array<struct<name:string>>"
-
-
-def _rounded(value: Column) -> Column:
-    return F.floor(value + 0.5)
-
-
-def _sales(items: DataFrame) -> DataFrame:
-    """Money in whole cents and counts per part: exact in any order of the rows."""
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100
-    return items.groupBy(F.col("l_partkey").alias("part")).agg(
-        F.sum(_rounded(net)).alias("net_cents"),
-        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-        F.sum(_rounded(F.col("l_discount") * 100)).alias("discount_points"),
-        F.count("*").alias("items"),
-        F.min("l_orderkey").alias("first_order"))
-
-
-def _people(items: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """Every supplier of a part, once, by key.  A list is as long as a part has suppliers."""
-    pairs = items.select(F.col("l_partkey").alias("team_part"), "l_suppkey").distinct()
-    named = pairs.join(suppliers.select("s_suppkey", "s_name"),
-                       F.col("l_suppkey") == F.col("s_suppkey"))
-    member = F.struct("s_suppkey", "s_name")
-    return named.groupBy("team_part").agg(F.array_sort(F.collect_list(member)).alias("team"))
-
-
-def _named(words: Column) -> Column:
-    return F.transform(words, lambda word: F.struct(word.alias("name")))
-
-
-def _crew_member(person: Column) -> Column:
-    job = F.when(person["s_suppkey"] % 7 == 0, "Director").otherwise("Writer")
-    return F.struct(job.alias("job"), person["s_name"].alias("name"))
+# Money in whole cents and counts per part are exact in any order of the rows.  A team holds
+# every supplier of a part once, by key; it is as long as the part has suppliers.  Copies: every
+# tenth title is there twice; every twentieth copy was withdrawn, every thirtieth has another
+# title, and every seventieth title was released only as a copy.
+RAW_SQL = """
+WITH sales AS (
+  SELECT l_partkey AS part,
+         sum(floor(l_extendedprice * (1 - l_discount) * 100 + 0.5)) AS net_cents,
+         sum(CAST(l_quantity AS bigint)) AS quantity,
+         sum(floor(l_discount * 100 + 0.5)) AS discount_points,
+         count(*) AS items, min(l_orderkey) AS first_order
+  FROM {lineitem} GROUP BY l_partkey),
+first_dates AS (
+  SELECT o_orderkey AS first_order, min(o_orderdate) AS first_date
+  FROM {orders} GROUP BY o_orderkey),
+people AS (
+  SELECT team_part, array_sort(collect_list(named_struct('s_suppkey', s_suppkey,
+                                                         's_name', s_name))) AS team
+  FROM (SELECT DISTINCT l_partkey AS team_part, l_suppkey FROM {lineitem})
+  JOIN {supplier} ON l_suppkey = s_suppkey GROUP BY team_part),
+countries AS (
+  SELECT CAST(n_nationkey AS bigint) AS made_in, min(n_name) AS n_name, min(r_name) AS r_name
+  FROM {nation} LEFT JOIN {region} ON n_regionkey = r_regionkey GROUP BY n_nationkey),
+titles AS (
+  SELECT p.*, sales.*, first_date, team, n_name, r_name, p_partkey AS key, p_size AS size,
+         floor(p_retailprice * 100 + 0.5) AS retail_cents,
+         CASE WHEN p_partkey % 89 != 0 THEN
+           CASE WHEN p_partkey % 53 = 0 THEN 'nan'
+                ELSE concat_ws(' #', p_name, CAST(p_partkey AS string)) END END AS base_title,
+         CASE WHEN p_size % 11 = 0 THEN '0'
+              ELSE CAST(CAST(p_size AS bigint) * 3 AS string) END AS base_runtime
+  FROM {part} p
+  LEFT JOIN sales ON p_partkey = part
+  LEFT JOIN first_dates ON sales.first_order = first_dates.first_order
+  LEFT JOIN people ON p_partkey = team_part
+  LEFT JOIN countries ON p_partkey % 25 = made_in),
+records AS (
+  SELECT *, explode(sequence(0, CASE WHEN key % 10 = 0 THEN 1 ELSE 0 END)) AS copy FROM titles)
+SELECT
+  CASE WHEN key % 97 != 0 THEN key END AS id,
+  CASE WHEN copy = 1 AND key % 30 = 0 THEN concat(base_title, ' (copy)')
+       ELSE base_title END AS title,
+  CASE WHEN key % 41 = 0 THEN '' WHEN key % 43 = 0 THEN 'soon'
+       ELSE CAST(CAST(first_date AS date) AS string) END AS release_date,
+  CASE WHEN copy = 1 AND key % 20 = 0 THEN 'Rumored'
+       WHEN copy = 0 AND key % 70 = 0 THEN 'Planned'
+       WHEN key % 83 = 0 THEN NULL
+       WHEN size = 50 THEN 'Rumored' ELSE 'Released' END AS status,
+  'tt0' AS imdb_id,
+  CASE WHEN size <= 25 THEN named_struct(
+    'id', CAST(size AS bigint),
+    'name', CASE WHEN size = 20 THEN 'nan' ELSE concat(p_brand, ' Collection') END)
+  END AS belongs_to_collection,
+  CASE WHEN key % 37 = 0 THEN CAST(array() AS array<struct<name: string>>)
+       WHEN key % 59 = 0 THEN NULL
+       ELSE transform(concat(split(p_name, ' '), array(p_type)), w -> named_struct('name', w))
+  END AS genres,
+  array(named_struct('name', n_name)) AS production_countries,
+  array(named_struct('name', p_brand), named_struct('name', concat('Studio ', p_type)))
+    AS production_companies,
+  array(named_struct('name', r_name), named_struct('name', 'LATIN')) AS spoken_languages,
+  lower(substring(r_name, 1, 2)) AS original_language,
+  named_struct('keywords', array(named_struct('name', p_brand), named_struct('name', p_type)))
+    AS keywords,
+  CASE WHEN key % 61 != 0 THEN named_struct(
+    'cast', transform(team, p -> named_struct('name', p.s_name)),
+    'crew', transform(team, p -> named_struct(
+      'job', CASE WHEN p.s_suppkey % 7 = 0 THEN 'Director' ELSE 'Writer' END,
+      'name', p.s_name))) END AS credits,
+  CASE WHEN size % 10 = 0 THEN 0 ELSE net_cents END AS revenue,
+  CASE WHEN size % 7 = 0 THEN 0 ELSE quantity * retail_cents * (1 + size % 4) END AS budget,
+  CASE WHEN size % 13 = 0 THEN concat(base_runtime, '.0') WHEN size % 12 = 0 THEN 'unknown'
+       ELSE base_runtime END AS runtime,
+  CASE WHEN size % 9 = 0 THEN
+         get(array('No Overview', 'n/a', 'No Data', 'nan'), CAST(size / 9 AS int) % 4)
+       ELSE p_name END AS overview,
+  CASE WHEN size % 8 = 0 THEN 'nan' WHEN size % 15 = 0 THEN 'n/a' ELSE p_brand END AS tagline,
+  items AS vote_count,
+  discount_points / items AS vote_average,
+  CAST(quantity AS double) AS popularity
+FROM records
+"""
+# The columns read.  A declared schema spares a job per table that looks for it.
+TABLES = {
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "supplier": "s_suppkey long, s_name string",
+    "orders": "o_orderkey long, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, "
+                "l_extendedprice double, l_discount double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
 def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,79 +114,8 @@ def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Numbers and dates that may be dirty are text, as in a landed file.
     """
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    items = table("lineitem")
-    first_dates = (table("orders").groupBy(F.col("o_orderkey").alias("first_order"))
-                   .agg(F.min("o_orderdate").alias("first_date")))
-    nations = table("nation").join(
-        table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").groupBy(
-        F.col("n_nationkey").cast("bigint").alias("made_in")).agg(F.min("n_name").alias("n_name"),
-                                                   F.min("r_name").alias("r_name"))
-    titles = (table("part").join(_sales(items), F.col("p_partkey") == F.col("part"), "left")
-              .join(first_dates, "first_order", "left")
-              .join(_people(items, table("supplier")), F.col("p_partkey") == F.col("team_part"),
-                    "left")
-              .join(nations, F.col("p_partkey") % 25 == F.col("made_in"), "left"))
-
-    size, brand, key = F.col("p_size"), F.col("p_brand"), F.col("p_partkey")
-
-    def every(n: int, dirty, value: Column) -> Column:
-        return F.when(key % n == 0, dirty).otherwise(value)
-
-    def blank_every(n: int, value: Column) -> Column:
-        return F.when(size % n == 0, 0).otherwise(value)
-
-    retail_cents = _rounded(F.col("p_retailprice") * 100)
-    runtime = blank_every(11, size.cast("bigint") * 3).cast("string")
-    title = every(89, None, every(53, "nan", F.concat_ws(" #", "p_name", key.cast("string"))))
-    credits = F.struct(
-        F.transform("team", lambda p: F.struct(p["s_name"].alias("name"))).alias("cast"),
-        F.transform("team", _crew_member).alias("crew"))
-    genres = _named(F.concat(F.split("p_name", " "), F.array("p_type")))
-    none = F.array().cast(NAMES)
-    markers = F.array(*map(F.lit, ["No Overview", "n/a", "No Data", "nan"]))
-    # Copies: every tenth title is there twice.  Every twentieth copy was withdrawn, every
-    # thirtieth has another title, and every seventieth title was released only as a copy.
-    copy = F.col("copy")
-    status = F.when(size == 50, "Rumored").otherwise("Released")
-    status = (F.when((copy == 1) & (key % 20 == 0), "Rumored")
-              .when((copy == 0) & (key % 70 == 0), "Planned")
-              .otherwise(every(83, None, status)))
-    records = titles.withColumn("copy", F.explode(F.sequence(
-        F.lit(0), F.when(key % 10 == 0, 1).otherwise(0))))
-    return records.select(
-        every(97, None, key).alias("id"),
-        F.when((copy == 1) & (key % 30 == 0), F.concat(title, F.lit(" (copy)"))).otherwise(title)
-        .alias("title"),
-        every(41, "", every(43, "soon", F.col("first_date").cast("date").cast("string")))
-        .alias("release_date"),
-        status.alias("status"),
-        F.lit("tt0").alias("imdb_id"),
-        F.when(size <= 25, F.struct(
-            size.cast("bigint").alias("id"),
-            F.when(size == 20, "nan").otherwise(F.concat(brand, F.lit(" Collection")))
-            .alias("name"))).alias("belongs_to_collection"),
-        every(37, none, every(59, None, genres)).alias("genres"),
-        _named(F.array("n_name")).alias("production_countries"),
-        _named(F.array(brand, F.concat(F.lit("Studio "), "p_type"))).alias("production_companies"),
-        _named(F.array("r_name", F.lit("LATIN"))).alias("spoken_languages"),
-        F.lower(F.substring("r_name", 1, 2)).alias("original_language"),
-        F.struct(_named(F.array("p_brand", "p_type")).alias("keywords")).alias("keywords"),
-        every(61, None, credits).alias("credits"),
-        blank_every(10, F.col("net_cents")).alias("revenue"),
-        blank_every(7, F.col("quantity") * retail_cents * (1 + size % 4)).alias("budget"),
-        F.when(size % 13 == 0, F.concat(runtime, F.lit(".0")))
-        .when(size % 12 == 0, "unknown").otherwise(runtime).alias("runtime"),
-        F.when(size % 9 == 0, F.get(markers, (size / 9).cast("int") % 4))
-        .otherwise(F.col("p_name")).alias("overview"),
-        F.when(size % 8 == 0, "nan").when(size % 15 == 0, "n/a").otherwise(brand)
-        .alias("tagline"),
-        F.col("items").alias("vote_count"),
-        (F.col("discount_points") / F.col("items")).alias("vote_average"),
-        F.col("quantity").cast("double").alias("popularity"),
-    )
+    return spark.sql(RAW_SQL, **{name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+                                 for name, schema in TABLES.items()})
 
 
 def clean_titles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -256,10 +256,20 @@ FROM raw""",
     "load_count": _unlanded("count(*) AS to_load"),
     "landed_inventory": f"""{CATALOG} SELECT count(*) AS landed_records,
   CAST(0 AS BIGINT) AS empty_files FROM raw WHERE status = 'Released'""",
+    "quarantine": f"""{CATALOG}, told AS (
+  SELECT title, CASE WHEN id IS NULL THEN 'no key' WHEN id % 17 = 0 THEN 'unreadable'
+                     WHEN id % 19 = 0 THEN 'key is no number' ELSE 'good' END AS reason FROM raw)
+SELECT reason, count(*) AS records, count(*) FILTER (WHERE reason <> 'good') AS with_file,
+  CASE WHEN reason = 'good' THEN count(title) ELSE count(*) END AS with_text
+FROM told GROUP BY reason""",
+    "merged_landings": _CLEAN,
+    "clustered_years": _filtered("release_year BETWEEN 1996 AND 1998", _LISTED),
     "roundtrip_json": _CLEAN,
     "roundtrip_parquet": _CLEAN,
     "roundtrip_csv": _CSV,
-    "roundtrip_one_csv": _CSV,
+    "roundtrip_one_csv": f"""{CATALOG} SELECT nullif(genre, '') AS genre, release_year, {_MEASURES}
+FROM by_genre WHERE release_year IS NOT NULL GROUP BY by_genre.genre, release_year""",
+    "landed_by_name": "SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 7 <> 0",
 
     "rank_top_revenue": _rank("revenue_musd", _MONEY),
     "rank_bottom_revenue": _rank("revenue_musd", _MONEY, ascending=True),
@@ -276,8 +286,10 @@ FROM raw""",
     "rank_top_roi_big_budget": _rank("roi", _MONEY, where="budget_musd >= 100", n=25),
     "rank_bottom_rated_many_votes": _rank("vote_average", _VOTES, ascending=True,
                                           where="vote_count >= 30"),
-    "rank_unknown_metric": """SELECT CAST(NULL AS INTEGER) AS rank, CAST(NULL AS VARCHAR) AS title
-WHERE false""",
+    "rank_all_roi": f"""{CATALOG} SELECT row_number() OVER (ORDER BY roi DESC, id) AS rank, id,
+  title, roi FROM money WHERE roi IS NOT NULL""",
+    "rank_all_rating": f"""{CATALOG} SELECT row_number() OVER (ORDER BY vote_average, id) AS rank,
+  id, vote_average FROM clean WHERE vote_average IS NOT NULL""",
     "best_value": _rank("budget_per_point", ["budget_musd", "vote_average", "vote_count"],
                         ascending=True, where="vote_count >= 10",
                         source="(SELECT *, CASE WHEN vote_average > 0 THEN budget_musd / "
@@ -291,7 +303,6 @@ WHERE false""",
     "filter_genres_exact": _filtered("list_contains(string_split(genres, '|'), 'old')", _LISTED),
     "filter_actor": _filtered("""contains(lower("cast"), 'supplier#00000001')""", _LISTED),
     "filter_director": _filtered("contains(director, 'Supplier#00000000')", _LISTED),
-    "filter_missing_column": _filtered("false", ["id", "title"]),
     "filter_years": _filtered("release_year BETWEEN 1996 AND 1998", _LISTED),
     "filter_valid_financials": _filtered("budget_musd > 0 AND revenue_musd > 0",
                                          ["id", "budget_musd", "revenue_musd"]),
@@ -303,7 +314,7 @@ WHERE false""",
         ["id", "title", "vote_average", "genres", "cast", "vote_count"],
         "ORDER BY clean.vote_average DESC NULLS LAST, id LIMIT 20"),
     "search_directors": _filtered(
-        "lower(director) LIKE '%supplier#000000004%' OR lower(director) LIKE '%supplier#000000008%'",
+        "lower(director) LIKE '%supplier#000000007%' OR lower(director) LIKE '%supplier#000000014%'",
         ["id", "title", "revenue_musd", "director"],
         "ORDER BY clean.revenue_musd DESC NULLS LAST, id LIMIT 20"),
     "search_preset_rating": _filtered(
@@ -317,6 +328,12 @@ WHERE false""",
         ["title", "release_year", "runtime", "vote_average", "genres", "revenue_musd",
          "budget_musd"]),
 
+    "indexed_search": _filtered(
+        """contains(genres, 'mall') AND (contains(lower("cast"), 'supplier#000000001')
+  OR contains(lower("cast"), 'supplier#000000002') OR contains("cast", '#0'))
+  AND (contains(lower(director), 'supplier#000000007')
+  OR contains(lower(director), 'supplier#00000001'))""", _LISTED),
+
     "row_count": f"{CATALOG} SELECT count(*) AS row_count FROM clean",
     "compare_franchise": f"""{CATALOG} SELECT
   CASE WHEN collection_name IS NULL THEN 'Standalone' ELSE 'Franchise' END AS is_franchise,
@@ -334,7 +351,7 @@ FROM money GROUP BY 1""",
         ["title", "release_year", "budget_musd", "revenue_musd", "vote_average", "vote_count",
          "popularity", "director", "collection_name"]),
     "director_details": _filtered(
-        "contains(lower(director), 'supplier#000000002')",
+        "contains(lower(director), 'supplier#000000007')",
         ["title", "release_year", "budget_musd", "revenue_musd", "vote_average", "vote_count",
          "popularity", "genres", "collection_name"]),
     "genre_counts": f"""{CATALOG} SELECT genre, count(*) AS count FROM by_genre GROUP BY genre
@@ -352,14 +369,6 @@ FROM by_genre WHERE release_year IS NOT NULL GROUP BY genre, release_year""",
     "histogram": _histogram(),
     "correlation": _correlation(),
     "quality_report": _QUALITY,
-    "full_profile": f"""{CATALOG} SELECT part, part_rows FROM (VALUES
-  ('overview', {len(_CLEAN_TYPES)}::BIGINT), ('null_profile', {len(_CLEAN_TYPES)}), ('summary', 8),
-  ('statistics', {len(_NUMERIC)}), ('histogram', {30 * (len(_NUMERIC) + 1)}),
-  ('correlation', {len(_CORRELATED)}), ('quality_report', 1)) AS fixed(part, part_rows)
-UNION ALL SELECT 'genre_counts', least(15, count(DISTINCT genre)) FROM by_genre
-UNION ALL SELECT 'titles_per_year', least(20, count(*))
-FROM (SELECT DISTINCT release_year FROM clean)""",
-
     "chart_revenue_budget": _filtered("budget_musd > 0 AND revenue_musd > 0",
                                       ["title", "budget_musd", "revenue_musd", "release_year"]),
     "chart_trend_line": f"""{CATALOG} SELECT count(*) AS points,
@@ -378,6 +387,20 @@ FROM clean WHERE budget_musd > 0 AND revenue_musd > 0""",
     "chart_popularity": f"""{CATALOG} SELECT title, popularity, vote_average, vote_count,
   revenue_musd, coalesce(revenue_musd / max(revenue_musd) OVER () * 500, 50) AS bubble_size
 FROM clean WHERE popularity IS NOT NULL AND vote_average IS NOT NULL AND vote_count >= 10""",
+    "chart_density": f"""{CATALOG}, points AS (
+  SELECT budget_musd AS x, revenue_musd AS y FROM clean
+  WHERE budget_musd IS NOT NULL AND revenue_musd IS NOT NULL),
+box AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM points),
+placed AS (
+  SELECT CAST(least(floor((x - x0) / (x1 - x0) * 20), 19) AS INTEGER) AS cell_x,
+         CAST(least(floor((y - y0) / (y1 - y0) * 20), 19) AS INTEGER) AS cell_y, x, y
+  FROM points, box),
+tallied AS (SELECT cell_x, cell_y, x, y, count(*) AS n FROM placed GROUP BY ALL)
+SELECT cell_x, cell_y, CAST(sum(n) AS BIGINT) AS points,
+  round(sum(x * n) / sum(n) + 1e-9, 4) AS mean_x, round(sum(y * n) / sum(n) + 1e-9, 4) AS mean_y,
+  CASE WHEN sum(n) <= 4 THEN string_agg(CAST(CAST(x AS DECIMAL(38, 6)) AS VARCHAR) || ' ' ||
+    CAST(CAST(y AS DECIMAL(38, 6)) AS VARCHAR) || ' ' || n, '; ' ORDER BY x, y) END AS exact
+FROM tallied GROUP BY cell_x, cell_y""",
     "chart_yearly": _yearly("true"),
     "chart_yearly_range": _yearly("release_year BETWEEN 1997 AND 1999"),
     "chart_franchise": f"""{CATALOG} SELECT
@@ -385,3 +408,49 @@ FROM clean WHERE popularity IS NOT NULL AND vote_average IS NOT NULL AND vote_co
   count(*) AS count, {_BARS}, round(avg(popularity) + 1e-9, 4) AS mean_popularity,
   round(avg(roi) + 1e-9, 4) AS mean_roi FROM money GROUP BY 1""",
 }
+
+
+def _profile_values() -> str:
+    """All parts of the profile as text, a row per cell."""
+    year = "coalesce(CAST(release_year AS VARCHAR), 'null')"
+    numbers = {"statistics": ["mean", "std", "min", "p25", "median", "p75", "max"],
+               "summary": _NUMERIC, "null_profile": ["null_percentage"],
+               "histogram": ["bin_start", "bin_end"], "correlation": _CORRELATED,
+               "quality_report": ["completeness_pct", "valid_financial_pct",
+                                  "reliable_rating_pct"]}
+    parts = {
+        "overview": ("overview", '"column"', ["ordinal", "type", "row_count", "col_count"]),
+        "null_profile": ("null_profile", '"column"', ["null_count"]),
+        "summary": ("summary_stats", "summary", []),
+        "statistics": ("exact_stats", '"column"', ["count"]),
+        "histogram": ("histogram", """"column" || '/' || bin""", ["count"]),
+        "genre_counts": ("genre_counts", "genre", ["count"]),
+        "titles_per_year": ("titles_per_year", year, ["count"]),
+        "correlation": ("correlation", '"column"', []),
+        "quality_report": ("quality_report", "''", [
+            "total_rows", "total_columns", "total_cells", "filled_cells", "missing_cells",
+            "valid_financial_rows", "reliable_rating_rows"]),
+    }
+    shown = "CAST(CAST(round({c} + 1e-9, 4) AS DECIMAL(38, 4)) AS VARCHAR)"
+    cells = [f"""SELECT '{part}' AS part, {row} AS "row", '{c}' AS "column", {value} AS value
+FROM ({ORACLE[name]})""" for part, (name, row, others) in parts.items()
+             for c, value in [*[(c, f"CAST({c} AS VARCHAR)") for c in others],
+                              *[(c, shown.format(c=c)) for c in numbers.get(part, [])]]]
+    return " UNION ALL ".join(cells)
+
+
+ORACLE["full_profile"] = _profile_values()
+# Other ways to the same rows.
+ORACLE |= {
+    "clean_audit_on_write": ORACLE["clean_audit"],
+    "indexed_genres_all": ORACLE["filter_genres_all"],
+    "indexed_actor": ORACLE["filter_actor"],
+    "frequent_genres": ORACLE["genre_counts"],
+    "frequent_people": f"""{CATALOG} SELECT person, count(*) AS count
+FROM (SELECT unnest(string_split("cast", '|')) AS person FROM clean) GROUP BY person
+ORDER BY count DESC, person LIMIT 40""",
+    "states_top_franchises": ORACLE["top_franchises_revenue"],
+    "states_top_directors": ORACLE["top_directors_min_titles"],
+    "states_top_genres": ORACLE["top_genres_revenue"],
+    "states_genre_year_trend": ORACLE["genre_year_trend"],
+}

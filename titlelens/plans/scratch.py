@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
 
@@ -19,3 +19,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="titlelens-")
         spark.conf.set(_KEY, shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: what follows reads only its columns,
+    and a lost executor costs no more than a read."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,10 +16,13 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def landed_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Ids with a landed file `{id}.json`; other file names are not counted."""
-    stem = F.regexp_extract("file_name", r"^(-?\d+)\.json$", 1)
-    named = landed_files(spark, path).select(stem.try_cast("bigint").alias("id"))
-    return named.filter(F.col("id").isNotNull())
+    """Ids with a landed file `{id}.json`, or a folder of that name or partition value with a
+    *.json file in it, once each.  Other names are not counted.  Nothing is opened."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+             .select("path"))
+    stem = F.regexp_extract("path", r"[/=](-?\d+)\.json(?:/|$)", 1)
+    named = files.select(stem.try_cast("bigint").alias("id"))
+    return named.filter(F.col("id").isNotNull()).distinct()
 
 
 def ids_to_load(wanted: DataFrame, landed: DataFrame, key: str = "id") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NAMED = T.StructType([T.StructField("name", T.StringType())])
@@ -37,3 +38,32 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
     """
     return (spark.read.schema(schema).option("multiLine", multi_line)
             .option("pathGlobFilter", "*.json").json(path))
+
+
+_BROKEN = "__broken"
+
+
+def read_with_quarantine(spark: SparkSession, path: str, quarantine: str,
+                         schema: T.StructType = RAW_SCHEMA, key: str = "id",
+                         pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """The good records of JSON lines, and those set aside with file, reason and text.
+
+    A line is broken if it does not parse, or not into the declared types.  A record without a
+    numeric key cannot be stored under one and is set aside too.  Both kinds are appended to the
+    Parquet folder `quarantine` in the one pass that this function makes; the good records stay
+    lazy.  A record the parser accepts in part counts as broken whole.
+    """
+    lines = (spark.read.schema(T.StructType([*schema, T.StructField(_BROKEN, T.StringType())]))
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BROKEN)
+             .option("pathGlobFilter", pattern).json(path))
+    usable = F.col(key).try_cast("bigint").isNotNull()
+    reason = (F.when(F.col(_BROKEN).isNotNull(), "unreadable")
+              .when(F.col(key).isNull(), "no key").when(~usable, "key is no number"))
+    told = lines.withColumns({"__reason": reason, "__file": F.col("_metadata.file_name")})
+    text = F.coalesce(F.col(_BROKEN), F.to_json(F.struct(*[f.name for f in schema])))
+    aside = told.filter(F.col("__reason").isNotNull()).select(
+        F.col("__file").alias("file_name"), F.col("__reason").alias("reason"),
+        text.alias("record"))
+    aside.write.mode("append").parquet(quarantine)
+    good = told.filter(F.col("__reason").isNull()).drop(_BROKEN, "__reason", "__file")
+    return good, spark.read.schema(aside.schema).parquet(quarantine)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -13,9 +15,25 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, by: Sequence[str] = ("release_year", "vote_average"),
+                    key: str = "id", files: int | None = None) -> None:
+    """Parquet in files of neighbouring values, with a bloom filter on the key.
+
+    Rows are dealt by ranges and sorted inside, so that the statistics of files and row groups
+    rule most of them out for a filter on the first column, or on both, and the bloom filter does
+    for a lookup of a key.  The key is the last column of the order: equal values are dealt over
+    as many files as they need.
+    """
+    order = [*by, key]
+    dealt = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    (dealt.sortWithinPartitions(*order).write.mode("overwrite")
+     .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header.  `single_file` sends all rows through one task: small tables only."""
-    out = df.coalesce(1) if single_file else df
+    """CSV with a header.  `single_file` writes all rows in one task, so it is for results that
+    are small by their nature; what computes them still runs in parallel."""
+    out = df.repartition(1) if single_file else df
     # Quotes are doubled, so texts with quotes, commas and line breaks come back unchanged.
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 

@@ -6,27 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from titlelens.operators.clean import clean
+from titlelens.operators.merge import merge_landing
 from titlelens.sources.records import RAW_SCHEMA
 
 
 def clean_new_files(spark: SparkSession, raw_path: str, out_path: str, checkpoint_path: str,
                     schema: T.StructType = RAW_SCHEMA, multi_line: bool = True) -> StreamingQuery:
-    """Clean the files landed since the last run, append them as Parquet, and stop.
+    """Take the files landed since the last run into the table at `out_path`, and stop.
 
-    The checkpoint remembers the files done.  Each batch is cleaned like a table of its own and
-    leaves out the titles that are stored already, so no id is kept as state, a batch that is run
-    again adds nothing, and a title that was not released yet may come with a later file.
+    The checkpoint remembers the files done.  Each batch is merged into the buckets that its ids
+    fall into (`merge`), and no other part of the table is read or written.  A batch that is run
+    again changes nothing.  `merge.merged_titles` reads the table, which is the same as one
+    cleaning of all files together, in whatever order they came.
     """
     landed = (spark.readStream.schema(schema).option("multiLine", multi_line)
               .option("pathGlobFilter", "*.json").json(raw_path))
 
-    def append(batch: DataFrame, _: int) -> None:
-        titles = clean(batch)
-        titles.limit(0).write.mode("ignore").parquet(out_path)  # so that there is a table to read
-        stored = spark.read.schema(titles.schema).parquet(out_path).select("id")
-        titles.join(stored, "id", "left_anti").write.mode("append").parquet(out_path)
+    def merge(batch: DataFrame, _: int) -> None:
+        merge_landing(batch, out_path)
 
-    return (landed.writeStream.foreachBatch(append)
+    return (landed.writeStream.foreachBatch(merge)
             .option("checkpointLocation", checkpoint_path)
             .trigger(availableNow=True).start())
