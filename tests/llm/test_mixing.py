@@ -69,3 +69,16 @@ def test_odd_rows(spark):
     assert len({(r["taken"], r["copies"]) for r in report if r["doc_id"] == 3}) == 1
     assert mixing.mix_report(docs.limit(0)).count() == 0
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_no_document_goes_beyond_the_cap(spark):
+    """A capped source takes its wordless documents as often as the others."""
+    rows = [(i, "one two three", "a") for i in range(6)] + [(10 + i, "", "a") for i in range(40)]
+    rows += [(100 + i, "word " * 200, "b") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_report(docs).collect()
+    assert {r["copies"] for r in got if r["doc_id"] < 100} == {mixing.MAX_EPOCHS}
+    clashing = docs.selectExpr("*", "1 copy", "2 row", "3 plan_source", "4 cut")
+    mixed = mixing.mix(clashing)
+    assert mixed.columns == clashing.columns
+    assert mixed.count() == sum(r["copies"] for r in got)

@@ -31,6 +31,26 @@ def test_ids_are_the_librarys(text):
     assert np.frombuffer(ENCODER.encode([text])[0], "<u4").tolist() == plain(text)
 
 
+def test_memo_is_bounded_in_bytes(monkeypatch):
+    """Texts without spaces are encoded, but not kept; many words push older ones out."""
+    from titlelens.llm import tokenize
+    monkeypatch.setattr(tokenize, "MEMO_BYTES", 20_000)
+    mine = Encoder(byte_bpe())
+    texts = ["汉字" * 400 + str(i) for i in range(20)] + [
+        " ".join(f"w{i}x{j}, abc{'defgh'[j % 5] * (j % 9)}." for j in range(60)) for i in range(20)]
+    for text in texts + texts[::-1]:
+        assert np.frombuffer(mine.encode([text])[0], "<u4").tolist() == plain(text)
+        assert all(len(w) <= tokenize.LONG_WORD for w in mine.memo)
+        assert len(mine.memo) + len(mine.memo.older) < 400
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZß.,'é-_~·ʯ s"), max_size=40), max_size=4))
+def test_stems_and_tails_are_the_librarys(texts):
+    got = [np.frombuffer(e, "<u4").tolist() for e in ENCODER.encode(texts)]
+    assert got == [plain(t) for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab'st .\n\té1<|>"), max_size=30), max_size=4))
 def test_random_ids_are_the_librarys(texts):

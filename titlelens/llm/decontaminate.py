@@ -5,8 +5,10 @@ words is one window.  The hashes of all windows go to every task as a set, a doc
 are looked up in it inside the row, and those found are compared with the items' windows word by
 word.  A document word inside any occurrence is hit.
 
-The set is bounded: up to `MAX_SET` hashes are sent along.  A larger benchmark is joined by
-shuffle instead, with equal results.
+The set is bounded.  Up to `MAX_SET` hashes are looked up inside the row.  Of more, up to
+`MAX_SENT` are sent along as a table, and each row's hashes are joined with it where they are; the
+words of the hits are then looked at again.  A still larger benchmark meets the hashes by shuffle.
+The results are equal.
 
 Edge cases: null or wordless texts have no windows and no hits; items without words match
 nothing; an item repeated, or a window that several items share, counts each item once; items
@@ -27,6 +29,7 @@ from titlelens.llm.common import gram_hash, gram_text, grams, stored, words
 
 WINDOW = 10
 MAX_SET = 20_000
+MAX_SENT = 2_000_000
 
 
 class BenchmarkWindows:
@@ -65,33 +68,72 @@ def _hits(array: Column, bench: BenchmarkWindows) -> Column:
         "array<struct<pos:int,n:int,gram:string>>")
 
 
+def _scanned(docs: DataFrame, bench: BenchmarkWindows) -> DataFrame:
+    """doc_id, text_key, n_words, hits, rows: each distinct id and text once; stored.
+
+    Rows alike are put together in each task before they are shuffled.
+    """
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"),
+                       words(F.col("text")).alias("w"))
+    counts = [F.max("n_words").alias("n_words"), F.count("*").cast("int").alias("rows")]
+    size = F.size("w").cast("bigint").alias("n_words")
+    if bench.texts is not None or not bench.lengths:
+        found = rows.select("doc_id", "text_key", size, _hits(F.col("w"), bench).alias("hits"))
+        return stored(found.groupBy("doc_id", "text_key").agg(
+            F.first("hits").alias("hits"), *counts), "window-hits")
+    split = bench.grams.select("n", F.split("gram", " ").alias("k"))
+    known = reduce(DataFrame.union, [
+        split.filter(F.col("n") == n).select("n", gram_hash(F.col("k"), F.lit(0), n).alias("hash"))
+        for n in bench.lengths]).distinct()
+    known = F.broadcast(known) if bench.count <= MAX_SENT else known
+
+    def windows(n: int) -> Column:
+        starts = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("pos"), F.lit(n).alias("n"), gram_hash(F.col("w"), i, n).alias("hash")))
+
+    spread = rows.select("doc_id", "text_key", F.explode(F.concat(*[
+        windows(n) for n in bench.lengths])).alias("h")).select("doc_id", "text_key", "h.*")
+    met = (spread.join(known, ["n", "hash"]).groupBy("doc_id", "text_key")
+           .agg(F.collect_set(F.struct("pos", "n")).alias("places")))
+    met = stored(met.withColumnsRenamed({"doc_id": "met_id", "text_key": "met_key"}), "window-met")
+    here = rows["doc_id"].eqNullSafe(met["met_id"]) & (rows["text_key"] == met["met_key"])
+    some = rows.join(met, here).select("doc_id", "text_key", F.transform(
+        "places", lambda p: F.struct(p["pos"].alias("pos"), p["n"].alias("n"), F.array_join(
+            F.slice("w", p["pos"] + 1, p["n"]), " ").alias("gram"))).alias("hits"))
+    some = some.groupBy("doc_id", "text_key").agg(F.first("hits").alias("hits"))
+    every = rows.select("doc_id", "text_key", size).groupBy("doc_id", "text_key").agg(*counts)
+    some = some.withColumnsRenamed({"doc_id": "met_id", "text_key": "met_key"})
+    return stored(every.join(some, every["doc_id"].eqNullSafe(some["met_id"]) & (
+        every["text_key"] == some["met_key"]), "left").select(
+        "doc_id", "text_key", F.coalesce("hits", F.array().cast(
+            "array<struct<pos:int,n:int,gram:string>>")).alias("hits"), "n_words", "rows"),
+        "window-hits")
+
+
 def _per_text(docs: DataFrame, bench: BenchmarkWindows) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, rows, items for each distinct id and text of `docs`."""
-    rows = (docs.select("doc_id", F.xxhash64("text").alias("text_key"),
-                        words(F.col("text")).alias("w"))
-            .select("doc_id", "text_key", F.size("w").cast("bigint").alias("n_words"),
-                    _hits(F.col("w"), bench).alias("hits")))
-    # One marker per row carries the word count; rows alike in id and text are put together.
-    marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).alias("n"),
-                              F.lit("").alias("gram")))
-    spread = rows.select("doc_id", "text_key", "n_words",
-                         F.explode(F.concat(marker, "hits")).alias("h")).select(
-        "doc_id", "text_key", "n_words", "h.*")
+    scanned = _scanned(docs, bench)
+    spread = scanned.select("doc_id", "text_key", F.explode("hits").alias("h")).select(
+        "doc_id", "text_key", "h.*")
     items = bench.table.groupBy("gram").agg(F.collect_set("item_id").alias("items"))
-    found = spread.join(broadcast_if_small(items.withColumnRenamed("gram", "known"), bench.count),
-                        F.col("gram") == F.col("known"), "left").filter(
-        (F.col("pos") < 0) | F.col("known").isNotNull())
+    found = spread.join(broadcast_if_small(items, bench.count), "gram")
     one = Window.partitionBy("doc_id", "text_key")
-    before = one.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    before = one.orderBy("pos", "n").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.greatest(F.coalesce(F.max(F.col("pos") + F.col("n")).over(before), F.lit(0)),
                        F.col("pos"))
     fresh = F.greatest(F.col("pos") + F.col("n") - reach, F.lit(0))
-    return (found.withColumn("fresh", F.when(F.col("pos") < 0, 0).otherwise(fresh))
-            .groupBy("doc_id", "text_key")
-            .agg(F.max("n_words").alias("n_words"),
-                 F.sum("fresh").cast("bigint").alias("n_hit"),
-                 F.count_if(F.col("pos") < 0).cast("int").alias("rows"),
-                 F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")))
+    hit = found.select("doc_id", "text_key", fresh.alias("fresh"), "items")
+    none = F.lit(None)
+    # Texts without hits come in only after the join, so no key holds them all.
+    both = hit.withColumns({"n_words": none.cast("bigint"), "rows": none.cast("int")}).unionByName(
+        scanned.select("doc_id", "text_key", F.lit(0).alias("fresh"),
+                       none.cast("array<string>").alias("items"), "n_words", "rows"))
+    return both.groupBy("doc_id", "text_key").agg(
+        F.max("n_words").alias("n_words"), F.sum("fresh").cast("bigint").alias("n_hit"),
+        F.max("rows").alias("rows"),
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

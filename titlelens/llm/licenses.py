@@ -58,27 +58,30 @@ def scan(docs: DataFrame, base=BASE, own=OWN) -> DataFrame:
     rows = (docs.select("doc_id", F.xxhash64("text").alias("text_key"),
                         words(F.col("text")).alias("w"))
             .select("doc_id", "text_key", F.size("w").cast("bigint").alias("n_words"),
-                    grams(F.col("w"), GRAM, hashes).alias("found")))
+                    grams(F.col("w"), GRAM, hashes).alias("found"))
+            # Rows alike are put together in each task; from here on all is by text, so this one
+            # shuffle is enough.
+            .groupBy("doc_id", "text_key")
+            .agg(F.max("n_words").alias("n_words"), F.first("found").alias("found"),
+                 F.count("*").cast("int").alias("rows")))
     marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).alias("n"),
                               F.lit(None).cast("string").alias("gram")))
-    spread = rows.select("doc_id", "text_key", "n_words",
+    spread = rows.select("doc_id", "text_key", "n_words", "rows",
                          F.explode(F.concat(marker, "found")).alias("g")).select(
-        "doc_id", "text_key", "n_words", "g.pos", "g.gram")
-    votes = (spread.join(F.broadcast(places), F.col("gram") == F.col("known"), "left")
-             # From here on all is by text, so one shuffle is enough.
-             .repartition("doc_id", "text_key"))
+        "doc_id", "text_key", "n_words", "rows", "g.pos", "g.gram")
+    votes = spread.join(F.broadcast(places), F.col("gram") == F.col("known"), "left")
     diagonals = (votes.withColumn("diagonal", F.col("pos") - F.col("place"))
                  .groupBy("doc_id", "text_key", "label", "exact", "length", "diagonal")
                  .agg(F.max("n_words").alias("n_words"), F.collect_set("place").alias("voted"),
                       F.min("pos").alias("first"), F.max("pos").alias("last"),
-                      F.count_if(F.col("pos") < 0).cast("int").alias("rows")))
+                      F.max("rows").alias("rows")))
     line = Window.partitionBy("doc_id", "text_key", "label", "exact").orderBy("diagonal")
     near = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(line) > SHIFT).cast("int"),
                       F.lit(0))
     spans = (diagonals.withColumn("new", near)
              .withColumn("span", F.sum("new").over(line))
              .groupBy("doc_id", "text_key", "label", "exact", "length", "span")
-             .agg(F.max("n_words").alias("n_words"), F.sum("rows").alias("rows"),
+             .agg(F.max("n_words").alias("n_words"), F.max("rows").alias("rows"),
                   F.collect_list(F.when(F.size("voted") == F.col("length") - GRAM + 1,
                                         F.col("diagonal"))).alias("starts"),
                   F.size(F.array_distinct(F.flatten(F.collect_list("voted")))).alias("voted"),
@@ -92,7 +95,7 @@ def scan(docs: DataFrame, base=BASE, own=OWN) -> DataFrame:
     is_found = F.when(F.col("exact"), F.size("starts") > 0).otherwise(
         F.col("cover") >= LEAST_COVER)
     return (judged.groupBy("doc_id", "text_key").agg(
-        F.max("n_words").alias("n_words"), F.sum("rows").cast("int").alias("rows"),
+        F.max("n_words").alias("n_words"), F.max("rows").alias("rows"),
         F.coalesce(F.sum(F.size(starts)), F.lit(0)).cast("bigint").alias("n_base"),
         F.min(F.array_min(starts)).cast("bigint").alias("first_word"),
         F.max(F.array_max(starts)).cast("bigint").alias("last_word"),

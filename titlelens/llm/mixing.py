@@ -97,7 +97,8 @@ def _cuts(narrow: DataFrame, goals: DataFrame) -> DataFrame:
         .alias("start"))
         .select(F.col("source").alias("s"), F.least("at", "start")["key"].alias("cut")))
     return (goals.join(best, goals["source"].eqNullSafe(best["s"]), "left").drop("s")
-            .withColumn("cut", F.coalesce("cut", F.lit(-1))))
+            # With nothing left to fill, no document is taken once more, wordless ones neither.
+            .withColumn("cut", F.coalesce(F.when(F.col("quota") > 0, F.col("cut")), F.lit(-1))))
 
 
 def plan_mix(narrow: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -128,10 +129,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
     """The mixed documents: each row as often as the mix takes it, with the columns of `docs`."""
     narrow = stored(sizes(docs, seed), "mix-sizes")
     plan = plan_mix(narrow, weights, max_epochs)
-    few = broadcast_if_small(plan.select(plan["source"].alias("__source"), "whole", "cut"),
+    few = broadcast_if_small(plan.select(plan["source"].alias("plan_source"), "whole", "cut"),
                              plan.count())
     copies = few["whole"] + (order_key(docs["doc_id"], seed) <= few["cut"]).cast("int")
-    return (docs.join(few, docs["source"].eqNullSafe(few["__source"]))
-            .select(*[docs[c] for c in docs.columns],
-                    F.explode(F.array_repeat(F.lit(0), copies)).alias("__copy"))
-            .drop("__copy"))
+    # The columns in one struct, so that no name of theirs can clash with one added here.
+    mixed = docs.join(few, docs["source"].eqNullSafe(few["plan_source"])).select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"))
+    return mixed.select("row.*")

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlelens.llm.common import stored
@@ -42,7 +42,9 @@ FREQUENT_SHARE = 2000  # frequent: in more than one of so many documents
 MAX_FREQUENT = 1 << 19
 COUNTED_AT_ONCE = 1 << 21
 LEAST_LOCAL = 4
+# A slice has at most so many sets, and of larger ones about so many elements.
 SLICE = 2048
+SLICE_ELEMENTS = 1 << 20
 # A row of those that say which documents to read again is under 100 bytes.
 MAX_SENT = 200_000
 MET = ["a", "b", "both", "slack", "gram"]
@@ -267,6 +269,11 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(_block_links(percent), "a long, b long"))
 
 
+def _slices() -> Column:
+    """How many slices a group of sets takes."""
+    return F.ceil(F.greatest(F.count("*") / SLICE, F.sum("n") / SLICE_ELEMENTS)).cast("int")
+
+
 def _second_round(named: DataFrame, percent: int) -> DataFrame:
     """`named` with a slice for each meeting a set takes part in.
 
@@ -279,8 +286,7 @@ def _second_round(named: DataFrame, percent: int) -> DataFrame:
     width = math.log(100 / percent) * 1.001 if percent < 100 else 1.0
     rows = named.join(main, "block").withColumn("main", F.col("label") == F.col("main")).withColumn(
         "band", F.floor(F.log("n") / width).cast("int"))
-    parts = rows.groupBy("block", "main", "band").agg(
-        F.ceil(F.count("*") / SLICE).cast("int").alias("parts"))
+    parts = rows.groupBy("block", "main", "band").agg(_slices().alias("parts"))
     rows = rows.join(parts, ["block", "main", "band"]).withColumn(
         "piece", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     spread = parts.select("block", "main", "band", F.explode(
@@ -300,12 +306,12 @@ def links(docs: DataFrame, scan: Scan, percent: int = PERCENT) -> DataFrame:
     """(a, b): links between classes, enough to connect all that are similar."""
     blocks = stored(components(_candidates(docs, scan, percent)).select(
         F.col("node").alias("cls"), F.col("label").alias("block")), "blocks")
-    sizes = blocks.groupBy("block").agg(F.count("*").alias("k"))
     one = scan.docs.groupBy("cls").agg(
         F.min(F.struct("doc_id", "text_key")).alias("d"), F.max("n").alias("n"))
-    members = (blocks.join(one, "cls").join(sizes, "block")
-               .select("block", "cls", "d.doc_id", "d.text_key", "n",
-                       F.ceil(F.col("k") / SLICE).cast("int").alias("slices")))
+    sized = blocks.join(one, "cls")
+    sizes = sized.groupBy("block").agg(_slices().alias("slices"))
+    members = sized.join(sizes, "block").select(
+        "block", "cls", "d.doc_id", "d.text_key", "n", "slices")
     own = F.pmod(F.xxhash64("cls"), F.col("slices")).cast("int")
     everywhere = F.sequence(F.lit(0), F.col("slices") - 1)
     members = stored(members.withColumn("own", own), "members")
@@ -360,14 +366,16 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             .agg(F.min(F.struct("doc_id", "text_key")).alias("d")).select("d.*"))
     kept = stored(kept.withColumn("one", F.lit(True)).union(
         bare.withColumn("one", F.lit(False))), "kept")
-    few = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "one")
+    few = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "one")
     again = rows.groupBy("doc_id", "text_key").count().filter("count > 1").join(
-        few.filter("one"), F.col("doc_id").eqNullSafe(F.col("__id"))
-        & (F.col("text_key") == F.col("__key")))
+        few.filter("one"), F.col("doc_id").eqNullSafe(F.col("kept_id"))
+        & (F.col("text_key") == F.col("kept_key")))
     few = F.broadcast(few) if kept.count() <= MAX_SENT else few
-    same = docs["doc_id"].eqNullSafe(few["__id"]) & (F.xxhash64(docs["text"]) == few["__key"])
-    left = docs.join(few, same).select(*[docs[c] for c in docs.columns], few["one"].alias("__one"))
+    same = docs["doc_id"].eqNullSafe(few["kept_id"]) & (F.xxhash64(docs["text"]) == few["kept_key"])
+    # The columns in one struct, so that no name of theirs can clash with one added here.
+    left = docs.join(few, same).select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), few["one"].alias("one"),
+        F.xxhash64(docs["doc_id"], docs["text"]).alias("same"))
     if not again.isEmpty():
-        left = left.filter("__one").dropDuplicates(["doc_id", "text"]).union(
-            left.filter("not __one"))
-    return left.drop("__one")
+        left = left.filter("one").dropDuplicates(["same"]).union(left.filter("not one"))
+    return left.select("row.*")

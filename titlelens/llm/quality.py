@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 4_000
+# Texts of more lines are scored like others, but not fitted on.
+FITTED_LINES = 1_000
 HELD_OUT, FOLDS = 2, 4
 GOOD = 0.7
 ROUNDS, STEPS, RATE, PENALTY = 3, 120, 0.1, 1e-3
@@ -218,9 +220,12 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, n: int = SAMPLE) -> Field:
     few = (labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
            .na.drop().filter(~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(n))
+    # Each id and text once, no more rows than labels, and none of very many lines.
     rows = docs.select("doc_id", "text").join(
         F.broadcast(few), F.col("doc_id") == F.col("id")).select(
-        F.xxhash64("doc_id", "text").alias("row"), "label", "text")
+        F.xxhash64("doc_id", "text").alias("row"), "label", "text").filter(
+        F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)) < FITTED_LINES
+    ).dropDuplicates(["row"]).orderBy("row").limit(n)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

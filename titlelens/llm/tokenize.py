@@ -1,23 +1,35 @@
 """Token ids of whole texts, by the tokenizers library, for byte-level BPE vocabularies.
 
 Such a vocabulary cuts a text into words before it merges bytes, and a word's ids do not depend
-on its neighbours.  So the library encodes each new word once, many together, and the ids of a
-text are put together from a bounded memo: equal to encoding the whole text, several times as
-fast.  The memo relies on two cuts that the word pattern always makes where no two white-space
-characters meet: in front of a space, and on both sides of a line break.  Any other text, and any
-other kind of vocabulary, is given to the library whole.
+on its neighbours.  So each new word goes through the library once, and the ids of a text are put
+together from a bounded memo: equal to encoding the whole text, some times as fast.  The memo
+relies on two cuts that the vocabulary's pattern always makes where no two white-space characters
+meet: in front of a space, and on both sides of a line break.  Text with other white space, and
+any other kind of vocabulary, is given to the library whole.
+
+Most of the library's time goes into cutting.  A word of Latin letters that ends in ASCII
+punctuation or in nothing is always cut between the two, so its parts go to the library's model
+by themselves, and the punctuation is not learnt with every word anew.  The classes of characters
+used for that have been settled for long; other words are given to the library as they are.
+
+The memo is bounded in bytes, and words beyond `LONG_WORD` characters are not kept, so text
+without spaces cannot fill it.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-MAX_MEMO = 300_000
-LEARNT_AT_ONCE = 4096
+# For each of the memo's two halves.
+MEMO_BYTES = 40 << 20
+# What a kept word costs beside its characters and ids: two objects and a place in a table.
+ENTRY_BYTES = 200
+LONG_WORD = 64
 # Stands in front of a word without a space before it; texts that hold it are encoded whole.
 _START = "\x00"
 _SPACE = re.compile(r"\s")
@@ -25,6 +37,18 @@ _PAIRS = ("  ", "\n\n", " \n", "\n ")
 # Every white-space character but the space and the line break.
 _OTHER = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"]
 _OTHER_ASCII = [c for c in _OTHER if c.isascii()]
+# Words that are cut here, with or without the mark: Latin letters, then ASCII punctuation.
+_LATIN = re.compile(f"{_START}?[A-Za-zÀ-ÖØ-öø-ʯ]+([!-/:-@\\[-`{{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How such vocabularies write bytes: printable ones as they are, the others from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
 
 
 def _is_odd(text: str) -> bool:
@@ -34,71 +58,111 @@ def _is_odd(text: str) -> bool:
 
 
 class _Memo(dict):
-    """Ids of words.  The words asked for lately are kept when it is full."""
+    """Ids of words.  Those asked for lately are kept when it is full."""
 
     def __init__(self):
         super().__init__()
         self.older: dict[str, bytes] = {}
+        self.held = 0
         self.new: list[str] = []
 
     def __missing__(self, word: str) -> bytes | None:
         known = self.older.get(word)
         if known is None:
             self.new.append(word)
-        self[word] = known  # none until it is learnt
+            self[word] = None  # until it is learnt
+        else:
+            self.learn(word, known)
         return known
 
+    def learn(self, word: str, ids: bytes) -> None:
+        if len(word) > LONG_WORD:
+            self.pop(word, None)
+        else:
+            self[word] = ids
+            self.held += ENTRY_BYTES + len(word) + len(ids)
+
     def rotate(self) -> None:
-        if len(self) > MAX_MEMO:
+        if self.held > MEMO_BYTES:
             self.older = dict(self)
             self.clear()
+            self.held = 0
 
 
 class Encoder:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
-        before = told.get("pre_tokenizer") or {}
+        before, model = told.get("pre_tokenizer") or {}, told.get("model") or {}
         added = [t["content"] for t in told.get("added_tokens", [])]
         self.by_word = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
                         and not before.get("add_prefix_space") and not told.get("normalizer")
-                        and not any(_SPACE.search(t) for t in added)
+                        and model.get("type", "BPE") == "BPE" and not model.get("dropout")
+                        and not any(_SPACE.search(t) or not t for t in added)
                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"]
                                     for t in told.get("added_tokens", [])))
-        # Words around which other words may be cut differently.
-        self.alone = re.compile("|".join([r"\s", *map(re.escape, added)]))
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.memo = _Memo()
-        self.line_break = self._whole(["\n"])[0]
+        self.tails = {"": b""}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
-    def _learn(self) -> None:
-        """Encode the new words, on lines of one text; the breaks between them are one id each."""
-        memo, words = self.memo, self.memo.new
-        memo.new = []
-        shown = [w[1:] if w.startswith(_START) else w if w == "\n" else " " + w for w in words]
-        joined, alone = list(zip(words, shown)), []
-        if "\n" in words or "" in words or _START in words or self.alone.search("".join(words)):
-            plain = [len(t) > 1 and not self.alone.search(t[1:]) for t in shown]
-            alone = [x for x, p in zip(joined, plain) if not p]
-            joined = [x for x, p in zip(joined, plain) if p]
-        for at in range(0, len(joined), LEARNT_AT_ONCE):
-            part = joined[at:at + LEARNT_AT_ONCE]
-            raw = self._whole(["\n".join([t for _, t in part])])[0]
-            ids = np.frombuffer(raw, "<u4")
-            breaks = np.flatnonzero(ids == np.frombuffer(self.line_break, "<u4")[0])
-            if len(self.line_break) != 4 or len(breaks) != len(part) - 1:
-                alone += part
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of texts that are not cut any more, by the library's model."""
+        if not pieces:
+            return []
+        # None holds a line break, so all are written in the vocabulary's letters at once.
+        shown = "\n".join(pieces).encode().decode("latin-1").translate(_LETTERS)
+        tokenize = self.model.tokenize
+        return [array("I", [t.id for t in tokenize(letters)]).tobytes()
+                for letters in shown.split(_LETTERS[10])]
+
+    def _tail(self, tail: str) -> bytes:
+        ids = self.tails.get(tail)
+        if ids is None:
+            ids = self._pieces([tail])[0]
+            if len(tail) < 4:
+                self.tails[tail] = ids
+        return ids
+
+    def _learn(self) -> dict[str, bytes]:
+        """The ids of the new words, also of those too long to be kept."""
+        memo = self.memo
+        words, memo.new = memo.new, []
+        ids, cut, stems, others = {}, [], {}, []
+        match = _LATIN.fullmatch
+        for word in words:
+            latin = match(word)
+            if latin is None or (self.added and self.added.search(word)):
+                others.append(word)
                 continue
-            cuts = (breaks * 4).tolist()
-            for (word, _), a, b in zip(part, [-4, *cuts], [*cuts, len(raw)]):
-                memo[word] = raw[a + 4:b]
-        for at in range(0, len(alone), LEARNT_AT_ONCE):
-            part = alone[at:at + LEARNT_AT_ONCE]
-            memo.update(zip([w for w, _ in part], self._whole([t for _, t in part])))
+            tail = latin[1]
+            stem = word[:-len(tail)] if tail else word
+            if tail:
+                cut.append((word, stem, tail))
+            if memo.get(stem) is None:
+                known = memo.older.get(stem)
+                if known is None:
+                    stems[stem] = None
+                else:
+                    ids[stem] = known
+        ids |= zip(stems, self._pieces(
+            [s[1:] if s.startswith(_START) else " " + s for s in stems]))
+        for stem in stems:
+            memo.learn(stem, ids[stem])
+        for word, stem, tail in cut:
+            ids[word] = (ids.get(stem) or memo[stem]) + self._tail(tail)
+            memo.learn(word, ids[word])
+        found = self._whole([w[1:] if w.startswith(_START) else w if w == "\n" else " " + w
+                             for w in others]) if others else []
+        for word, known in zip(others, found):
+            ids[word] = known
+            memo.learn(word, known)
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -109,14 +173,13 @@ class Encoder:
         odd = [_is_odd(t) for t in texts]
         words = [[] if o else (_START + t.replace("\n", f" \n {_START}")).split(" ")
                  for t, o in zip(texts, odd)]
-        found = [[memo[w] for w in line] for line in words]
-        if memo.new:
-            self._learn()
+        found = [list(map(memo.__getitem__, line)) for line in words]
+        new = self._learn() if memo.new else {}
         whole = iter(self._whole([t for t, o in zip(texts, odd) if o]))
         out = []
         for line, ids, o in zip(words, found, odd):
             if None in ids:
-                ids = [memo[w] if i is None else i for w, i in zip(line, ids)]
+                ids = [new[w] if i is None else i for w, i in zip(line, ids)]
             out.append(next(whole) if o else b"".join(ids))
         return out
 
@@ -125,7 +188,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One per worker process, with its memo, for all tasks that run in it."""
+    """One per worker process, with its memos, for all tasks that run in it."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

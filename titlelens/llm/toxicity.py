@@ -15,12 +15,12 @@ toxic; each row of a repeated document is scored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +45,14 @@ def _starts_of(words: set[str], n: int, known: set[str] | None = None) -> set[st
     return {"^" + s for s in counts} | {"^^" + s for s, k in counts.items() if k > 1}
 
 
+def _shown(word: str) -> str:
+    """A long word as a hash of the whole of it."""
+    return word if len(word) <= 64 else "#" + hashlib.sha1(word.encode()).hexdigest()
+
+
 def text_tokens(text: str | None) -> set[str]:
     words = set(_TOKEN.findall((text or "").lower()))
-    found = {w[:64] for w in words if w[0] != "^"}
+    found = {_shown(w) for w in words if w[0] != "^"}
     for n in _STARTS:
         found |= _starts_of(words, n)
     return found
@@ -68,9 +73,11 @@ def sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, n: int = S
     flags = [F.expr(e).cast("int").alias(f"is_{c}") for c, e in categories.items()]
     few = (labels.select(F.col("doc_id").alias("id"), *flags).na.drop()
            .orderBy(F.xxhash64("id"), "id").limit(n))
+    # Each id and text once, and no more rows than labels, however often an id is there.
     rows = docs.select("doc_id", "text").join(
         F.broadcast(few), F.col("doc_id") == F.col("id")).select(
-        F.xxhash64("doc_id", "text").alias("row"), *[f"is_{c}" for c in categories], "text")
+        F.xxhash64("doc_id", "text").alias("row"), *[f"is_{c}" for c in categories], "text"
+    ).dropDuplicates(["row"]).orderBy("row").limit(n)
     ddl = "row long, " + ", ".join(f"is_{c} int" for c in categories) + ", tokens array<string>"
     return stored(rows.mapInArrow(_tokens_of, ddl), "toxicity-sample")
 
@@ -144,7 +151,7 @@ class Chain:
 
     def scores(self, text: str | None) -> list[float]:
         words = set(_TOKEN.findall((text or "").lower()))
-        found = {w[:64] for w in words} & self.whole
+        found = {_shown(w) for w in words} & self.whole
         for n, known in self.starts:
             if known:
                 found |= _starts_of(words, n, known)
@@ -195,17 +202,19 @@ def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, n: int = SAMP
     return Chain(models)
 
 
-def _scored(chain: Chain, category: str | None = None):
+def _scored(chain: Chain, category: str | None = None) -> Callable[[Column], Column]:
+    """The probabilities of a text column; whole Arrow batches, one text at a time."""
     names = [c for c, _, _ in chain.models]
-    kind = "double" if category else ", ".join(f"p_{c} double" for c in names)
 
-    def run(text: pd.Series):
-        found = [chain.scores(t) for t in text]
+    def run(texts: pa.Array) -> pa.Array:
+        found = np.array([chain.scores(t.as_py()) for t in texts], float).reshape(-1, len(names))
+        columns = [pa.array(found[:, i]) for i in range(len(names))]
         if category:
-            return pd.Series([f[names.index(category)] for f in found], dtype=float)
-        return pd.DataFrame(found, columns=[f"p_{c}" for c in names], dtype=float)
-    run.__annotations__ = {"text": pd.Series, "return": pd.Series if category else pd.DataFrame}
-    return F.pandas_udf(run, kind)
+            return columns[names.index(category)]
+        return pa.StructArray.from_arrays(columns, names=[f"p_{c}" for c in names])
+
+    kind = "double" if category else f"struct<{', '.join(f'p_{c}: double' for c in names)}>"
+    return F.arrow_udf(run, kind)
 
 
 def toxic_probability(chain: Chain, text: Column) -> Column:

@@ -6,6 +6,11 @@ transaction; frequent combinations that imply a verdict with enough confidence b
 rule that a part of it already implies as surely is pruned.  Rules are indexed by their rarest
 token; URLs with the same tokens of interest are matched once, and the surest rule wins.
 
+FP-growth lists every combination of items that are frequent together, so tokens that stand in
+exactly the same labelled URLs, as the parts of one template do, are put together as one item
+first: any of them stands for all, and 20 query keys of a template are one item instead of a
+million combinations.  Rules have any length.
+
 What is sent along is bounded by the support: a token of a rule is in at least `min_support` of
 the labelled URLs, which have a bounded number of frequent tokens on average.
 
@@ -27,7 +32,7 @@ from titlelens.llm.common import LOWER, UPPER, stored
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
 DEFAULT = "allow"
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.01, 0.8, 3
+MIN_SUPPORT, MIN_CONFIDENCE = 0.01, 0.8
 
 
 def _rest(url: Column) -> Column:
@@ -80,9 +85,37 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
         F.array().cast("array<string>"))
 
 
+def alike(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> dict[str, str]:
+    """Each frequent token and the least one that stands in exactly the same rows.
+
+    Rows are told apart by their content, as sums of two hashes over the rows of a token.
+    """
+    row = [F.xxhash64(F.lit(i), F.array_join(F.array_sort("tokens"), "\n"), "verdict")
+           .cast("decimal(20,0)").alias(f"h{i}") for i in range(2)]
+    spread = labelled.select(*row, F.explode(F.array_distinct("tokens")).alias("token"))
+    least = labelled.count() * min_support
+    frequent = spread.groupBy("token").agg(
+        F.count("*").alias("n"), F.sum("h0").alias("s0"), F.sum("h1").alias("s1")).filter(
+        F.col("n") >= least)
+    # Bounded by the support.
+    first: dict[tuple, str] = {}
+    rows = sorted(map(tuple, frequent.select("token", "n", "s0", "s1").collect()))
+    return {token: first.setdefault(tuple(told), token) for token, *told in rows}
+
+
+def items_of(tokens: Column, items: dict[str, str]) -> Column:
+    """The items that the tokens stand for; tokens that are not frequent are left out."""
+    if not items:
+        return F.array().cast("array<string>")
+    known = F.create_map(*[F.lit(x) for pair in items.items() for x in pair])
+    return F.array_sort(F.array_distinct(F.filter(F.transform(
+        tokens, lambda t: F.try_element_at(known, t)), lambda x: x.isNotNull())))
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-         min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """rule_id, items, verdict, confidence, support from rows (tokens, verdict); stored."""
+         min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """rule_id, items, verdict, confidence, support from rows (tokens, verdict), where no two
+    tokens stand in the same rows throughout (see `alike`); stored."""
     spark = labelled.sparkSession
     ddl = "rule_id string, items array<string>, verdict string, confidence double, support double"
     if labelled.isEmpty():
@@ -92,23 +125,23 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     model = FPGrowth(itemsCol="items", minSupport=min_support,
                      minConfidence=min_confidence).fit(baskets)
     implied = stored(model.associationRules.filter(
-        F.col("consequent")[0].startswith("verdict:") & (F.size("antecedent") <= max_tokens)
+        F.col("consequent")[0].startswith("verdict:")
         & ~F.exists("antecedent", lambda x: x.startswith("verdict:"))).select(
         F.array_sort("antecedent").alias("items"),
         F.substring(F.col("consequent")[0], len("verdict:") + 1, 1 << 20).alias("verdict"),
-        "confidence", "support"), "url-rules")
-    # Every proper part of a rule of up to three tokens lacks one or two of them.
-    parts = implied.select("items", "verdict", "confidence", F.explode(F.filter(F.flatten(F.array(
-        F.transform("items", lambda x: F.array(x)),
-        F.transform("items", lambda x: F.array_except("items", F.array(x))))),
-        lambda part: F.size(part) > 0)).alias("part")).filter("part != items")
-    whole = implied.select(F.col("items").alias("part"), "verdict",
-                           F.col("confidence").alias("already"))
-    told = (parts.join(whole, ["part", "verdict"]).filter("already >= confidence")
+        "confidence", "support").withColumn("rule_id", F.concat_ws(" ", "items")), "url-rules")
+    # A part of a rule holds its own rarest token, which the rule has too.
+    parts = _index(implied).select(
+        F.col("items").alias("part"), "verdict", "token", F.col("confidence").alias("already"))
+    told = (implied.select("items", "verdict", "confidence", F.explode("items").alias("token"))
+            .join(parts, ["token", "verdict"])
+            .filter((F.col("already") >= F.col("confidence"))
+                    & (F.size("part") < F.size("items"))
+                    & (F.size(F.array_except("part", "items")) == 0))
             .select("items", "verdict").distinct())
     kept = implied.join(told, ["items", "verdict"], "left_anti")
-    return stored(kept.select(F.concat_ws(" ", "items").alias("rule_id"), "items", "verdict",
-                              "confidence", "support"), "url-rules")
+    return stored(kept.select("rule_id", "items", "verdict", "confidence", "support"),
+                  "url-rules")
 
 
 def _index(rules: DataFrame) -> DataFrame:
@@ -129,12 +162,14 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT,
     rows = parsed.select("page_id", "host", "path",
                          given_rule(F.col("host"), F.col("path"), rules).alias("given"),
                          tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens"))
-    mined = mine(rows.filter("given is not null").select(
-        "tokens", F.col("given.verdict").alias("verdict")), min_support, min_confidence)
-    # Bounded by the support; one row per distinct token of a rule.
-    used = sorted(r[0] for r in mined.select(F.explode("items")).distinct().collect())
-    seen = (F.array_sort(F.filter("tokens", lambda t: t.isin(used))) if used
-            else F.array().cast("array<string>"))
+    labelled = rows.filter("given is not null").select(
+        "tokens", F.col("given.verdict").alias("verdict"))
+    items = alike(labelled, min_support)
+    mined = mine(labelled.select(items_of(F.col("tokens"), items).alias("tokens"), "verdict"),
+                 min_support, min_confidence)
+    # Bounded by the support; one row per distinct item of a rule.
+    used = {r[0] for r in mined.select(F.explode("items")).distinct().collect()}
+    seen = items_of(F.col("tokens"), {t: i for t, i in items.items() if i in used})
     rows = rows.select("page_id", "host", "path", "given",
                        F.when(F.col("given").isNull(), F.concat_ws("\n", seen)).alias("seen"))
     kinds = stored(rows.filter("seen is not null").select("seen").distinct(), "url-kinds")
