@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from titlelens.operators import profile as p
+from titlelens.operators import quantiles as quantiles_module
 from titlelens.operators.quantiles import quantiles
 
 
@@ -61,6 +62,19 @@ def test_statistics(titles, numbers, exact):
         assert list(row)[1:] == pytest.approx(wanted, rel=1e-9, abs=1e-9)
 
 
+@pytest.mark.parametrize("held", [0, 1 << 20])
+def test_statistics_of_many_values(titles, numbers, held, monkeypatch):
+    """The passes for many values give what the built-in function gives for few."""
+    monkeypatch.setattr(quantiles_module, "HELD_VALUES", held)
+    row = {r["column"]: r for r in p.statistics(titles).collect()}["budget_musd"]
+    values = numbers.budget_musd.dropna()
+    assert [row.p25, row["median"], row.p75] == pytest.approx(
+        list(np.percentile(values, [25, 50, 75])), rel=1e-12)
+    summary = {r.summary: float(r.budget_musd) for r in p.summary(titles).collect()}
+    assert [summary[q] for q in ("25%", "50%", "75%")] == list(
+        np.percentile(values, [25, 50, 75], method="inverted_cdf"))
+
+
 def test_summary(titles, numbers):
     rows = {r.summary: r for r in p.summary(titles, ["runtime", "absent"]).collect()}
     assert list(rows) == ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
@@ -98,6 +112,39 @@ def test_correlation(titles, numbers):
         ("budget_musd", "budget_musd")]
 
 
+def test_correlation_far_from_zero(spark):
+    """Values with a large common part, in groups of different nulls."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, 2000)
+    frame = pd.DataFrame({"a": 1e9 + x, "b": 5e8 + 0.3 * x + rng.normal(0, 1, 2000),
+                          "c": np.full(2000, 0.1), "d": rng.normal(0, 1, 2000)})
+    for i, c in enumerate("abd"):
+        frame.loc[rng.random(2000) < 0.2 * i + 0.1, c] = np.nan
+    frame.loc[frame.a.notna(), "d"] = np.nan  # never together
+    rows = [tuple(None if math.isnan(v) else float(v) for v in r)
+            for r in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    got = p.correlation_matrix(df, list("abcd")).toPandas().set_index("column").astype(float)
+    wanted = frame.corr()
+    assert got.loc["a", "b"] == pytest.approx(wanted.loc["a", "b"], rel=1e-6)
+    assert got.loc["b", "d"] == pytest.approx(wanted.loc["b", "d"], rel=1e-9)
+    assert got.c.isna().all() and math.isnan(got.loc["a", "d"]) and got.loc["a", "a"] == 1
+    with pytest.raises(ValueError):
+        p.correlation_pairs(df, [])
+
+
+def test_profile_values(titles):
+    df = titles.selectExpr("*", "'a|b' genres", "2001 release_year")
+    values = {(r.part, r.row, r.column): r.value for r in p.profile_values(
+        p.full_profile(df, all_parts=True)).collect()}
+    assert values["overview", "runtime", "row_count"] == "500"
+    assert values["genre_counts", "b", "count"] == "500" == values["titles_per_year", "2001", "count"]
+    assert values["summary", "max", "vote_average"] == "6.5000"
+    assert values["statistics", "popularity", "mean"] is None
+    assert sum(int(v) for (part, row, c), v in values.items()
+               if part == "histogram" and row.startswith("revenue") and c == "count") == 500
+
+
 def test_quality_report(titles, numbers):
     row = p.quality_report(titles).first()
     missing = int(numbers.isna().sum().sum())
@@ -128,12 +175,13 @@ def test_full_profile_names_its_parts(titles):
     assert all(part.columns for part in parts.values())
 
 
+@pytest.mark.parametrize("rows", [None, 97])
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 6, 7, 10, 11, 97])
-def test_quantiles_of_small_groups(spark, size):
+def test_quantiles_of_small_groups(spark, size, rows):
     values = np.random.default_rng(size).integers(0, 8, size).astype(float)
     df = spark.createDataFrame([("g", float(v)) for v in values], "k string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    (row,) = quantiles(df, "v", probs, ["k"], 1).collect()
+    (row,) = quantiles(df, "v", probs, ["k"], 1, rows=rows).collect()
     assert row.quantiles == pytest.approx(list(np.percentile(values, [p * 100 for p in probs])))
 
 
@@ -154,12 +202,13 @@ def test_quantiles_of_skewed_groups(spark, accuracy, max_groups):
     assert got["odd"][2] == 1.5
 
 
-def test_quantile_elements_and_groups_without_values(spark):
+@pytest.mark.parametrize("n", [None, 9])
+def test_quantile_elements_and_groups_without_values(spark, n):
     values = {"a": [3.0, None, 1.0, 2.0, 4.0], "b": [None, None], "c": [5.0]}
     df = spark.createDataFrame([(k, v) for k in values for v in values[k]], "k string, v double")
     for exact in (True, False):
         rows = quantiles(df, "v", [0.5, 1.0], ["k"], 9, exact, element=True,
-                         also={"rows": F.count("*")}).collect()
+                         also={"rows": F.count("*")}, rows=n).collect()
         got = {r.k: (r.quantiles, r.rows) for r in rows}
         assert got["a"] == ([2.0, 4.0], 5) and got["c"] == ([5.0, 5.0], 1)
         assert got["b"][1] == 2 and not any(got["b"][0] or [])

@@ -51,7 +51,8 @@ def _fenced_roi(df: DataFrame, n: int, exact: bool, drop_empty: bool) -> DataFra
     just these genres, as `roi_by_genre` does.
     """
     points, q = stored(_roi_points(df, drop_empty), "returns"), F.col("quantiles")
-    quartiles = quantiles(points, "roi", [0.25, 0.5, 0.75], ["genre"], n, exact)
+    quartiles = quantiles(points, "roi", [0.25, 0.5, 0.75], ["genre"], n, exact,
+                          rows=points.count())
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fences = (quartiles.select("genre", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
               .withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach}))
@@ -138,7 +139,7 @@ def density_grid(df: DataFrame, x: str, y: str, cells: int = 40, single: int = 3
     def cell(c: str) -> Column:
         low, high = F.col(f"min_{c}"), F.col(f"max_{c}")
         place = F.floor(F.try_divide(F.col(c) - low, high - low) * cells)
-        return F.coalesce(F.least(place, F.lit(cells - 1)), F.lit(0)).cast("int")
+        return F.least(F.coalesce(place, F.lit(0)), F.lit(cells - 1)).cast("int")
 
     # One row is broadcast.
     placed = (points.withColumn("one", F.lit(1)).join(F.broadcast(box.withColumn("one", F.lit(1))),

@@ -120,7 +120,8 @@ def _measured(df: DataFrame, columns: Sequence[str], exact: bool = True,
     moments = {"count": F.count("*"), "mean": F.avg("value"), "std": F.stddev("value"),
                "min": F.min("value"), "max": F.max("value")}
     measured = quantiles(_long_values(df, columns), "value", [0.25, 0.5, 0.75], ["column"],
-                         len(columns), exact, element, also=moments)
+                         len(columns), exact, element, also=moments,
+                         rows=df.count() * len(columns) if exact else None)
     names = F.explode(F.array(*[F.lit(c) for c in columns]))
     listed = df.sparkSession.range(0, 1, 1, 1).select(names.alias("column"))
     return listed.join(F.broadcast(measured), "column", "left").withColumn(

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from titlelens.functions.hints import broadcast_if_small
 
 BINS = 256
+# So many values fit the buffers of the built-in function, whichever groups they are in.
+HELD_VALUES = 1 << 20
 
 
 def _bin(v: Column, low: Column, high: Column) -> Column:
@@ -46,14 +48,16 @@ def _holding(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str],
               max_groups: int | None = None, exact: bool = True, element: bool = False,
-              accuracy: int = 10_000, also: Mapping[str, Column] | None = None) -> DataFrame:
+              accuracy: int = 10_000, also: Mapping[str, Column] | None = None,
+              rows: int | None = None) -> DataFrame:
     """Per group the array `quantiles`, in the order of `probs`, and the aggregates in `also`.
 
     Covers all groups, or the `max_groups` largest (equal sizes in key order); only then are the
     groups' edges broadcast, if few enough.  `value` must be a double; its nulls count only in
     `also`, which may hold sums, means and the like that come as fixed-width numbers.  The keys
     must not be null.  Interpolates linearly between neighbours, or takes the lower `element`;
-    with `exact=False` it returns the sketch's own elements.
+    with `exact=False` it returns the sketch's own elements.  `rows` says how many rows there
+    are, if that is known: of few enough, the built-in functions find the same in one pass.
     """
     probs, by, also = list(probs), list(by), dict(also or {})
     carried = [aggregate.alias(name) for name, aggregate in also.items()]
@@ -71,6 +75,15 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         groups = df.groupBy(*by).agg(F.count(value).alias("_n"), sketch, *carried)
         return largest(groups).select(*by, "quantiles", *also)
 
+    if rows is not None and rows <= HELD_VALUES:
+        kind = "percentile_disc" if element else "percentile"
+        order = f"WITHIN GROUP (ORDER BY `{value}`)"
+        each = [F.expr(f"{kind}({p}) {order}" if element else f"{kind}(`{value}`, {p})")
+                for p in probs]
+        groups = df.groupBy(*by).agg(F.count(value).alias("_n"),
+                                     F.array(*each).alias("quantiles"), *carried)
+        return largest(groups).select(*by, "quantiles", *also)
+
     margin = 3 / accuracy  # three sketch errors to each side
     wanted = sorted({min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)})
     groups = largest(df.groupBy(*by).agg(

@@ -79,8 +79,10 @@ def compare_franchises(df: DataFrame, exact: bool = True) -> DataFrame:
     flagged = with_metrics(df, "roi").select(
         title_kind().alias("is_franchise"), "roi", "revenue_musd", "budget_musd", "popularity",
         "vote_average")
+    rows = None
     if exact:
         flagged = stored(flagged, "franchises")
+        rows = flagged.count()
     means = {
         "movie_count": F.count("*"),
         "mean_revenue_musd": F.avg("revenue_musd"),
@@ -89,7 +91,7 @@ def compare_franchises(df: DataFrame, exact: bool = True) -> DataFrame:
         "mean_rating": F.avg("vote_average"),
     }
     compared = quantiles(flagged, "roi", [0.5], ["is_franchise"], max_groups=2, exact=exact,
-                         element=True, also=means)
+                         element=True, also=means, rows=rows)
     return (compared.withColumn("median_roi", F.col("quantiles")[0])
             .select("is_franchise", "movie_count", "mean_revenue_musd", "median_roi",
                     "mean_budget_musd", "mean_popularity", "mean_rating")
