@@ -84,3 +84,39 @@ def test_stages_equal_plain_python(spark):
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (
             i, at, len(mine), zlib.crc32(mine.tobytes()))
         at += len(mine)
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows, wordless and very long texts, clashing columns; and no rows at all."""
+    labels = spark.createDataFrame([(i, i % 2, int(i % 3 == 0)) for i in range(40)],
+                                   "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "ten words that stand in one item of the benchmark here"),
+                                   (None, None)], "item_id long, text string")
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(rng.choice(words, 40)), f"s{i % 3}") for i in range(40)]
+    rows += [(None, None, None), (None, None, None), (None, "a null id", "s0"), (3, "", "s1"),
+             (3, " \t", None), (50, "word " * 60_000, "s2"), rows[0], rows[0], (None, rows[1][1], "s0"),
+             (60, "so ten words that stand in one item of the benchmark here.", "s1")]
+    docs = spark.createDataFrame(
+        [(*r, 1, 2, 3, 4, 5) for r in rows],
+        "doc_id long, text string, source string, row int, copy int, one int, hits int, n_words int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for start, least in ((docs, 1), (docs.limit(0), 0)):
+        now = start
+        for name, stage in corpus_pipeline.STAGES:
+            out = stored(stage(spark, now, str(tmp_path)), name)
+            if name != "token_binary":
+                assert out.columns == docs.columns and out.count() >= least
+            if name == "ngram_jaccard" and least:
+                worded = [r["text"] for r in out.collect() if r["text"] and r["text"].strip()]
+                assert len(worded) == len(set(worded))
+                assert out.filter("text is null").count() == now.filter("text is null").count()
+            if name == "decontaminate" and least:
+                assert out.filter("doc_id = 60").isEmpty()
+            now, before = out, now
+        assert now.count() == before.count() and now.agg({"n_tokens": "sum"}).first()[0] is not (
+            None if least else 0)
+
+
