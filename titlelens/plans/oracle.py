@@ -262,6 +262,8 @@ FROM raw""",
 SELECT reason, count(*) AS records, count(*) FILTER (WHERE reason <> 'good') AS with_file,
   CASE WHEN reason = 'good' THEN count(title) ELSE count(*) END AS with_text
 FROM told GROUP BY reason""",
+    "scan_cached": """SELECT s_suppkey AS id, s_name AS title, s_name AS genre,
+  count(*) OVER () AS records FROM supplier WHERE s_suppkey % 7 = 0""",
     "merged_landings": _CLEAN,
     "clustered_years": _filtered("release_year BETWEEN 1996 AND 1998", _LISTED),
     "roundtrip_json": _CLEAN,

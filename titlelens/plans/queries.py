@@ -131,6 +131,23 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.count("title"))))
 
 
+def _scan_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pretty-printed file for each director, scanned once and looked at twice."""
+    path = scratch_path(spark, "pretty")
+    people = spark.read.parquet(f"{sf_dir}/supplier.parquet").filter("s_suppkey % 7 = 0")
+    (people.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"),
+                   F.lit("Released").alias("status"),
+                   F.array(F.struct(F.col("s_name").alias("name"))).alias("genres"),
+                   F.col("s_suppkey").alias("file"))
+     .write.option("pretty", True).partitionBy("file").json(path))
+    scanned = records.scan_cached(spark, f"{path}/*")
+    counts = scanned.groupBy("status").agg(F.count("*").alias("records"))
+    # One row is broadcast.
+    return scanned.join(F.broadcast(counts), "status").select(
+        F.col("id").try_cast("bigint").alias("id"), "title", F.col("genres")[0]["name"].alias(
+            "genre"), "records")
+
+
 def _audit_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_titles(spark, sf_dir)
     _, audit = clean.clean_and_audit(raw, scratch_path(spark, "audited"),
@@ -216,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "load_count": _load_count,
     "landed_inventory": _landed_inventory,
     "landed_by_name": _landed_by_name,
+    "scan_cached": _scan_cached,
     "quarantine": _quarantine,
     "clean_audit_on_write": _audit_on_write,
     "merged_landings": _merged_landings,

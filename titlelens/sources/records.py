@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +41,13 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
             .option("pathGlobFilter", "*.json").json(path))
 
 
+def scan_cached(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
+                multi_line: bool = True) -> DataFrame:
+    """The same scan, kept by the executors for several operators, on disk where it does not fit
+    in memory.  A lost executor's part is read again.  The caller unpersists it."""
+    return read_records(spark, path, schema, multi_line).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 _BROKEN = "__broken"
 
 
