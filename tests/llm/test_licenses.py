@@ -56,6 +56,22 @@ def test_own_phrases_may_differ_a_little(spark, text, label):
     assert set(found) & own == ({label} if label else set())
 
 
+@pytest.mark.parametrize("name", ["mit-text", "bsd-2-text", "apache-2.0-notice", "gpl-notice",
+                                  "as-is"])
+def test_whole_texts_are_found_over_many_diagonals(spark, name):
+    """Words left out, added and changed here and there move the diagonal; three such places
+    still merge into one span.  Half of a text does not make it."""
+    ws = dict(licenses.OWN)[name].split()
+    edited = [*ws[:9], "newly", *ws[9:20], *ws[21:]]
+    edited[-4] = "another"
+    halves = [" ".join(ws[:len(ws) // 2]), " ".join(ws[len(ws) // 2 + 1:])]
+    shouted = "The, " + ", ".join(w.upper() for w in ws) + "!"
+    got = _scan(spark, [" ".join(["intro", *ws, "end"]), " ".join(edited), shouted, *halves])
+    found = [name in got[i]["labels"].split(",") for i in range(5)]
+    assert found == [True, True, True, False, False]
+    assert got[0]["score"] == 1.0
+
+
 def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "mit license")] * 3 + [(None, "mit license")],
                                  "doc_id long, text string")

@@ -25,7 +25,7 @@ from titlelens.llm.common import gram_hash, grams, words
 # Fixed values: (label, phrase) that are counted word for word.
 BASE = (("gpl", "gnu general public license"), ("apache", "apache license"), ("cc-by", "cc by"),
         ("mit", "mit license"))
-# Phrases of usual license lines, found also with a few words more or less.
+# Usual license lines and the texts of licenses, found also with a few words more or less.
 OWN = (("all-rights-reserved", "all rights reserved"),
        ("apache-2.0", "licensed under the apache license version 2 0"),
        ("bsd", "redistribution and use in source and binary forms with or without modification "
@@ -33,7 +33,32 @@ OWN = (("all-rights-reserved", "all rights reserved"),
        ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
        ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
        ("gpl-3.0", "licensed under the gnu general public license version 3"),
-       ("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy"))
+       ("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy"),
+       ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of "
+                    "this software and associated documentation files the software to deal in the "
+                    "software without restriction including without limitation the rights to use "
+                    "copy modify merge publish distribute sublicense and or sell copies of the "
+                    "software and to permit persons to whom the software is furnished to do so "
+                    "subject to the following conditions the above copyright notice and this "
+                    "permission notice shall be included in all copies or substantial portions of "
+                    "the software"),
+       ("bsd-2-text", "redistribution and use in source and binary forms with or without "
+                      "modification are permitted provided that the following conditions are met "
+                      "redistributions of source code must retain the above copyright notice this "
+                      "list of conditions and the following disclaimer redistributions in binary "
+                      "form must reproduce the above copyright notice this list of conditions and "
+                      "the following disclaimer in the documentation and or other materials "
+                      "provided with the distribution"),
+       ("apache-2.0-notice", "licensed under the apache license version 2 0 the license you may "
+                             "not use this file except in compliance with the license you may "
+                             "obtain a copy of the license at"),
+       ("gpl-notice", "this program is free software you can redistribute it and or modify it "
+                      "under the terms of the gnu general public license as published by the free "
+                      "software foundation either version 3 of the license or at your option any "
+                      "later version"),
+       ("as-is", "the software is provided as is without warranty of any kind express or implied "
+                 "including but not limited to the warranties of merchantability fitness for a "
+                 "particular purpose and noninfringement"))
 GRAM = 2
 SHIFT = 2
 LEAST_COVER = 0.75
