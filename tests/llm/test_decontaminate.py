@@ -65,10 +65,9 @@ def test_equals_plain_python(spark, seed, max_set, monkeypatch):
     kept = decontaminate.drop_contaminated(*frames)
     assert kept.columns == frames[0].columns
     assert any(w[5] for w in want)
-    if max_set:  # else rows that share the id of a dropped row go too
-        clean = [d for d in docs if not plain([d], items)[0][5]]
-        got = [(r["doc_id"], r["text"]) for r in kept.collect()]
-        assert sorted(got, key=str) == sorted(clean, key=str)
+    clean = [d for d in docs if not plain([d], items)[0][5]]
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted(clean, key=str)
 
 
 @pytest.mark.parametrize("max_set", [0, 20_000])
@@ -90,3 +89,22 @@ def test_very_long_text_and_empty_tables(spark):
     bare = decontaminate.contamination(frames[0], frames[1].limit(0)).first()
     assert bare["n_hit"] == 0 and not bare["contaminated"]
     assert decontaminate.drop_contaminated(frames[0], frames[1].limit(0)).count() == 1
+
+
+def test_large_benchmark_and_a_text_repeated_often(spark):
+    """More windows than are looked up inside the row: hashes are joined where the rows are."""
+    rng = random.Random(11)
+    items = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(310))) for i in range(100)]
+    docs = [(i, f"before {' '.join(items[i % 100][1].split()[5:40])} after") for i in range(20)]
+    docs += [(7, "the same clean text over and over again for one id")] * 300
+    docs += [(8, docs[0][1])] * 30 + [(None, docs[1][1]), (None, None)]
+    frames = _frames(spark, docs, items)
+    bench = decontaminate.BenchmarkWindows(frames[1])
+    assert decontaminate.MAX_SET < bench.count <= decontaminate.MAX_SENT and bench.texts is None
+    got = sorted(map(tuple, decontaminate.contamination(*frames).collect()), key=str)
+    by_text = {}
+    for doc_id, text in docs:
+        if text not in by_text:
+            by_text[text] = plain([(doc_id, text)], items)[0][1:]
+    assert got == sorted([(doc_id, *by_text[text]) for doc_id, text in docs], key=str)
+    assert decontaminate.drop_contaminated(*frames).count() == 301
