@@ -100,3 +100,80 @@ def test_marginals_equal_sums_over_all_labellings():
         assert good[:len(odd), c] == pytest.approx(on / total)
         want_moves += all_moves / total
     assert moves == pytest.approx(want_moves)
+
+
+def _plain_telling(rows, flags, n):
+    """The tokens of largest |log odds| / its error, from counts."""
+    with_it, counts, total = sum(flags), {}, {}
+    for tokens, flag in zip(rows, flags):
+        for t in tokens:
+            total[t] = total.get(t, 0) + 1
+            counts[t] = counts.get(t, 0) + flag
+    scored = []
+    for t, k in total.items():
+        yes, no = counts[t] + 0.5, k - counts[t] + 0.5
+        odds = np.log(yes / (with_it + 1 - yes)) - np.log(no / (len(flags) - with_it + 1 - no))
+        if k > 1:
+            scored.append((-round(abs(odds / np.sqrt(1 / yes + 1 / no)), 9), t))
+    return [t for _, t in sorted(scored)[:n]]
+
+
+def _plain_logistic(x, y):
+    """Gradient steps to the end, with no second derivatives."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.full(x.shape[1], toxicity.PENALTY)
+    ridge[-1] = 1e-6
+    w = np.zeros(x.shape[1])
+    step = 1 / (0.25 * np.linalg.norm(x, 2) ** 2 + toxicity.PENALTY)
+    ahead, t = w, 1.0
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(-x @ ahead))
+        after = ahead - step * (x.T @ (p - y) + ridge * ahead)
+        s = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead, w, t = after + (t - 1) / s * (after - w), after, s
+    return w
+
+
+def test_chain_by_brute_force(spark):
+    """Tokens by counting, models by plain descent, folds by hand: the same probabilities."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(30)]
+    docs, labels = [], []
+    for i in range(90):
+        toxic, quality = int(rng.random() < 0.4), int(rng.random() < 0.5)
+        text = list(rng.choice(words, 8)) + ["vile"] * (toxic and rng.random() < 0.8)
+        text += ["spam"] * (not quality and rng.random() < 0.7)
+        docs.append((i, " ".join(text)))
+        labels.append((i, quality, toxic))
+    docs += docs[:2] + [(200, None), (201, "vile spam w1")]  # repeated rows count once
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.classify(frame, marks).collect()}
+
+    order = [r[0] for r in frame.filter("doc_id < 200").distinct().selectExpr(
+        "doc_id", "xxhash64(doc_id, text) h").orderBy("h").collect()]
+    texts, by_id = dict(docs), {i: (q, t) for i, q, t in labels}
+    rows = [toxicity.text_tokens(texts[i]) for i in order]
+    flags = {"junk": [1 - by_id[i][0] for i in order], "toxic": [by_id[i][1] for i in order],
+             "toxic_junk": [by_id[i][1] * (1 - by_id[i][0]) for i in order]}
+    folds = np.arange(len(order)) % toxicity.FOLDS
+    earlier = np.zeros((len(order), 0))
+    models = []
+    for c, y in flags.items():
+        telling, y = _plain_telling(rows, y, toxicity.TOKENS), np.array(y, float)
+        x = np.hstack([np.array([[float(t in r) for t in telling] for r in rows]), earlier])
+        unseen = np.zeros(len(order))
+        for fold in range(toxicity.FOLDS):
+            w = _plain_logistic(x[folds != fold], y[folds != fold])
+            unseen[folds == fold] = 1 / (1 + np.exp(-(x[folds == fold] @ w[:-1] + w[-1])))
+        models.append((telling, _plain_logistic(x, y)))
+        earlier = np.hstack([earlier, unseen[:, None]])
+    for i, text in {*docs}:
+        done, have = [], toxicity.text_tokens(text)
+        for (telling, w), c in zip(models, flags):
+            z = w[-1] + sum(v for t, v in zip(telling, w) if t in have)
+            z += sum(v * p for v, p in zip(w[len(telling):-1], done))
+            done.append(1 / (1 + np.exp(-z)))
+            assert got[i][f"p_{c}"] == pytest.approx(done[-1], abs=0.02)
+        assert got[i]["rejected"] == (got[i]["p_toxic"] >= toxicity.REJECT)
+    assert got[201]["rejected"] and len(got) == 92
