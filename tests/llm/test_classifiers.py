@@ -177,3 +177,15 @@ def test_chain_by_brute_force(spark):
             assert got[i][f"p_{c}"] == pytest.approx(done[-1], abs=0.02)
         assert got[i]["rejected"] == (got[i]["p_toxic"] >= toxicity.REJECT)
     assert got[201]["rejected"] and len(got) == 92
+
+
+def test_long_words_are_told_apart_by_their_ends():
+    a, b = (toxicity.text_tokens("x" * 70 + end) for end in "ab")
+    assert a != b and all(len(t) <= 64 for t in a | b)
+
+
+def test_an_id_of_many_texts_is_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text number {i}") for i in range(500)] + [(2, "other")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.sample(docs, labels).count() == 2

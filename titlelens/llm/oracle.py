@@ -154,9 +154,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 FROM docs LEFT JOIN per_doc USING (r)
 """
 
+JACCARD = """
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN
+        [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3),
+        lambda i: array_to_string(w[i:i + 4], ' ')) END) AS grams FROM docs),
+spread AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS shared
+    FROM spread a JOIN spread b ON a.gram = b.gram AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM pairs WHERE 100 * shared >= 75 * (n - shared)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, root) AS (
+    SELECT doc_id, doc_id FROM sets
+    UNION SELECT ways.b, root FROM reached JOIN ways ON ways.a = reached.doc_id)
+SELECT doc_id, any_value(len(grams))::BIGINT AS n_shingles, min(root)::BIGINT AS component_id
+FROM sets JOIN reached USING (doc_id) GROUP BY doc_id"""
+
 ORACLE: dict[str, str] = {
     "op2_license_scan": LICENSES,
     "op4_decontaminate": DECONTAMINATE,
     "op5_exact_topk": TOP_K,
+    "op6_ngram_jaccard": JACCARD,
     "op8_mix_sources": MIX,
 }

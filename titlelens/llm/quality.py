@@ -220,23 +220,26 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, n: int = SAMPLE) -> Field:
     few = (labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
            .na.drop().filter(~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(n))
-    # Each id and text once, no more rows than labels, and none of very many lines.
     rows = docs.select("doc_id", "text").join(
         F.broadcast(few), F.col("doc_id") == F.col("id")).select(
-        F.xxhash64("doc_id", "text").alias("row"), "label", "text").filter(
-        F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)) < FITTED_LINES
-    ).dropDuplicates(["row"]).orderBy("row").limit(n)
+        "id", F.xxhash64("doc_id", "text").alias("row"), "label", "text").filter(
+        F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)) < FITTED_LINES)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [text_lines(t.as_py()) for t in batch.column(2)]
+            found = [text_lines(t.as_py()) for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
+                [*batch.columns[:3],
                  pa.array([x.astype("<f4").tobytes() for x, _ in found], pa.binary()),
                  pa.array([s.astype("<f8").tobytes() for _, s in found], pa.binary())],
-                names=["row", "label", "features", "sizes"])
-
-    held = rows.mapInArrow(made, "row long, label int, features binary, sizes binary").toPandas()
+                names=["id", "row", "label", "features", "sizes"])
+
+    kind = few.schema["id"].dataType.simpleString()
+    made_rows = rows.mapInArrow(
+        made, f"id {kind}, row long, label int, features binary, sizes binary")
+    # Of each id one text, so there are no more rows than labels, however often an id is there.
+    one = F.min_by(F.struct("row", "label", "features", "sizes"), "row").alias("one")
+    held = made_rows.groupBy("id").agg(one).select("one.*").toPandas()
     held = held.sort_values("row", kind="stable")
     return fit_field([np.frombuffer(x, "<f4").reshape(-1, N_FEATURES).astype(float)
                       for x in held["features"]],

@@ -73,13 +73,16 @@ def sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, n: int = S
     flags = [F.expr(e).cast("int").alias(f"is_{c}") for c, e in categories.items()]
     few = (labels.select(F.col("doc_id").alias("id"), *flags).na.drop()
            .orderBy(F.xxhash64("id"), "id").limit(n))
-    # Each id and text once, and no more rows than labels, however often an id is there.
     rows = docs.select("doc_id", "text").join(
         F.broadcast(few), F.col("doc_id") == F.col("id")).select(
-        F.xxhash64("doc_id", "text").alias("row"), *[f"is_{c}" for c in categories], "text"
-    ).dropDuplicates(["row"]).orderBy("row").limit(n)
-    ddl = "row long, " + ", ".join(f"is_{c} int" for c in categories) + ", tokens array<string>"
-    return stored(rows.mapInArrow(_tokens_of, ddl), "toxicity-sample")
+        "id", F.xxhash64("doc_id", "text").alias("row"), *[f"is_{c}" for c in categories], "text")
+    kind = few.schema["id"].dataType.simpleString()
+    ddl = f"id {kind}, row long, " + ", ".join(
+        f"is_{c} int" for c in categories) + ", tokens array<string>"
+    # Of each id one text, so there are no more rows than labels, however often an id is there.
+    found = rows.mapInArrow(_tokens_of, ddl)
+    one = F.min_by(F.struct(*found.columns[1:]), "row").alias("one")
+    return stored(found.groupBy("id").agg(one).select("one.*"), "toxicity-sample")
 
 
 def telling_tokens(rows: DataFrame, category: str, n: int = TOKENS) -> list[str]:
