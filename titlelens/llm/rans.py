@@ -14,7 +14,7 @@ import numpy as np
 
 LOWEST = np.uint64(1 << 31)
 WORD_BITS = np.uint64(32)
-MAX_LANES = 2048
+MAX_LANES = 4096
 CHECKPOINT_STEPS = 128
 
 

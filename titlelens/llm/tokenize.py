@@ -26,7 +26,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # For each of the memo's two halves.
-MEMO_BYTES = 40 << 20
+MEMO_BYTES = 48 << 20
 # What a kept word costs beside its characters and ids: two objects and a place in a table.
 ENTRY_BYTES = 200
 LONG_WORD = 64
