@@ -134,17 +134,15 @@ def density_grid(df: DataFrame, x: str, y: str, cells: int = 40, single: int = 3
 
     points = stored(df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
                     .filter(finite("x") & finite("y")), "points")
-    box = points.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)])
+    # Four numbers, put into the plan as constants.
+    box = points.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)]).first()
 
     def cell(c: str) -> Column:
-        low, high = F.col(f"min_{c}"), F.col(f"max_{c}")
+        low, high = F.lit(box[f"min_{c}"]), F.lit(box[f"max_{c}"])
         place = F.floor(F.try_divide(F.col(c) - low, high - low) * cells)
-        return F.least(F.coalesce(place, F.lit(0)), F.lit(cells - 1)).cast("int")
+        return F.least(F.coalesce(place, F.lit(0)), F.lit(cells - 1)).cast("int").alias(f"cell_{c}")
 
-    # One row is broadcast.
-    placed = (points.withColumn("one", F.lit(1)).join(F.broadcast(box.withColumn("one", F.lit(1))),
-                                                      "one")
-              .select(cell("x").alias("cell_x"), cell("y").alias("cell_y"), "x", "y"))
+    placed = points.select(cell("x"), cell("y"), "x", "y")
     # Equal points first become one row with a count.
     tallied = placed.groupBy("cell_x", "cell_y", "x", "y").agg(F.count("*").alias("n"))
     filled = tallied.groupBy("cell_x", "cell_y").agg(
