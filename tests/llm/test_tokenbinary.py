@@ -31,11 +31,10 @@ def test_ids_are_the_librarys(text):
     assert np.frombuffer(ENCODER.encode([text])[0], "<u4").tolist() == plain(text)
 
 
-def test_memo_is_bounded_in_bytes(monkeypatch):
+def test_memo_is_bounded_in_bytes():
     """Texts without spaces are encoded, but not kept; many words push older ones out."""
     from titlelens.llm import tokenize
-    monkeypatch.setattr(tokenize, "MEMO_BYTES", 20_000)
-    mine = Encoder(byte_bpe())
+    mine = Encoder(byte_bpe(), 20_000)
     texts = ["汉字" * 400 + str(i) for i in range(20)] + [
         " ".join(f"w{i}x{j}, abc{'defgh'[j % 5] * (j % 9)}." for j in range(60)) for i in range(20)]
     for text in texts + texts[::-1]:

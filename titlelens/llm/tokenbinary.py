@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from titlelens.functions.hints import broadcast_if_small
 from titlelens.llm import rans
-from titlelens.llm.tokenize import encoder
+from titlelens.llm.tokenize import MEMO_BYTES, encoder
 
 SHARD_TOKENS = 1 << 22
 BLOCK_TOKENS = 1 << 19
@@ -71,15 +71,20 @@ def _shard(part: int, shard: int, doc_ids: list, encoded: list[bytes]) -> pa.Rec
     return pa.RecordBatch.from_pylist([row], schema=SHARD)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
-    """Write the ids of all texts to `path`.  `tokenizer` is the path of a vocabulary file."""
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
+                 memo_bytes: int = MEMO_BYTES) -> None:
+    """Write the ids of all texts to `path`.  `tokenizer` is the path of a vocabulary file.
+
+    A worker keeps the ids of words in two halves of `memo_bytes`: fewer where it shares its
+    memory with other stages, for some more time.
+    """
     end = np.array([end_id], "<u4").tobytes()
 
     def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard = TaskContext.get().partitionId(), 0
         doc_ids, encoded, held = [], [], 0
         for ids, texts in _pieces(batches):
-            for doc_id, data in zip(ids, encoder(tokenizer).encode(texts)):
+            for doc_id, data in zip(ids, encoder(tokenizer, memo_bytes).encode(texts)):
                 doc_ids.append(doc_id)
                 encoded.append(data + end)
                 held += len(data) // 4 + 1

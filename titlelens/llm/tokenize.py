@@ -25,8 +25,8 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-# For each of the memo's two halves.
-MEMO_BYTES = 48 << 20
+# For each of the memo's two halves, unless asked otherwise.
+MEMO_BYTES = 64 << 20
 # What a kept word costs beside its characters and ids: two objects and a place in a table.
 ENTRY_BYTES = 200
 LONG_WORD = 64
@@ -60,10 +60,10 @@ def _is_odd(text: str) -> bool:
 class _Memo(dict):
     """Ids of words.  Those asked for lately are kept when it is full."""
 
-    def __init__(self):
+    def __init__(self, most: int):
         super().__init__()
         self.older: dict[str, bytes] = {}
-        self.held = 0
+        self.most, self.held = most, 0
         self.new: list[str] = []
 
     def __missing__(self, word: str) -> bytes | None:
@@ -71,8 +71,9 @@ class _Memo(dict):
         if known is None:
             self.new.append(word)
             self[word] = None  # until it is learnt
-        else:
-            self.learn(word, known)
+        else:  # only short words are kept
+            self[word] = known
+            self.held += ENTRY_BYTES + len(word) + len(known)
         return known
 
     def learn(self, word: str, ids: bytes) -> None:
@@ -83,14 +84,14 @@ class _Memo(dict):
             self.held += ENTRY_BYTES + len(word) + len(ids)
 
     def rotate(self) -> None:
-        if self.held > MEMO_BYTES:
+        if self.held > self.most:
             self.older = dict(self)
             self.clear()
             self.held = 0
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         with open(path, encoding="utf-8") as file:
@@ -104,7 +105,7 @@ class Encoder:
                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"]
                                     for t in told.get("added_tokens", [])))
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.memo = _Memo()
+        self.memo = _Memo(memo_bytes)
         self.tails = {"": b""}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -115,11 +116,15 @@ class Encoder:
         """The ids of texts that are not cut any more, by the library's model."""
         if not pieces:
             return []
-        # None holds a line break, so all are written in the vocabulary's letters at once.
-        shown = "\n".join(pieces).encode().decode("latin-1").translate(_LETTERS)
+        # None holds a line break, so all are written in the vocabulary's letters at once.  Those
+        # of ASCII without controls are the characters themselves, but for the space.
+        shown = "\n".join(pieces)
+        if shown.isascii():
+            shown = shown.replace(" ", _LETTERS[32]).split("\n")
+        else:
+            shown = shown.encode().decode("latin-1").translate(_LETTERS).split(_LETTERS[10])
         tokenize = self.model.tokenize
-        return [array("I", [t.id for t in tokenize(letters)]).tobytes()
-                for letters in shown.split(_LETTERS[10])]
+        return [array("I", [t.id for t in tokenize(letters)]).tobytes() for letters in shown]
 
     def _tail(self, tail: str) -> bytes:
         ids = self.tails.get(tail)
@@ -150,8 +155,9 @@ class Encoder:
                     stems[stem] = None
                 else:
                     ids[stem] = known
-        ids |= zip(stems, self._pieces(
-            [s[1:] if s.startswith(_START) else " " + s for s in stems]))
+        for some in ([s for s in stems if s.isascii()], [s for s in stems if not s.isascii()]):
+            ids |= zip(some, self._pieces(
+                [s[1:] if s.startswith(_START) else " " + s for s in some]))
         for stem in stems:
             memo.learn(stem, ids[stem])
         for word, stem, tail in cut:
