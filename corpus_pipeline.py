@@ -62,7 +62,8 @@ def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     is encoded; no documents give no files' rows.
     """
     path = scratch_path(spark, "corpus-tokens")
-    tokenbinary.write_tokens(docs, path, byte_bpe())
+    # The workers have run the stages before and keep what those left in memory.
+    tokenbinary.write_tokens(docs, path, byte_bpe(), memo_bytes=40 << 20)
     return tokenbinary.read_tokens(spark, path)
 
 
