@@ -193,8 +193,9 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker process, with its memos, for all tasks that run in it."""
+def encoder(path: str, memo_bytes: int = MEMO_BYTES) -> Encoder:
+    """One per worker process, with its memo, for all tasks that run in it."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, memo_bytes)
+    _encoders[path].memo.most = memo_bytes
     return _encoders[path]
