@@ -52,6 +52,13 @@ def test_equals_sql(spark, duck, name):
     assert _sorted(got) == _sorted([tuple(r[i] for i in places) for r in wanted.fetchall()])
 
 
+def test_one_csv_file_holds_the_whole_catalog(spark):
+    df = QUERIES["roundtrip_one_csv"](spark, DATA)
+    titles = clean_titles(spark, DATA)
+    assert len(df.inputFiles()) == 1
+    assert df.columns == titles.columns and df.count() == titles.count() > 0
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[:3] == ["rank", "title", "roi"] and 0 < df.count() <= 10
