@@ -59,6 +59,16 @@ def test_indexed_search_is_the_search(people, index):
         column(wanted, "id"))
 
 
+def test_trigrams_are_cut_without_a_lambda(spark):
+    texts = [None, "", "ab", "abc", "aaaaa", "🙂🙂🙂 ok", "a\nb\r\u2028c", *WORDS]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", index_module.grams(F.col("t")).alias("grams"))
+    for row in df.collect():
+        t = row.t or ""
+        assert sorted(row.grams) == sorted({t[i:i + 3] for i in range(len(t) - 2)})
+    assert "lambda" not in _plan(df)  # it is not compiled
+
+
 def test_postings_are_pruned(people, index):
     plan = _plan(filter_indexed(people, index, "cast", "hannah"))
     (scan,) = [line for line in plan.splitlines() if "postings" in line]
