@@ -145,3 +145,13 @@ def test_columns_beyond_the_aligned_ones_keep_their_text():
     lines = htmltext.render(page)["text"].split("\n")
     assert [[c.strip() for c in line.split("|")] for line in lines] == [
         [f"{i}.{j}" for j in range(200)] for i in range(3)]
+
+
+def test_all_columns_are_aligned():
+    wide = "<table>" + "<tr>" + "<td>ab" * 100 + "<tr>" + "<td>c" * 100 + "</table>"
+    first, second = text(wide).split("\n")
+    assert first == " | ".join(["ab"] * 100) and second == " | ".join(["c "] * 100).rstrip(" ")
+    # Blanks below cells that reach down, each with its own bar, wherever they stand.
+    rows = 90
+    lines = text("<table>" + "<tr><td rowspan=0>xy" * rows + "</table>").split("\n")
+    assert lines == [" | ".join(["  "] * i + ["xy"]) for i in range(rows)]

@@ -6,9 +6,10 @@ nothing, so that what it gives is nested.  The renderer leaves out what is not v
 the layout: blank lines between blocks, list markers with indent, line breaks, preformatted text,
 and table cells aligned in columns.  Of drawings it keeps the labels, of formulas the characters.
 
-Every page is rendered on its own, by a loop with explicit stacks, in time of the page's length:
-the places of the open elements are kept by name, lines are lists of pieces, and columns of a
-table from `ALIGNED` on are set apart by a bar, but not padded.
+Every page is rendered on its own, by a loop with explicit stacks, in time of the length of the
+page and of its text: the places of the open elements are kept by name, and lines are lists of
+pieces.  All columns of a table are aligned, so the text of a table is as long as its rows times
+its width.
 
 Visibility is told by the attributes of the elements: `hidden`, and `display` and `visibility` in
 `style`.  Style sheets are not read, and what is inside a hidden element stays hidden even if it
@@ -73,10 +74,11 @@ NOT_FOREIGN = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "
 # In a drawing only these show their text; in a formula blanks count only in some.
 DRAWN = {"svg/svg": False, "svg/text": True, "svg/foreignobject": True}
 APART = {"svg/text", "svg/foreignobject", "math/mtr", "math/mtd"}
-# To the end of its group, and the columns that are aligned.
+# To the end of its group.
 TO_THE_END = 1 << 40
 MOST_ROWS = 65534
-ALIGNED = 64
+# Texts are handed on when so many characters are held.
+HELD_CHARS = 1 << 24
 NOT_IN_PARAGRAPH = BLOCKS - {"body", "html", "option", "optgroup", "legend", "caption", "tr"}
 
 # A quote opens a value only right after the equals sign; elsewhere it is a character like others.
@@ -283,13 +285,41 @@ def _number(text: str | None, most: int = 1000) -> int:
     return min(most, max(1, int(text))) if text and text.strip().isdecimal() else 1
 
 
-def _placed(rows: list[list | None]) -> list[list[tuple[int, int, str, bool]]]:
-    """(first column, column behind, text, is a cell) of each row without gaps: blanks stand where
-    a cell from above reaches down.  None is the border of a row group, where such cells end.
+# Blanks side by side, as a chain: those before the last one, its first column, the column behind.
+_Run = tuple["_Run | None", int, int]
 
-    From column `ALIGNED` on, neighbours that end with the same row are kept as one.
+
+def _pieces(run: _Run | None) -> list[tuple[int, int]]:
+    out = []
+    while run:
+        run, first, stop = run
+        out.append((first, stop))
+    return out[::-1]
+
+
+def _chained(run: _Run | None, pieces: list[tuple[int, int]]) -> _Run | None:
+    for first, stop in pieces:
+        run = (run, first, stop)
+    return run
+
+
+def _from(run: _Run, first: int, at: int) -> _Run | None:
+    """What is left of a run that begins at `first`, from column `at` on; before it, a gap belongs
+    to the first blank."""
+    if first == at:
+        return run
+    left = [p for p in _pieces(run) if p[1] > at]
+    return _chained(None, [(at, left[0][1]), *left[1:]])
+
+
+def _placed(rows: list[list | None]) -> list[list[tuple[int, int, str | None, _Run | None]]]:
+    """(first column, column behind, text, blanks) of each row without gaps: blanks, then without
+    a text, stand where cells from above reach down.  None is the border of a row group, where
+    such cells end.
+
+    Neighbours that end with the same row are one run, which rows share.
     """
-    out, taken = [], []  # (first column, column behind, row behind)
+    out, taken = [], []  # (first column, column behind, row behind, blanks)
     for number, row in enumerate(rows):
         if row is None:
             taken = []
@@ -298,68 +328,85 @@ def _placed(rows: list[list | None]) -> list[list[tuple[int, int, str, bool]]]:
         for text, span, down in row:
             while k < len(taken) and taken[k][0] <= at:
                 if taken[k][1] > at:
-                    line.append((at, taken[k][1], "", False))
+                    line.append((at, taken[k][1], None, _from(taken[k][3], taken[k][0], at)))
                     at = taken[k][1]
                 k += 1
-            line.append((at, at + span, text, True))
+            line.append((at, at + span, text, None))
             if down > 1:
                 end = down if down == TO_THE_END else number + down
-                fresh.append((at, at + span, end))
+                fresh.append((at, at + span, end, (None, at, at + span)))
             at += span
-        for _, stop, _ in taken[k:] if row else ():
+        for first, stop, _, run in taken[k:] if row else ():
             if stop > at:
-                line.append((at, stop, "", False))
+                line.append((at, stop, None, _from(run, first, at)))
                 at = stop
         taken = [t for t in taken if t[2] > number + 1]
         if fresh:
-            taken = _joined(sorted(taken + fresh))
+            taken = _joined(sorted(taken + fresh, key=lambda t: t[:3]))
         out.append(line)
     return out
 
 
-def _joined(taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    out: list[tuple[int, int, int]] = []
-    for first, stop, end in taken:
-        if out and first >= ALIGNED and out[-1][1] == first and out[-1][2] == end and (
-                out[-1][0] >= ALIGNED):
-            out[-1] = (out[-1][0], stop, end)
+def _joined(taken: list[tuple[int, int, int, _Run]]) -> list[tuple[int, int, int, _Run]]:
+    out: list[tuple[int, int, int, _Run]] = []
+    for first, stop, end, run in taken:
+        if out and out[-1][1] == first and out[-1][2] == end:
+            out[-1] = (out[-1][0], stop, end, _chained(out[-1][3], _pieces(run)))
         else:
-            out.append((first, stop, end))
+            out.append((first, stop, end, run))
     return out
 
 
 def _laid_out(rows: list[list[tuple[str, int, int]] | None]) -> list[str]:
-    """The rows of a table with columns aligned; cells of several lines take several lines.
+    """The rows of a table with all columns aligned; cells of several lines take several lines.
 
-    Columns in which no cell begins, and those from `ALIGNED` on, have no width.
+    Columns in which no cell begins have no width.
     """
     placed = _placed(rows)
-    starts = sorted({a for row in placed for a, _, _, cell in row if cell})
+    starts = sorted({a for row in placed for a, _, text, _ in row if text is not None})
+    widths = [0] * len(starts)
     table = []
     for row in placed:
-        spans = [(bisect_left(starts, a), bisect_left(starts, b), text) for a, b, text, _ in row]
-        table.append([(text, b - a, a) for a, b, text in spans if b > a])
-    widths = [0] * min(len(starts), ALIGNED)
-    for row in table:
-        for text, span, column in row:
-            if span == 1 and column < ALIGNED:
-                widths[column] = max(widths[column], max(map(_width, text.split("\n"))))
+        cells = []
+        for first, stop, text, run in row:
+            a, b = bisect_left(starts, first), bisect_left(starts, stop)
+            if b > a:
+                cells.append((text, run, a, b))
+                if b == a + 1 and text:
+                    widths[a] = max(widths[a], max(map(_width, text.split("\n"))))
+        table.append(cells)
     upto = [0]
     for width in widths:
         upto.append(upto[-1] + width + 3)
-
-    def room(column: int, span: int) -> int:
-        first, behind = min(column, len(widths)), min(column + span, len(widths))
-        return max(0, upto[behind] - upto[first] - 3)
+    told: dict[int, str | None] = {}  # by the run's id
+
+    def blanks(run: _Run) -> str | None:
+        """A run as text; what a run goes on from is put together once."""
+        todo, before = [], run
+        while before and id(before) not in told:
+            todo.append(before)
+            before = before[0]
+        text = told[id(before)] if before else None
+        for part in reversed(todo):
+            a, b = bisect_left(starts, part[1]), bisect_left(starts, part[2])
+            if b > a:
+                blank = " " * (upto[b] - upto[a] - 3)
+                text = blank if text is None else f"{text} | {blank}"
+            told[id(part)] = text
+        return text
 
     lines = []
     for row in table:
-        cells = [text.split("\n") for text, _, _ in row]
-        for i in range(max(map(len, cells), default=0)):
+        cells = [(blanks(run) if text is None else text.split("\n"), upto[b] - upto[a] - 3)
+                 for text, run, a, b in row]
+        for i in range(max((1 if isinstance(c, str) else len(c) for c, _ in cells), default=0)):
             line = []
-            for cell, (_, span, column) in zip(cells, row):
+            for cell, room in cells:
+                if isinstance(cell, str):
+                    line.append(cell)
+                    continue
                 part = cell[i] if i < len(cell) else ""
-                line.append(part + " " * (room(column, span) - _width(part)))
+                line.append(part + " " * (room - _width(part)))
             lines.append(" | ".join(line).rstrip(" "))
     return lines
 
@@ -468,14 +515,22 @@ RESULT = pa.schema([("page_id", pa.int64()), ("text", pa.string()), ("n_blocks",
 
 
 def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(part: pa.RecordBatch, done: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array([d["text"] for d in done], pa.string()),
+             *(pa.array([d[k] for d in done], pa.int64())
+               for k in ("blocks", "items", "cells"))], schema=RESULT)
+
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            done = [render(page.as_py() or "") for page in part.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([d["text"] for d in done], pa.string()),
-                 *(pa.array([d[k] for d in done], pa.int64())
-                   for k in ("blocks", "items", "cells"))], schema=RESULT)
+        done, held, first = [], 0, 0
+        for at, page in enumerate(batch.column(1)):
+            done.append(render(page.as_py() or ""))
+            held += len(done[-1]["text"])
+            if len(done) == 256 or held >= HELD_CHARS:
+                yield rows(batch.slice(first, len(done)), done)
+                done, held, first = [], 0, at + 1
+        if done:
+            yield rows(batch.slice(first, len(done)), done)
 
 
 def extract(pages: DataFrame) -> DataFrame:
