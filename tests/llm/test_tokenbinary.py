@@ -43,6 +43,25 @@ def test_memo_is_bounded_in_bytes():
         assert len(mine.memo) + len(mine.memo.older) < 400
 
 
+def test_each_distinct_word_is_looked_up_once(monkeypatch):
+    from titlelens.llm import tokenize
+
+    class Counted(tokenize._Memo):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(tokenize, "WORDS_AT_ONCE", 7)
+    mine = Encoder(byte_bpe())
+    mine.memo = Counted(tokenize.MEMO_BYTES)
+    texts = ["one two\nthree one " + "two one " * n + "汉" for n in range(9)] + ["", "a  b", "one"]
+    got = [np.frombuffer(e, "<u4").tolist() for e in mine.encode(texts)]
+    assert got == [plain(t) for t in texts]
+    assert mine.memo.asked <= 20
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.sampled_from("aZß.,'é-_~·ʯ s"), max_size=40), max_size=4))
 def test_stems_and_tails_are_the_librarys(texts):

@@ -32,7 +32,7 @@ from titlelens.llm.tokenize import MEMO_BYTES, encoder
 SHARD_TOKENS = 1 << 22
 BLOCK_TOKENS = 1 << 19
 END_ID = 2
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 21
 
 BLOCK = pa.struct([("n_tokens", pa.int32()), ("lanes", pa.int32()),
                    ("offsets", pa.list_(pa.int32())), ("states", pa.binary()),

@@ -23,6 +23,8 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # For each of the memo's two halves, unless asked otherwise.
@@ -30,6 +32,8 @@ MEMO_BYTES = 64 << 20
 # What a kept word costs beside its characters and ids: two objects and a place in a table.
 ENTRY_BYTES = 200
 LONG_WORD = 64
+# Words whose ids are put together at once.
+WORDS_AT_ONCE = 1 << 16
 # Stands in front of a word without a space before it; texts that hold it are encoded whole.
 _START = "\x00"
 _SPACE = re.compile(r"\s")
@@ -177,16 +181,41 @@ class Encoder:
         memo = self.memo
         memo.rotate()
         odd = [_is_odd(t) for t in texts]
-        words = [[] if o else (_START + t.replace("\n", f" \n {_START}")).split(" ")
-                 for t, o in zip(texts, odd)]
-        found = [list(map(memo.__getitem__, line)) for line in words]
-        new = self._learn() if memo.new else {}
+        lines = [_START + t.replace("\n", f" \n {_START}") for t, o in zip(texts, odd) if not o]
+        done = iter(self._by_words(lines) if lines else ())
         whole = iter(self._whole([t for t, o in zip(texts, odd) if o]))
+        return [next(whole) if o else next(done) for o in odd]
+
+    def _by_words(self, lines: list[str]) -> list[bytes]:
+        """The ids of texts with their marks.  Each distinct word is looked up once; the ids of a
+        text are taken together by places."""
+        memo = self.memo
+        words = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        bounds = words.offsets.to_numpy()
+        coded = words.values.dictionary_encode()
+        which = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        del words, coded
+        ids = list(map(memo.__getitem__, distinct))
+        if memo.new:
+            new = self._learn()
+            ids = [new[w] if i is None else i for w, i in zip(distinct, ids)]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(counts) - counts
         out = []
-        for line, ids, o in zip(words, found, odd):
-            if None in ids:
-                ids = [new[w] if i is None else i for w, i in zip(line, ids)]
-            out.append(next(whole) if o else b"".join(ids))
+        at = 0
+        while at < len(lines):  # some texts at a time
+            end = int(np.searchsorted(bounds, bounds[at] + WORDS_AT_ONCE, "right")) - 1
+            end = min(len(lines), max(at + 1, end))
+            some = which[bounds[at]:bounds[end]]
+            n = counts[some]
+            ends = np.cumsum(n)
+            place = np.repeat(starts[some] - (ends - n), n)
+            place += np.arange(len(place))
+            taken = flat[place].tobytes()
+            cuts = [0, *(4 * ends[bounds[at + 1:end + 1] - bounds[at] - 1]).tolist()]
+            out += [taken[i:j] for i, j in zip(cuts, cuts[1:])]
+            at = end
         return out
 
 
