@@ -189,3 +189,10 @@ def test_an_id_of_many_texts_is_one_row_of_the_sample(spark):
                                  "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.sample(docs, labels).count() == 2
+
+
+def test_presence_has_only_the_wanted_tokens():
+    x = toxicity.presence([[0, 2], [], [1, 3, 2]], [2, 3])
+    assert x.dtype == np.float32 and x.tolist() == [[1, 0], [0, 0], [1, 1]]
+    assert toxicity.presence([], [1]).shape == (0, 1)
+    assert toxicity.presence([[4]], []).shape == (1, 0)

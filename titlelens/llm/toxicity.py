@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -170,6 +170,16 @@ class Chain:
         return done
 
 
+def presence(places: Sequence, wanted: list[int]) -> np.ndarray:
+    """A 0/1 row for each list of places, with a column for each one wanted: of one category's
+    tokens at a time, as all of them take several times the driver's memory."""
+    column = {p: i for i, p in enumerate(wanted)}
+    x = np.zeros((len(places), len(wanted)), np.float32)
+    for i, at in enumerate(places):
+        x[i, [column[p] for p in at if p in column]] = 1
+    return x
+
+
 def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, n: int = SAMPLE) -> Chain:
     rows = sample(docs, labels, categories, n)
     tokens = {c: telling_tokens(rows, c) for c in categories}
@@ -187,14 +197,11 @@ def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, n: int = SAMP
     ddl = "row long, " + ", ".join(f"is_{c} int" for c in categories) + ", places array<int>"
     # At most `n` rows of at most the telling tokens.
     held = rows.mapInArrow(places, ddl).toPandas().sort_values("row", kind="stable")
-    x = np.zeros((len(held), len(place)), np.float32)
-    for i, at in enumerate(held["places"]):
-        x[i, at] = 1
     folds = np.arange(len(held)) % FOLDS
     models, earlier = [], np.zeros((len(held), 0), np.float32)
     for category in categories:
         y = held[f"is_{category}"].to_numpy(float)
-        seen = np.hstack([x[:, [place[t] for t in tokens[category]]], earlier])
+        seen = np.hstack([presence(held["places"], [place[t] for t in tokens[category]]), earlier])
         unseen = np.zeros(len(held), np.float32)
         for fold in range(FOLDS):
             out = folds == fold
