@@ -121,6 +121,66 @@ def test_no_task_holds_a_whole_block(spark, monkeypatch):
     assert len(most) == 2 and most[1] <= 50
 
 
+def test_no_pairs_where_a_crowd_meets(spark, monkeypatch):
+    """Texts that share a passage too rare to be found frequent, some of them similar."""
+    monkeypatch.setattr(ngram_join, "CROWD", 5, raising=False)
+    monkeypatch.setattr(ngram_join, "LEAST_LOCAL", 1 << 30)
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = [(i, " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(60)) + f" {passage}")
+            for i in range(120)]
+    docs += [(200 + i, f"{t} more") for i, (_, t) in enumerate(docs[:9])]
+    docs += [(300 + i, f"{passage} x{i}") for i in range(12)]
+    written, stored = [], ngram_join.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "meeting":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    got = ngram_join.similar(spark.createDataFrame(docs, "doc_id long, text string")).select(
+        "doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == plain_components(docs)
+    # Some 20 elements a prefix; all pairs would be 120 * 119 / 2 rows at least.
+    assert sum(written) < 5000
+
+
+def test_the_last_round_leaves_no_crowd_out(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CROWD", 2)
+    monkeypatch.setattr(ngram_join, "ROUNDS", 2)
+    monkeypatch.setattr(ngram_join, "LEAST_LOCAL", 1 << 30)
+    docs = corpus(8)
+    got = ngram_join.similar(spark.createDataFrame(docs, "doc_id long, text string")).select(
+        "doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == plain_components(docs)
+
+
+def test_texts_beyond_what_is_sent(spark, monkeypatch):
+    """Rows to read again are too many to be sent: only texts that may be among them are dealt."""
+    monkeypatch.setattr(ngram_join, "MAX_SENT", 0)
+    docs = corpus(9)
+    frame = spark.createDataFrame([(i, t, str(i)) for i, t in docs],
+                                  "doc_id int, text string, row string")
+    got = ngram_join.similar(frame).select("doc_id", "n_shingles", "component_id").collect()
+    want = plain_components(docs)
+    assert sorted(map(tuple, got), key=str) == want
+    kept = ngram_join.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert kept.count() == len({c for _, n, c in want if n}) + sum(1 for _, n, _ in want if not n)
+
+
+def test_sieve_passes_all_that_it_must_and_few_others(spark):
+    keys = spark.range(30_000).selectExpr("xxhash64(id) AS key")
+    some = keys.limit(2000).localCheckpoint()
+    among = ngram_join._sieve(some, 2000)
+    assert some.filter(among("key")).count() == 2000
+    assert 2000 <= keys.filter(among("key")).count() < 2200
+    none = ngram_join._sieve(some.limit(0), 0)
+    assert keys.filter(none("key")).count() == 0
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.similar(frame).count() == 0

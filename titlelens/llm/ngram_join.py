@@ -3,19 +3,24 @@
 1. Each text becomes a sorted set of hashed shingles; texts of equal set are one class.
 2. Shingles that are frequent in the corpus come last in the global order, the others are ordered
    by hash.  Two similar sets share an element among the first quarter of each (the prefix).
-3. Prefix elements meet by hash.  For rare ones the pairs of classes are counted, and a pair goes
-   on if the shared elements and what lies beyond the prefixes can reach the overlap needed.
-   Prefixes reach a frequent element only where three quarters of a set are frequent ones: the
-   classes that share such an element are put together without making pairs.
-4. What goes on falls into blocks without links between them.  The sets of a block are joined in
+3. Prefix elements meet by hash.  Where at most `CROWD` classes meet, their pairs are counted, and
+   a pair goes on if the shared elements and what lies beyond the prefixes can reach the overlap
+   needed.  So there are at most `CROWD` / 2 pairs for each prefix element.
+4. Where more meet, no pairs are made.  Two sets that share only such crowded elements in their
+   prefixes both hold one, so all sets that do meet again among themselves, in an order that has
+   these elements last.  After `ROUNDS`, or when no new element is crowded (three quarters of a set
+   are frequent ones), the classes that share one are put together without making pairs.
+5. What goes on falls into blocks without links between them.  The sets of a block are joined in
    a prefix tree (see `trie`).  A block of many sets is dealt to slices: all slices hold the
    block's least set, so most sets are connected in the first round.  In the second, pairs of
    slices meet of which one holds sets outside the block's largest component, and whose sizes
    are near enough.
 
 No pair is dropped: frequent elements only change the order, and bounds are exact.  Elements are
-64-bit hashes.  Memory in a task is bounded by two slices of sets, a batch of text, or the
-frequent shingles (at most `MAX_FREQUENT` hashes, the only thing sent to all tasks).
+64-bit hashes.  Memory in a task is bounded by two slices of sets, a batch of text, the frequent
+shingles (at most `MAX_FREQUENT` hashes) or a Bloom filter of rows (at most 2 bytes for each of
+`SIEVE_ROWS`); these two, or `MAX_SENT` rows, are all that is sent to all tasks.  Texts are read
+again, and of those only the ones that pass the filter are dealt out.
 
 Edge cases: null and wordless texts have an empty set, link with nothing and are a component of
 their own id; fewer than five words make one shingle; equal texts are linked; null ids are not
@@ -28,18 +33,23 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from titlelens.llm import bloom
 from titlelens.llm.common import stored
 from titlelens.llm.components import components
 from titlelens.llm.shingles import set_key, text_sets
 from titlelens.llm.trie import connect
 
 PERCENT = 75
-FREQUENT_SHARE = 2000  # frequent: in more than one of so many documents
+# Frequent: in more than one of so many documents, or `CROWD` / 4, as far as tasks have seen.
+FREQUENT_SHARE = 2000
 MAX_FREQUENT = 1 << 19
+CROWD = 64
+ROUNDS = 4
 COUNTED_AT_ONCE = 1 << 21
 LEAST_LOCAL = 4
 # A slice has at most so many sets, and of larger ones about so many elements.
@@ -47,7 +57,10 @@ SLICE = 2048
 SLICE_ELEMENTS = 1 << 20
 # A row of those that say which documents to read again is under 100 bytes.
 MAX_SENT = 200_000
-MET = ["a", "b", "both", "slack", "gram"]
+# A filter of more rows than so many lets more others pass.
+SIEVE_ROWS = 1 << 24
+SIEVE_PARTS = 64
+MET = ["a", "b", "need", "gram"]
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -93,13 +106,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(frequent, percent: int):
-    """Rows (gram, cls, n, slack, often) of each set's prefix; slack: elements beyond its rare
-    part."""
+    """Rows (gram, cls, n) of each set's prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ranks = frequent.value
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            grams, classes, sizes, slacks, often = [], [], [], [], []
+            grams, classes, sizes = [], [], []
             for values in text_sets(batch.column(0)):
                 n = len(values)
                 if not n:
@@ -113,31 +125,37 @@ def _prefixes(frequent, percent: int):
                     at = np.minimum(np.searchsorted(hashes, values), len(hashes) - 1)
                     common = hashes[at] == values
                 p = prefix_length(n, percent)
-                rare = values[~common][:p]
-                first = rare
-                if len(rare) < p:
+                first = values[~common][:p]
+                if len(first) < p:
                     late = values[common]
-                    late = late[np.argsort(ranks[at[common]], kind="stable")][:p - len(rare)]
-                    first = np.concatenate([rare, late])
+                    late = late[np.argsort(ranks[at[common]], kind="stable")][:p - len(first)]
+                    first = np.concatenate([first, late])
                 grams.append(first)
-                often.append(np.arange(p) >= len(rare))
                 classes.append(np.full(p, cls))
                 sizes.append(np.full(p, n))
-                slacks.append(np.full(p, n - len(rare)))
             if grams:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(grams)), pa.array(np.concatenate(classes)),
-                     pa.array(np.concatenate(sizes).astype(np.int32)),
-                     pa.array(np.concatenate(slacks).astype(np.int32)),
-                     pa.array(np.concatenate(often))],
-                    names=["gram", "cls", "n", "slack", "often"])
+                     pa.array(np.concatenate(sizes).astype(np.int32))],
+                    names=["gram", "cls", "n"])
     return run
 
 
 def _meeting(percent: int):
-    """From rows sorted by gram and class, the pairs of classes that meet at a rare element,
-    smaller class first, and the rows of frequent elements as they are."""
-    def pairs(grams, classes, sizes, slacks) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by gram and class, the pairs of classes that meet at an element, smaller
+    class first, with how many elements they need to meet at; and where more than `CROWD` meet,
+    each class with the element."""
+    def pairs(grams, classes, sizes) -> Iterator[pa.RecordBatch]:
+        first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+        met = np.diff(first, append=len(grams))
+        crowded = np.repeat(met > CROWD, met)
+        if crowded.any():
+            late = pa.array(classes[crowded])
+            yield pa.RecordBatch.from_arrays(
+                [late, late, pa.array(np.zeros(len(late), np.int32)),
+                 pa.array(grams[crowded])], names=MET)
+            grams, classes, sizes = (x[~crowded] for x in (grams, classes, sizes))
+        beyond = sizes - prefix_length(sizes, percent)
         alive = np.flatnonzero(grams[1:] == grams[:-1])
         step = 1
         while len(alive):
@@ -147,9 +165,10 @@ def _meeting(percent: int):
                 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
             a, b = a[fits], b[fits]
             if len(a):
+                need = -(-percent * (sizes[a] + sizes[b]) // (100 + percent)) - np.maximum(
+                    beyond[a], beyond[b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(classes[a]), pa.array(classes[b]),
-                     pa.array(sizes[a] + sizes[b]), pa.array(np.maximum(slacks[a], slacks[b])),
+                    [pa.array(classes[a]), pa.array(classes[b]), pa.array(need.astype(np.int32)),
                      pa.nulls(len(a), pa.int64())], names=MET)
             step += 1
             alive = alive[alive + step < len(grams)]
@@ -158,14 +177,8 @@ def _meeting(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            often = batch.column(4).to_numpy(zero_copy_only=False)
-            if often.any():  # as they are
-                late = batch.filter(pa.array(often))
-                none = pa.array(np.zeros(late.num_rows, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [late.column(1), late.column(1), none, none, late.column(0)], names=MET)
-                batch = batch.filter(pa.array(~often))
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            now = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)
+                   for i in range(3)]
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now)]
             # A class that several tasks have sent is there several times, side by side.
@@ -173,19 +186,20 @@ def _meeting(percent: int):
             once[1:] = (now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1])
             now = [x[once] for x in now]
             cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-            yield from pairs(*[x[:cut] for x in now])
+            if cut:
+                yield from pairs(*[x[:cut] for x in now])
             rest = [x[cut:] for x in now]
-        if rest is not None:
+        if rest is not None and len(rest[0]):
             yield from pairs(*rest)
     return run
 
 
 def _block_links(percent: int):
-    """From sets sorted by block and slice, links within each slice."""
+    """From texts sorted by block and slice, links between the sets within each slice."""
     def links(rows: list[tuple]) -> pa.RecordBatch:
-        sets = [np.frombuffer(r[1], "<i8") for r in rows]
         classes = [r[0] for r in rows]
-        found = connect(sets, [r[2] for r in rows], percent) if len(rows) > 1 else []
+        found = connect([r[1] for r in rows], [r[2] for r in rows], percent) \
+            if len(rows) > 1 else []
         return pa.RecordBatch.from_arrays(
             [pa.array([classes[i] for i, _ in found], pa.int64()),
              pa.array([classes[j] for _, j in found], pa.int64())], names=["a", "b"])
@@ -194,19 +208,62 @@ def _block_links(percent: int):
         key, rows = None, []
         for batch in batches:
             block, part, cls, label = (batch.column(i).to_pylist() for i in range(4))
-            for i, at in enumerate(zip(block, part)):
+            for i, values in enumerate(text_sets(batch.column(4))):
+                if set_key(values) != cls[i]:
+                    continue
+                at = block[i], part[i]
                 if at != key and rows:
                     yield links(rows)
                     rows = []
                 key = at
-                rows.append((cls[i], batch.column(4)[i].as_py(), label[i]))
+                rows.append((cls[i], values, label[i]))
         if rows:
             yield links(rows)
     return run
 
 
+def _row_key(doc_id: str | Column, text_key: str | Column) -> Column:
+    return F.xxhash64(doc_id, text_key)
+
+
+def _sieve(keys: DataFrame, count: int):
+    """A function of a column that tells which values may be among `keys` (key): all that are,
+    and few others.  count: of the rows of `keys`."""
+    size = min(count, SIEVE_ROWS) // SIEVE_PARTS * 9 // 8 + SIEVE_PARTS
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            hashed = batch.column(1).to_numpy().view(np.uint64)
+            parts = batch.column(0).to_numpy()
+            for part in np.unique(parts).tolist():
+                bloom.add(held.setdefault(part, bloom.empty(size)), hashed[parts == part])
+        for part, bits in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part]), pa.array([bits.tobytes()])], names=["part", "bits"])
+
+    # As `bloom.slice_of` has it.
+    part = F.shiftrightunsigned("key", 40) % SIEVE_PARTS
+    rows = (keys.select(part.alias("part"), "key").repartition("part")
+            .mapInArrow(build, "part long, bits binary").collect())
+    sent = keys.sparkSession.sparkContext.broadcast(
+        {r["part"]: np.frombuffer(r["bits"], np.uint32) for r in rows})
+
+    @F.pandas_udf("boolean")
+    def may_be(key: pd.Series) -> pd.Series:
+        hashed = key.to_numpy().view(np.uint64)
+        parts, out = bloom.slice_of(hashed, SIEVE_PARTS), np.zeros(len(key), bool)
+        for part, bits in sent.value.items():
+            mine = np.flatnonzero(parts == part)
+            out[mine[bloom.probe(bits, hashed[mine])]] = True
+        return pd.Series(out)
+
+    return may_be
+
+
 class Scan:
-    """The corpus as one narrow row per document, and its frequent shingles."""
+    """The corpus as one narrow row per document, one document per class, and its frequent
+    shingles."""
 
     def __init__(self, docs: DataFrame):
         rows = stored(
@@ -216,56 +273,73 @@ class Scan:
                                "often long"), "shingle-scan")
         self.docs = rows.filter("n is not null").select("doc_id", "text_key", "n", "cls")
         n = self.docs.count()
-        often = (rows.filter("n is null").groupBy("gram").agg(F.sum("often").alias("often"))
-                 .filter(F.col("often") > n / FREQUENT_SHARE)
-                 .orderBy(F.desc("often"), "gram").limit(MAX_FREQUENT).toPandas())
-        hashes = often["gram"].to_numpy(np.int64)
-        order = np.argsort(hashes)
-        # The more frequent, the later.
-        self.frequent = (hashes[order], (len(hashes) - np.arange(len(hashes)))[order])
+        self.often = (rows.filter("n is null").groupBy("gram").agg(F.sum("often").alias("often"))
+                      .filter(F.col("often") > min(n / FREQUENT_SHARE, CROWD / 4))
+                      .orderBy(F.desc("often"), "gram").limit(MAX_FREQUENT).toPandas())
+        self.one = stored(self.docs.filter("n > 0").groupBy("cls").agg(
+            F.min(F.struct("doc_id", "text_key")).alias("d"), F.max("n").alias("n")).select(
+            "cls", "d.*", "n"), "classes")
+
+
+def _late(often: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent shingles, sorted, and their places in the order: the more frequent, the
+    later.  often: (gram, often), the most frequent first."""
+    hashes = often["gram"].to_numpy(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], (len(hashes) - np.arange(len(hashes)))[order]
+
+
+def _met(docs: DataFrame, often: pd.DataFrame, percent: int) -> DataFrame:
+    """(a, b, gram): pairs of classes that may be similar, and where more than `CROWD` meet in
+    place of pairs each class, twice, with the element."""
+    sent = docs.sparkSession.sparkContext.broadcast(_late(often))
+    found = docs.select("text").mapInArrow(_prefixes(sent, percent), "gram long, cls long, n int")
+    rows = found.repartition("gram").sortWithinPartitions("gram", "cls")
+    meeting = rows.mapInArrow(_meeting(percent), "a long, b long, need int, gram long")
+    return stored(meeting.groupBy(*MET).agg(F.count("*").alias("shared"))
+                  .filter("gram is not null or shared >= need").select("a", "b", "gram"), "meeting")
 
 
 def _candidates(docs: DataFrame, scan: Scan, percent: int) -> DataFrame:
     """(a, b): classes that may be similar, connected at least as all similar ones are."""
-    sent = docs.sparkSession.sparkContext.broadcast(scan.frequent)
-    found = docs.select("text").mapInArrow(
-        _prefixes(sent, percent), "gram long, cls long, n int, slack int, often boolean")
-    rows = found.repartition("gram").sortWithinPartitions("gram", "cls", "n")
-    meeting = rows.mapInArrow(_meeting(percent), "a long, b long, both int, slack int, gram long")
-    met = stored(meeting.groupBy("a", "b", "both", "slack", "gram")
-                 .agg(F.count("*").alias("shared")), "meeting")
-    rare = met.filter("gram is null").filter(
-        (100 + percent) * (F.col("shared") + F.col("slack")) >= percent * F.col("both"))
-    often = met.filter("gram is not null")
-    low = often.groupBy("gram").agg(F.min("a").alias("low"))
-    stars = often.select("gram", "a").join(low, "gram").select("a", F.col("low").alias("b"))
-    return rare.select("a", "b").union(stars.filter("a != b").distinct())
-
-
-def _sets(docs: DataFrame, members: DataFrame, count: int) -> DataFrame:
-    """(block, slice, cls, label, grams): the sets of the classes in `members`, read again."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, grams = [], []
-            for i, values in enumerate(text_sets(batch.column(4))):
-                if set_key(values) == batch.column(2)[i].as_py():
-                    keep.append(i)
-                    grams.append(values.astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(keep, pa.int64())) for c in range(4)),
-                 pa.array(grams, pa.binary())],
-                names=["block", "slice", "cls", "label", "grams"])
-
-    few = F.broadcast(members) if count <= MAX_SENT else members
-    texts = docs.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("key2"), "text")
-    return (texts.join(few, F.col("key").eqNullSafe(F.col("doc_id"))
+    often, texts, pairs = scan.often, docs, None
+    for left in reversed(range(ROUNDS)):
+        met = _met(texts, often, percent)
+        found = met.filter("gram is null").select("a", "b")
+        pairs = found if pairs is None else pairs.union(found)
+        crowded = met.filter("gram is not null").select("a", "gram")
+        counts = (crowded.groupBy("gram").agg(F.count("*").alias("often"))
+                  .orderBy(F.desc("often"), "gram").limit(MAX_FREQUENT).toPandas())
+        new = counts[~counts["gram"].isin(often["gram"])]
+        if not left or new.empty:
+            break
+        often = pd.concat([often, new]).sort_values(
+            ["often", "gram"], ascending=[False, True]).head(MAX_FREQUENT)
+        keys = stored(crowded.select(F.col("a").alias("cls")).distinct().join(scan.one, "cls")
+                      .select(_row_key("doc_id", "text_key").alias("key")), "crowded")
+        among = _sieve(keys, keys.count())
+        texts = docs.filter(among(_row_key(F.col("doc_id").cast("bigint"), F.xxhash64("text"))))
+    low = crowded.groupBy("gram").agg(F.min("a").alias("low"))
+    stars = crowded.join(low, "gram").select("a", F.col("low").alias("b"))
+    return pairs.union(stars.filter("a != b").distinct())
+
+
+def _texts(docs: DataFrame, members: DataFrame, count: int) -> DataFrame:
+    """(block, slice, cls, label, text): the texts of the classes in `members`, read again."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("key"),
+                        F.xxhash64("text").alias("key2"), "text")
+    if count <= MAX_SENT:
+        members = F.broadcast(members)
+    else:
+        among = _sieve(members.select(_row_key("doc_id", "text_key").alias("key")), count)
+        texts = texts.filter(among(_row_key("key", "key2")))
+    return (texts.join(members, F.col("key").eqNullSafe(F.col("doc_id"))
                        & (F.col("key2") == F.col("text_key")))
-            .select("block", "slice", "cls", "label", "text")
-            .mapInArrow(run, "block long, slice long, cls long, label long, grams binary"))
+            .select("block", "slice", "cls", "label", "text"))
 
 
-def _joined(sets: DataFrame, percent: int) -> DataFrame:
-    return (sets.repartition("block", "slice").sortWithinPartitions("block", "slice", "cls")
+def _joined(texts: DataFrame, percent: int) -> DataFrame:
+    return (texts.repartition("block", "slice").sortWithinPartitions("block", "slice", "cls")
             .mapInArrow(_block_links(percent), "a long, b long"))
 
 
@@ -306,12 +380,10 @@ def links(docs: DataFrame, scan: Scan, percent: int = PERCENT) -> DataFrame:
     """(a, b): links between classes, enough to connect all that are similar."""
     blocks = stored(components(_candidates(docs, scan, percent)).select(
         F.col("node").alias("cls"), F.col("label").alias("block")), "blocks")
-    one = scan.docs.groupBy("cls").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("d"), F.max("n").alias("n"))
-    sized = blocks.join(one, "cls")
+    sized = blocks.join(scan.one, "cls")
     sizes = sized.groupBy("block").agg(_slices().alias("slices"))
     members = sized.join(sizes, "block").select(
-        "block", "cls", "d.doc_id", "d.text_key", "n", "slices")
+        "block", "cls", "doc_id", "text_key", "n", "slices")
     own = F.pmod(F.xxhash64("cls"), F.col("slices")).cast("int")
     everywhere = F.sequence(F.lit(0), F.col("slices") - 1)
     members = stored(members.withColumn("own", own), "members")
@@ -319,7 +391,7 @@ def links(docs: DataFrame, scan: Scan, percent: int = PERCENT) -> DataFrame:
         F.when(F.col("cls") == F.col("block"), everywhere).otherwise(F.array("own")))).select(
         "block", F.col("slice").cast("long").alias("slice"), "cls",
         F.col("cls").alias("label"), "doc_id", "text_key")
-    found = stored(_joined(_sets(docs, dealt, members.count()), percent), "trie-links")
+    found = stored(_joined(_texts(docs, dealt, members.count()), percent), "trie-links")
     large = members.filter("slices > 1")
     if large.isEmpty():
         return found
@@ -327,7 +399,7 @@ def links(docs: DataFrame, scan: Scan, percent: int = PERCENT) -> DataFrame:
     named = stored(large.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls")), "named")
     again = stored(_second_round(named, percent), "again")
-    more = stored(_joined(_sets(docs, again, again.count()), percent), "trie-links")
+    more = stored(_joined(_texts(docs, again, again.count()), percent), "trie-links")
     return found.union(more)
 
 
