@@ -432,22 +432,32 @@ def similar(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`docs` with one row of each group of similar texts: the least id's.  Texts without words
     all stay.  Unlike texts all stay too, be their ids null or shared."""
-    rows = _grouped(docs, percent)
-    bare = rows.filter("n = 0").select("doc_id", "text_key").distinct()
-    kept = (rows.filter("n > 0").groupBy("group")
-            .agg(F.min(F.struct("doc_id", "text_key")).alias("d")).select("d.*"))
-    kept = stored(kept.withColumn("one", F.lit(True)).union(
-        bare.withColumn("one", F.lit(False))), "kept")
-    few = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "one")
-    again = rows.groupBy("doc_id", "text_key").count().filter("count > 1").join(
-        few.filter("one"), F.col("doc_id").eqNullSafe(F.col("kept_id"))
-        & (F.col("text_key") == F.col("kept_key")))
-    few = F.broadcast(few) if kept.count() <= MAX_SENT else few
-    same = docs["doc_id"].eqNullSafe(few["kept_id"]) & (F.xxhash64(docs["text"]) == few["kept_key"])
+    rows = stored(_grouped(docs, percent).filter("n > 0").groupBy("group", "doc_id", "text_key")
+                  .agg(F.count("*").alias("rows")), "worded")
+    kept = rows.groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("d")).select(
+        F.col("d.doc_id").alias("kept_id"), F.col("d.text_key").alias("kept_key"))
+    # What goes, and what stays in one of several equal rows.
+    odd = stored(rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))
+                           & (F.col("text_key") == F.col("kept_key")), "left")
+                 .withColumn("one", F.col("kept_key").isNotNull()).filter("not one or rows > 1")
+                 .select(F.col("doc_id").alias("odd_id"), F.col("text_key").alias("odd_key"), "one"),
+                 "odd")
     # The columns in one struct, so that no name of theirs can clash with one added here.
-    left = docs.join(few, same).select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), few["one"].alias("one"),
-        F.xxhash64(docs["doc_id"], docs["text"]).alias("same"))
-    if not again.isEmpty():
-        left = left.filter("one").dropDuplicates(["same"]).union(left.filter("not one"))
+    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                        docs["doc_id"].cast("bigint").alias("id"),
+                        F.xxhash64(docs["text"]).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("odd_id")) & (F.col("key") == F.col("odd_key"))
+    count = odd.count()
+    if count <= MAX_SENT:
+        looked = named.join(F.broadcast(odd), same, "left")
+        left = looked.filter("one is null").select("row")
+    else:
+        among = _sieve(odd.select(_row_key("odd_id", "odd_key").alias("key")), count)
+        named = named.withColumn("odd", among(_row_key("id", "key")))
+        looked = named.filter("odd").join(odd, same, "left")
+        left = named.filter("not odd").select("row").union(
+            looked.filter("one is null").select("row"))
+    if not odd.filter("one").isEmpty():
+        left = left.union(looked.filter("one").withColumn("same", F.xxhash64("id", "key"))
+                          .dropDuplicates(["same"]).select("row"))
     return left.select("row.*")
